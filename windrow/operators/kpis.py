@@ -87,7 +87,7 @@ def kpi(
     """One row per key combination with the named measures; groups below ``min_flights`` go."""
     partials = _partials(measures, threshold, "flight_id" in df.columns)
     if any(m in QUANTILES for m in measures):
-        table = _ranked(df, keys, measures, partials)
+        table = _ranked(df, keys, measures, partials, threshold)
     else:
         table = df.groupBy(*keys).agg(*[c.alias(n) for n, c in partials.items()])
     if min_flights > 0:
@@ -113,15 +113,21 @@ def _partials(measures: Sequence[str], threshold: float, keyed: bool) -> dict[st
 
 
 def _ranked(
-    df: DataFrame, keys: Sequence[str], measures: Sequence[str], partials: dict[str, Column]
+    df: DataFrame,
+    keys: Sequence[str],
+    measures: Sequence[str],
+    partials: dict[str, Column],
+    threshold: float,
 ) -> DataFrame:
     """Partials per group with a column ``_<name>`` per quantile (and ``_routes``).
 
+    What depends on the delay alone is worked out per delay value afterwards, from its count.
     Distinct routes ride along as a second grouping set, so the input is read once.
     """
     if "distance" in measures:
         raise ValueError("the first distance cannot be combined with exact quantiles")
-    aggregates = [c.alias(n) for n, c in partials.items()]
+    from_value = {f"_sum_{DELAY}", f"_n_{DELAY}", "_late"} & set(partials)
+    aggregates = [c.alias(n) for n, c in partials.items() if n not in from_value]
     if "unique_routes" in measures:
         counts = df.groupingSets(
             [[*keys, DELAY], [*keys, "ROUTE"]], *keys, DELAY, "ROUTE"
@@ -141,17 +147,22 @@ def _ranked(
         here = (F.col("_upto") - F.col("_known") <= rank) & (rank < F.col("_upto"))
         return F.max(F.when(here & (F.col("_known") > 0), F.col(DELAY)))
 
-    combined = [
-        F.sum(F.when(F.col("_by_value"), F.col(n))).alias(n) for n in partials
-    ]
+    combined = {
+        n: F.sum(F.when(F.col("_by_value"), F.col(n))) for n in partials if n not in from_value
+    }
+    per_value = {
+        f"_sum_{DELAY}": F.sum(F.col(DELAY) * F.col("_known")),
+        f"_n_{DELAY}": F.sum("_known"),
+        "_late": F.sum(F.when(fn.is_late(threshold, DELAY), F.col("_known")).otherwise(0)),
+    }
+    combined |= {n: per_value[n] for n in sorted(from_value)}
     for name in measures:
         if name in QUANTILES:
             values = [at(rank) for rank in QUANTILES[name].ranks(F.col("_n"))]
-            value = values[0] if len(values) == 1 else (values[0] + values[1]) / 2
-            combined.append(value.alias(f"_{name}"))
+            combined[f"_{name}"] = values[0] if len(values) == 1 else (values[0] + values[1]) / 2
     if "unique_routes" in measures:
-        combined.append(F.count_if(~F.col("_by_value")).alias("_routes"))
-    return ranked.groupBy(*keys).agg(*combined)
+        combined["_routes"] = F.count_if(~F.col("_by_value"))
+    return ranked.groupBy(*keys).agg(*[c.alias(n) for n, c in combined.items()])
 
 
 def _finish(measure: str) -> Column:

@@ -123,7 +123,7 @@ def feature_names(encoded: DataFrame, features: FeatureSet) -> list[str]:
     return [name.replace("_onehot_", "_", 1) for name in names]
 
 
-def regressors(trees: int = 100, depth: int = 10, seed: int = SEED) -> dict[str, Estimator]:
+def regressors(trees: int = 100, depth: int = 5, seed: int = SEED) -> dict[str, Estimator]:
     return {
         "linear_regression": LinearRegression(labelCol=DELAY_TARGET),
         "random_forest": RandomForestRegressor(
@@ -137,7 +137,7 @@ def regressors(trees: int = 100, depth: int = 10, seed: int = SEED) -> dict[str,
 
 
 def classifiers(
-    rows: int, trees: int = 100, depth: int = 10, seed: int = SEED
+    rows: int, trees: int = 100, depth: int = 5, seed: int = SEED
 ) -> dict[str, Estimator]:
     """Logistic regression with a unit penalty on the summed loss, and a random forest."""
     return {
@@ -232,7 +232,7 @@ def train_regression(
     features: FeatureSet = FULL,
     test_size: float = TEST_SIZE,
     trees: int = 100,
-    depth: int = 10,
+    depth: int = 5,
     seed: int = SEED,
 ) -> list[Trained]:
     """Linear regression and random forest on a hash split."""
@@ -245,7 +245,7 @@ def train_classification(
     features: FeatureSet = FULL,
     test_size: float = TEST_SIZE,
     trees: int = 100,
-    depth: int = 10,
+    depth: int = 5,
     seed: int = SEED,
 ) -> list[Trained]:
     """Logistic regression and random forest on a split that keeps the class shares."""

@@ -16,6 +16,9 @@ from windrow.schemas import SEED, TEST_SIZE
 #: Leading hex digits of the key that form the histogram of ``_boundary``: 16**4 buckets.
 PREFIX_DIGITS = 4
 
+#: Most rows (one per class) that a split takes through the driver.
+MAX_LOCAL_ROWS = 1000
+
 
 def with_flight_id(df: DataFrame, columns: Sequence[str], seed: int = SEED) -> DataFrame:
     """Adds ``flight_id``: md5 of the seed and the columns that identify a row."""
@@ -74,6 +77,17 @@ def split_hash(
     return df.withColumn("is_test", F.substring(key, -8, 8) < threshold)
 
 
+def _small_or_same(table: DataFrame) -> DataFrame:
+    """``table`` as a local relation when it has few rows, else as it is.
+
+    Spark then knows its size before planning the join, and joins it without a shuffle.
+    """
+    rows = table.limit(MAX_LOCAL_ROWS + 1).collect()
+    if len(rows) > MAX_LOCAL_ROWS:
+        return table
+    return table.sparkSession.createDataFrame(rows, table.schema)
+
+
 def split_stratified(
     df: DataFrame, label: str, test_size: float = TEST_SIZE, key: str = "flight_id"
 ) -> DataFrame:
@@ -81,15 +95,16 @@ def split_stratified(
 
     Ranking a whole class would put it in one task. Instead the prefix histogram finds each
     class's boundary bucket, only that bucket is ranked, and the resulting cut-off key (one
-    per class) is joined back. Keys must be unique within a class.
+    per class) is joined back; neither join moves the rows of ``df``. Keys must be unique
+    within a class.
     """
     target = F.round(F.col("_total") * F.lit(test_size)).cast("long")
-    boundary = _boundary(df, key, [label], target)
+    boundary = _small_or_same(_boundary(df, key, [label], target))
     near = df.select(label, key, F.substring(key, 1, PREFIX_DIGITS).alias("_prefix")).join(
         boundary, [label, "_prefix"]
     )
     rank = F.row_number().over(Window.partitionBy(label).orderBy(key))
-    cut = (
+    cut = _small_or_same(
         near.withColumn("_rank", rank)
         .where(F.col("_rank") == F.col("_need"))
         .select(label, F.col(key).alias("_cut"))

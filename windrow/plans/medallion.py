@@ -35,7 +35,7 @@ class Lakehouse:
     years: Sequence[int] = tuple(DEFAULT_YEARS)
     fill_nulls: bool = False
     trees: int = 100
-    depth: int = 10
+    depth: int = 5
     #: Columns that identify a source row; ``flight_id`` is hashed from them where absent.
     row_key: Sequence[str] = tuple(RAW.names)
 

@@ -20,6 +20,8 @@ def local_session(cpus: str | int = "*", app: str = "windrow", **conf: str) -> S
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        # Recording the Python call site of every column doubles the time to build a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -11,9 +11,10 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from windrow.functions import columns as fn
-from windrow.schemas import CARRIER, SEED
+from windrow.schemas import CARRIER, FLIGHTS, SEED
 from windrow.session import scratch_path
 from windrow.sources import snapshots
 from windrow.sources.ingest import with_ingest_metadata
@@ -37,6 +38,16 @@ TABLES = {
     ),
 }
 
+#: Columns of the fixture's bronze table.
+BRONZE = T.StructType(
+    [
+        *FLIGHTS.fields,
+        T.StructField("FL_DATE", T.StringType()),
+        T.StructField("ingested_at", T.TimestampType()),
+        T.StructField("source_layer", T.StringType()),
+    ]
+)
+
 _bronze_tables: dict[tuple[str, str], str] = {}
 
 
@@ -125,4 +136,4 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = with_ingest_metadata(flights(spark, sf_dir, with_date=True), INGESTED_AT)
         snapshots.commit(rows, table, ["Year"], "replace", INGESTED_AT)
         _bronze_tables[key] = table
-    return snapshots.read(spark, table).drop(*snapshots.VERSION_COLUMNS)
+    return snapshots.read(spark, table, schema=BRONZE).drop(*snapshots.VERSION_COLUMNS)

@@ -24,11 +24,17 @@ from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Operations that keep what earlier versions wrote.
 INCREMENTAL = ("append", "replace")
 STAMP = "%Y%m%dT%H%M%S.%fZ"
-VERSION_COLUMNS = ["_version", "_operation", "_committed_at"]
+VERSION_FIELDS = [
+    T.StructField("_version", T.IntegerType()),
+    T.StructField("_operation", T.StringType()),
+    T.StructField("_committed_at", T.StringType()),
+]
+VERSION_COLUMNS = [f.name for f in VERSION_FIELDS]
 
 
 class VersionNotFound(LookupError):
@@ -168,13 +174,20 @@ def live_folders(spark: SparkSession, table: str, version: int | None = None) ->
     return [c.path + p for c, parts in live for p in ([""] if parts is None else parts)]
 
 
-def _load(spark: SparkSession, table: str, folders: list[str], merge_schema: bool) -> DataFrame:
+def _load(
+    spark: SparkSession,
+    table: str,
+    folders: list[str],
+    merge_schema: bool = False,
+    schema: T.StructType | None = None,
+) -> DataFrame:
     if not folders:
         raise VersionNotFound(f"{table} holds no rows at this version")
     reader = spark.read.option("basePath", table).option("mergeSchema", merge_schema)
-    df = reader.parquet(*folders)
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, *VERSION_FIELDS]))
     stamp = F.to_timestamp("_committed_at", "yyyyMMdd'T'HHmmss.SSSSSSX")
-    return df.withColumn("_committed_at", stamp)
+    return reader.parquet(*folders).withColumn("_committed_at", stamp)
 
 
 def read(
@@ -183,17 +196,18 @@ def read(
     version: int | None = None,
     timestamp: datetime | None = None,
     merge_schema: bool = False,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Rows of a version (version 0 included), or of the newest one.
 
     ``timestamp`` picks the newest version committed at or before it. Version, operation and
     commit time of the write that brought each row are in ``_version``, ``_operation`` and
-    ``_committed_at``.
+    ``_committed_at``. A given ``schema`` saves the job that looks it up in the files.
     """
     if timestamp is not None:
         version = version_at(spark, table, timestamp)
     folders = live_folders(spark, table, version)
-    return _load(spark, table, folders, merge_schema)
+    return _load(spark, table, folders, merge_schema, schema)
 
 
 def time_travel(
@@ -212,7 +226,7 @@ def read_versions(spark: SparkSession, table: str, versions: Sequence[int]) -> D
     """Just the rows the given commits wrote."""
     wanted = [c for c in commits(spark, table) if c.version in versions]
     folders = [c.path for c in wanted if _has_data(spark, c)]
-    return _load(spark, table, folders, merge_schema=False)
+    return _load(spark, table, folders)
 
 
 def version_at(spark: SparkSession, table: str, timestamp: datetime) -> int:
@@ -256,12 +270,10 @@ def upsert(
     if partition_by and set(partition_by) <= set(keys):
         # At most one row per partition folder comes to the driver.
         touched = new.select(*partition_by).distinct().collect()
-        if not touched:
-            touched_rows = F.lit(False)
-        else:
-            touched_rows = _any_of(touched, partition_by)
-        existing, operation = existing.where(touched_rows), "replace"
-    kept = existing.join(new.select(*keys), list(keys), "left_anti")
+        existing, operation = existing.where(_any_of(touched, partition_by)), "replace"
+    incoming = new.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    same_key = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys]
+    kept = existing.join(incoming, same_key, "left_anti")
     merged = kept.unionByName(new, allowMissingColumns=True)
     return commit(merged, table, partition_by, operation, committed_at)
 

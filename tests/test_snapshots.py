@@ -119,8 +119,11 @@ def test_empty_commit_adds_nothing(spark, table, two_years):
     snapshots.commit(two_years.where("Year = 1900"), table, ["Year"])
     assert snapshots.read(spark, table).count() == 4
     snapshots.commit(two_years.where("Year = 1900"), table, ["Year"], "overwrite")
-    with pytest.raises(snapshots.VersionNotFound):
-        snapshots.read(spark, table)
+    empty = snapshots.read(spark, table)
+    assert empty.count() == 0 and set(two_years.columns) <= set(empty.columns)
+    assert [r["row_count"] for r in maintenance.history(spark, table).collect()] == [0, 0, 4]
+    snapshots.commit(two_years, table, ["Year"])
+    assert rows_of(snapshots.read(spark, table)) == rows_of(two_years)
 
 
 def test_compaction_and_clustering_keep_every_row(spark, table, flights):

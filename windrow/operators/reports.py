@@ -104,7 +104,7 @@ def worst_best(table: DataFrame, entity: str) -> DataFrame:
     delay = F.col("avg_arrival_delay")
     worst = F.max_by(row, F.struct(delay.isNull(), delay, F.col(entity), F.col("Month")))
     best = F.min_by(row, F.struct(delay.isNotNull(), delay, F.col(entity), F.col("Month")))
-    ends = table.agg(worst.alias("worst"), best.alias("best"))
+    ends = table.agg(worst.alias("worst"), best.alias("best")).where("worst IS NOT NULL")
     return ends.select(
         F.inline(
             F.array(

@@ -28,6 +28,8 @@ from pyspark.sql import types as T
 
 #: Operations that keep what earlier versions wrote.
 INCREMENTAL = ("append", "replace")
+#: Folder of a commit without rows; hidden from scans of the commit.
+EMPTY = "_empty"
 STAMP = "%Y%m%dT%H%M%S.%fZ"
 VERSION_FIELDS = [
     T.StructField("_version", T.IntegerType()),
@@ -115,6 +117,9 @@ def commit(
         writer = writer.partitionBy(*partition_by)
     folder = f"{table}/_version={version}/_operation={operation}/_committed_at={stamp}"
     writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(folder)
+    if partition_by and not _has_data(spark, folder):
+        # A partitioned write of no rows leaves no file; keep the columns for readers.
+        spark.createDataFrame([], rows.schema).write.parquet(f"{folder}/{EMPTY}")
     return version
 
 
@@ -128,9 +133,8 @@ def _partitions(spark: SparkSession, commit: Commit) -> list[str]:
     return leaves
 
 
-def _has_data(spark: SparkSession, commit: Commit) -> bool:
-    """False for a partitioned write of no rows, which leaves nothing but the marker."""
-    return bool(_glob(spark, f"{commit.path}/[!_.]*"))
+def _has_data(spark: SparkSession, folder: str) -> bool:
+    return bool(_glob(spark, f"{folder}/[!_.]*"))
 
 
 def _history_to(spark: SparkSession, table: str, version: int | None) -> list[Commit]:
@@ -157,9 +161,10 @@ def _vacuumed(spark: SparkSession, table: str, first: int) -> bool:
 
 
 def live_folders(spark: SparkSession, table: str, version: int | None = None) -> list[str]:
-    """Folders that hold the rows of a version."""
+    """Folders that hold the rows of a version; for one without rows, its empty folder."""
     live: list[tuple[Commit, list[str] | None]] = []
-    for step in _history_to(spark, table, version):
+    chain = _history_to(spark, table, version)
+    for step in chain:
         if step.full:
             live = []
         elif step.operation == "replace" and live:
@@ -169,8 +174,10 @@ def live_folders(spark: SparkSession, table: str, version: int | None = None) ->
                 for c, parts in live
             ]
             live = [(c, parts) for c, parts in live if parts]
-        if _has_data(spark, step):
+        if _has_data(spark, step.path):
             live.append((step, None))
+    if not live:
+        return [f"{chain[-1].path}/{EMPTY}"]
     return [c.path + p for c, parts in live for p in ([""] if parts is None else parts)]
 
 
@@ -181,8 +188,6 @@ def _load(
     merge_schema: bool = False,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    if not folders:
-        raise VersionNotFound(f"{table} holds no rows at this version")
     reader = spark.read.option("basePath", table).option("mergeSchema", merge_schema)
     if schema is not None:
         reader = reader.schema(T.StructType([*schema.fields, *VERSION_FIELDS]))
@@ -224,9 +229,11 @@ def time_travel(
 
 def read_versions(spark: SparkSession, table: str, versions: Sequence[int]) -> DataFrame:
     """Just the rows the given commits wrote."""
-    wanted = [c for c in commits(spark, table) if c.version in versions]
-    folders = [c.path for c in wanted if _has_data(spark, c)]
-    return _load(spark, table, folders)
+    wanted = [c.path for c in commits(spark, table) if c.version in versions]
+    if not wanted:
+        raise VersionNotFound(f"{table} has none of the versions {list(versions)}")
+    full = [folder for folder in wanted if _has_data(spark, folder)]
+    return _load(spark, table, full or [f"{wanted[-1]}/{EMPTY}"])
 
 
 def version_at(spark: SparkSession, table: str, timestamp: datetime) -> int:

@@ -250,10 +250,12 @@ def current_version(spark: SparkSession, table: str) -> int | None:
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    """Names of the partition columns of the newest version."""
-    known = commits(spark, table)
-    leaf = _partitions(spark, known[-1])[0] if known else ""
-    return [level.split("=", 1)[0] for level in leaf.split("/") if level]
+    """Names of the partition columns, from the newest version that has rows."""
+    for known in reversed(commits(spark, table)):
+        if _has_data(spark, known.path):
+            leaf = _partitions(spark, known)[0]
+            return [level.split("=", 1)[0] for level in leaf.split("/") if level]
+    return []
 
 
 def upsert(

@@ -14,9 +14,13 @@ from windrow.session import local_session  # noqa: E402
 TESTDATA = Path("/root/testdata")
 
 
+#: Few tasks per job, as the test tables are tiny.
+SMALL = {"spark.sql.shuffle.partitions": "2", "spark.default.parallelism": "2"}
+
+
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, app="tests", **{"spark.sql.shuffle.partitions": "4"})
+    session = local_session(8, app="tests", **SMALL)
     yield session
     session.stop()
 

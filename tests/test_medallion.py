@@ -18,7 +18,7 @@ def lake(spark, sf_dir, tmp_path_factory):
     root = tmp_path_factory.mktemp("lake")
     csv = str(root / "source")
     ingest.write_csv(_raw(spark, sf_dir).select(*RAW.names), csv)
-    return medallion.Lakehouse(str(root / "tables"), csv, trees=3, depth=3)
+    return medallion.Medallion(str(root / "tables"), csv, trees=3, depth=3)
 
 
 @pytest.fixture(scope="module")
@@ -74,7 +74,7 @@ def test_single_layer_and_unknown_layer(spark, lake, reports):
 
 
 def test_first_failure_ends_the_run(spark, tmp_path):
-    broken = medallion.Lakehouse(str(tmp_path), str(tmp_path / "missing.csv"))
+    broken = medallion.Medallion(str(tmp_path), str(tmp_path / "missing.csv"))
     assert medallion.run(spark, broken) is False
     assert list(medallion.run_layers(spark, broken)) == ["bronze"]
 

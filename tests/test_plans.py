@@ -6,15 +6,17 @@ import re
 
 import pytest
 
-from windrow.operators import cleaning, kpis, reports
+from windrow.operators import cleaning, features, kpis, reports, selection
 from windrow.operators.maintenance import explain
 from windrow.plans.queries import all_queries
 from windrow.plans.silver import silver
 from windrow.sources import fixture
 
+#: Queries that write or train first; what they return is a plain scan or a local table.
 EAGER = {
-    "ml_regression", "ml_classification", "ml_metrics", "metric_auc", "table_stats",
-    "ml_onehot_width",
+    "ml_regression", "ml_classification", "ml_metrics", "ml_scaled", "ml_onehot_width",
+    "metric_auc", "table_stats", "csv_scan", "bronze_rows", "bronze_year_counts",
+    "silver_roundtrip", "silver_upsert", "compact_rows", "schema_evolution",
 }
 
 
@@ -68,3 +70,10 @@ def test_ranked_kpis_combine_before_each_shuffle(bronze):
 def test_route_kpis_hash_aggregate(bronze):
     plan = explain(kpis.route_kpis(silver(bronze)), "simple")
     assert "SortAggregate" not in plan and plan.count("hashpartitioning") == 1
+
+
+def test_stratified_split_does_not_move_the_rows(bronze):
+    rows = features.features_full(silver(bronze))
+    plan = explain(selection.split_stratified(rows, "target_is_delayed"), "simple")
+    assert "LocalTableScan" in plan and "SortMergeJoin" not in plan
+    assert "hashpartitioning" not in plan

@@ -82,11 +82,17 @@ def test_clean_reports_account_for_every_row(flights, rows):
     assert steps == sorted(steps, reverse=True)
 
 
-def test_codes_lose_all_white_space(flights):
-    raw = flights({CARRIER: "\taa ", "Origin": "  bb　", "Dest": None})
-    row = cleaning.normalize_categories(raw).first()
-    assert (row["AIRLINE"], row["Origin"], row["Dest"]) == ("AA", "BB", None)
-    assert row[CARRIER] == "\taa "
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("\taa ", "AA"), (" \u2003bb\u3000", "BB"), ("c\u00a0d\u0085", "C\u00a0D"), ("", ""),
+        (" ", ""), ("\n\n", ""), ("\u00e9x", "\u00c9X"), (" x", "X"), ("x \t ", "X"), (None, None),
+    ],
+)
+def test_codes_lose_all_white_space(flights, text, expected):
+    row = cleaning.normalize_categories(flights({CARRIER: text, "Dest": text})).first()
+    assert (row["AIRLINE"], row["Dest"], row["Origin"]) == (expected, expected, "JFK")
+    assert row[CARRIER] == text
 
 
 def test_derived_columns(flights):

@@ -160,7 +160,7 @@ def test_ranks_follow_the_values(spark, flights):
     assert [r["r"] for r in ranked] == sorted(r["r"] for r in ranked)
     assert all(r["d"] == r["Distance"] for r in ranked)
     with pytest.raises(ValueError):
-        maintenance.z_value(["c"] * 8, {"c": [1, 2]})
+        maintenance.z_value([F.lit(1)] * 8, [1] * 8)
 
 
 def test_vacuum_removes_only_what_no_one_needs(spark, table, two_years):

@@ -22,8 +22,20 @@ SEASONS = {
 
 
 def code(column: str) -> Column:
-    """Category code in upper case without surrounding white space of any kind."""
-    return F.trim(F.upper(column), F.lit(WHITESPACE))
+    """Category code in upper case without surrounding white space of any kind.
+
+    Trimming a whole set of characters costs several times what trimming blanks does, so it
+    is left to codes that still start or end outside printable ASCII after the latter.
+    """
+    blanks_off = F.trim(F.upper(column))
+    last = F.substring(blanks_off, -1, 1)
+    plain = _printable(blanks_off) & _printable(last)
+    return F.when(plain, blanks_off).otherwise(F.trim(blanks_off, F.lit(WHITESPACE)))
+
+
+def _printable(text: Column) -> Column:
+    """Whether a text starts with a printable ASCII character other than a blank."""
+    return (text >= "!") & (text < "\u007f")
 
 
 def speed_mph(distance: str = "Distance", minutes: str = "AirTime") -> Column:

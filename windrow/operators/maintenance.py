@@ -116,22 +116,26 @@ def rank_of(column: str, bounds: list) -> Column:
     return search(0, len(bounds))
 
 
-def z_value(columns: Sequence[str], bounds: dict[str, list]) -> Column:
-    """Bits of the columns' ranks interleaved, first column lowest."""
-    width = len(columns)
+def z_value(ranks: Sequence[Column], bits: Sequence[int]) -> Column:
+    """Bits of the ranks interleaved, those of the first rank lowest."""
+    width = len(ranks)
     if width * RANK_BITS > 63:
         raise ValueError("at most seven columns can be clustered")
     z = F.lit(0).cast("long")
-    for place, column in enumerate(columns):
-        rank = rank_of(column, bounds[column]).cast("long")
-        for bit in range(max(len(bounds[column]) - 1, 0).bit_length()):
+    for place, rank in enumerate(ranks):
+        for bit in range(bits[place]):
             taken = F.shiftright(rank, bit).bitwiseAND(F.lit(1).cast("long"))
             z = z.bitwiseOR(F.shiftleft(taken, bit * width + place))
     return z
 
 
 def with_z_value(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumn("_z", z_value(columns, rank_bounds(df, columns)))
+    """Adds ``_z``, close for rows that are close in all of the columns."""
+    bounds = rank_bounds(df, columns)
+    ranks = {f"_rank_{c}": rank_of(c, bounds[c]).cast("long") for c in columns}
+    bits = [max(len(bounds[c]) - 1, 0).bit_length() for c in columns]
+    z = z_value([F.col(name) for name in ranks], bits)
+    return df.withColumns(ranks).withColumn("_z", z).drop(*ranks)
 
 
 def cluster(

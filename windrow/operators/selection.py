@@ -80,10 +80,11 @@ def split_hash(
 def _small_or_same(table: DataFrame) -> DataFrame:
     """``table`` as a local relation when it has few rows, else as it is.
 
-    Spark then knows its size before planning the join, and joins it without a shuffle.
+    Spark knows the size of a local relation before it plans the join (one made from Python
+    rows would count as unknown, hence Arrow), and so joins it without a shuffle.
     """
-    rows = table.limit(MAX_LOCAL_ROWS + 1).collect()
-    if len(rows) > MAX_LOCAL_ROWS:
+    rows = table.limit(MAX_LOCAL_ROWS + 1).toArrow()
+    if rows.num_rows > MAX_LOCAL_ROWS:
         return table
     return table.sparkSession.createDataFrame(rows, table.schema)
 

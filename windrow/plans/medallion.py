@@ -27,7 +27,7 @@ CLUSTER_COLUMNS = {
 
 
 @dataclass(frozen=True)
-class Lakehouse:
+class Medallion:
     """Where the layers live and how they are built."""
 
     root: str
@@ -69,7 +69,7 @@ class Lakehouse:
         }
 
 
-def run_bronze(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+def run_bronze(spark: SparkSession, lake: Medallion) -> DataFrame:
     source = ingest.read_csv(spark, lake.source_csv)
     if "flight_id" not in source.columns:
         source = with_flight_id(source, [c for c in lake.row_key if c in source.columns])
@@ -78,14 +78,14 @@ def run_bronze(spark: SparkSession, lake: Lakehouse) -> DataFrame:
     return report
 
 
-def run_silver(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+def run_silver(spark: SparkSession, lake: Medallion) -> DataFrame:
     rows = silver(snapshots.read(spark, lake.bronze))
     log.info("silver plan\n%s", maintenance.explain(rows))
     snapshots.merge_with_existing(rows, lake.silver, partition_by=gold.PARTITIONS)
     return maintenance.tables_stats(spark, {"silver": lake.silver})
 
 
-def run_gold(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+def run_gold(spark: SparkSession, lake: Medallion) -> DataFrame:
     """Every table reads the written silver table, each with its own columns only."""
     rows = snapshots.read(spark, lake.silver)
     outcome = gold.write_tables(gold.gold_tables(rows), lake.analytics)
@@ -97,7 +97,7 @@ def run_gold(spark: SparkSession, lake: Lakehouse) -> DataFrame:
     return maintenance.tables_stats(spark, tables)
 
 
-def run_ml(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+def run_ml(spark: SparkSession, lake: Medallion) -> DataFrame:
     version = snapshots.current_version(spark, lake.features)
     prepared = models.prepare(snapshots.read(spark, lake.features))
     trained = [
@@ -108,7 +108,7 @@ def run_ml(spark: SparkSession, lake: Lakehouse) -> DataFrame:
     return models.metrics_table(spark, trained)
 
 
-def run_maintenance(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+def run_maintenance(spark: SparkSession, lake: Medallion) -> DataFrame:
     done = maintenance.optimize_tables(spark, lake.tables(), CLUSTER_COLUMNS)
     cleaned = [lake.bronze, lake.silver, lake.features]
     maintenance.vacuum_tables(spark, {p.rsplit("/", 1)[1]: p for p in cleaned})
@@ -125,7 +125,7 @@ RUNNERS = {
 
 
 def run_layers(
-    spark: SparkSession, lake: Lakehouse, layers: Sequence[str] = LAYERS
+    spark: SparkSession, lake: Medallion, layers: Sequence[str] = LAYERS
 ) -> dict[str, DataFrame | Exception]:
     """Runs the layers in order and returns each one's report.
 
@@ -142,7 +142,7 @@ def run_layers(
     return reports
 
 
-def run(spark: SparkSession, lake: Lakehouse, layer: str | None = None) -> bool:
+def run(spark: SparkSession, lake: Medallion, layer: str | None = None) -> bool:
     """Runs one layer, or all of them; true when nothing failed. Unknown layers are refused."""
     layers = LAYERS if layer is None else (layer.lower(),)
     if not set(layers) <= set(RUNNERS):
@@ -154,6 +154,6 @@ def run(spark: SparkSession, lake: Lakehouse, layer: str | None = None) -> bool:
     )
 
 
-def summary_report(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+def summary_report(spark: SparkSession, lake: Medallion) -> DataFrame:
     """Version, files, bytes and rows of every table."""
     return maintenance.tables_stats(spark, lake.tables())

@@ -148,6 +148,24 @@ def test_one_hot_partition_is_cut_into_files(spark, table, flights):
     assert maintenance.table_info(spark, table)["file_count"] >= 3
 
 
+def test_small_partitions_become_one_file_each(spark, table, flights):
+    rows = flights(*[{"Month": i % 12 + 1} for i in range(48)])
+    for _ in range(3):
+        snapshots.commit(rows, table, ["Year", "Month"])
+    maintenance.compact(spark, table)
+    assert maintenance.table_info(spark, table)["file_count"] == 12
+    assert rows_of(snapshots.read(spark, table)) == rows_of(rows.union(rows).union(rows))
+
+
+def test_unpartitioned_table_is_compacted(spark, table, flights):
+    rows = flights({}, {}, {})
+    for _ in range(2):
+        snapshots.commit(rows, table)
+    maintenance.compact(spark, table)
+    assert maintenance.table_info(spark, table)["file_count"] == 1
+    assert rows_of(snapshots.read(spark, table)) == rows_of(rows.union(rows))
+
+
 def test_ranks_follow_the_values(spark, flights):
     df = flights(*[{"Distance": float(i % 10), "Origin": f"O{i:04d}"} for i in range(1000)])
     bounds = maintenance.rank_bounds(df, ["Distance", "Origin"])

@@ -33,10 +33,13 @@ def table_files(spark: SparkSession, folders: list[str]) -> DataFrame:
     )
 
 
-def _file_count(spark: SparkSession, table: str, target_bytes: int) -> int:
+def _sizes(spark: SparkSession, table: str) -> tuple[int, int, int]:
+    """Partitions of the newest version, bytes of the largest one, and bytes in all."""
     files = table_files(spark, snapshots.live_folders(spark, table))
-    total = files.agg(F.sum("length")).first()[0] or 0
-    return max(1, math.ceil(total / target_bytes))
+    partition = F.regexp_extract("path", "/_committed_at=[^/]*/(.*?)[^/]*$", 1)
+    sizes = files.groupBy(partition.alias("partition")).agg(F.sum("length").alias("bytes"))
+    row = sizes.agg(F.count(F.lit(1)), F.max("bytes"), F.sum("bytes")).first()
+    return row[0], row[1] or 0, row[2] or 0
 
 
 def _rewrite(
@@ -48,21 +51,26 @@ def _rewrite(
     target_bytes: int,
     committed_at: datetime | None,
 ) -> int:
-    """Writes ``rows`` range-partitioned by partition columns, ``order`` and a row hash.
+    """Writes ``rows`` in files of about the target size, sorted by ``order``.
 
-    The row hash lets the range partitioning cut through one partition or one cluster value
-    that holds most of the rows, so that files come out near the target size.
+    While every partition fits into one file, rows go to tasks by partition. Beyond that they
+    are range-partitioned by partition columns, ``order`` and a row hash: the hash lets Spark
+    cut through one partition or one cluster value that holds most of the rows.
     """
     partition_by = snapshots.partition_columns(spark, table)
-    spread = F.xxhash64(*[c for c in rows.columns if c not in order])
+    partitions, largest, total = _sizes(spark, table)
     ranges = [*partition_by, *order]
-    laid_out = (
-        rows.withColumn("_spread", spread)
-        .repartitionByRange(_file_count(spark, table, target_bytes), *ranges, "_spread")
-        .sortWithinPartitions(*ranges)
-        .drop("_spread", *[c for c in order if c.startswith("_")])
+    if partition_by and largest <= target_bytes:
+        moved = rows.repartition(max(1, partitions), *partition_by)
+    else:
+        spread = F.xxhash64(*[c for c in rows.columns if c not in order])
+        files = max(1, math.ceil(total / target_bytes))
+        moved = rows.withColumn("_spread", spread).repartitionByRange(files, *ranges, "_spread")
+    laid_out = moved.sortWithinPartitions(*ranges) if ranges else moved
+    helpers = ["_spread", *[c for c in order if c.startswith("_")]]
+    return snapshots.commit(
+        laid_out.drop(*helpers), table, partition_by, operation, committed_at, layout=False
     )
-    return snapshots.commit(laid_out, table, partition_by, operation, committed_at, layout=False)
 
 
 def compact(

@@ -110,6 +110,8 @@ def run_ml(spark: SparkSession, lake: Medallion) -> DataFrame:
 
 def run_maintenance(spark: SparkSession, lake: Medallion) -> DataFrame:
     done = maintenance.optimize_tables(spark, lake.tables(), CLUSTER_COLUMNS)
+    newest_two = maintenance.compare_versions(spark, lake.silver).collect()
+    log.info("silver rows by version: %s", {r["version"]: r["row_count"] for r in newest_two})
     cleaned = [lake.bronze, lake.silver, lake.features]
     maintenance.vacuum_tables(spark, {p.rsplit("/", 1)[1]: p for p in cleaned})
     return done

@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from windrow.llm import sharding, url_filter
-from windrow.llm.common import table
+from windrow.llm import sharding, token_files, url_filter
+from windrow.llm.common import new_path, table
 from windrow.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _queries: dict[str, Query] = {}
 
+END_ID = 2
 #: host, path, action
 URL_RULES = [
     ("org", "/", "allow"),
@@ -24,6 +25,12 @@ URL_RULES = [
 ]
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(run: Query) -> Query:
     _queries[run.__name__] = run
     return run
@@ -37,6 +44,15 @@ def llm_oracles() -> dict[str, str]:
     return dict(ORACLES)
 
 
+@query
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    token_files.write_token_file(
+        table(spark, sf_dir, "documents"), path, tokenizer_path(), END_ID
+    )
+    return token_files.token_digests(spark, path)
+
+
 @query
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), weights=[1.0] * 8)

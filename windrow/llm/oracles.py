@@ -22,4 +22,19 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM urls LEFT JOIN fits ON h = host AND p = path AND place = 1
 """
 
-ORACLES: dict[str, str] = {"op8_url_filters": OP8}
+OP6 = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 64)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLES: dict[str, str] = {"op6_top_k": OP6, "op8_url_filters": OP8}

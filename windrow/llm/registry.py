@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from windrow.llm import sharding, token_files, url_filter
+from windrow.llm import mips, sharding, token_files, url_filter
 from windrow.llm.common import new_path, table
 from windrow.llm.oracles import ORACLES
 
@@ -53,6 +53,12 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(spark, path)
 
 
+@query
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = mips.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return mips.exact_top_k(vectors, is_query="vec_id % 20 = 0", k=20)
+
+
 @query
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), weights=[1.0] * 8)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from windrow.llm import mips, sharding, token_files, url_filter
+from windrow.llm import mips, quality_crf, sharding, token_files, url_filter
 from windrow.llm.common import new_path, table
 from windrow.llm.oracles import ORACLES
 
@@ -53,6 +54,17 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(spark, path)
 
 
+@query
+def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_crf.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality_crf.score_documents(docs, model)
+    predicted = (F.col("score") >= quality_crf.THRESHOLD).cast("int")
+    return scored.select(
+        "doc_id", quality_crf.in_held_out().alias("held_out"), "score", predicted.alias("predicted")
+    )
+
+
 @query
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = mips.integer_vectors(table(spark, sf_dir, "embeddings"))

@@ -22,6 +22,28 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM urls LEFT JOIN fits ON h = host AND p = path AND place = 1
 """
 
+OP2 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, list_aggregate(w[i : i + 4], 'string_agg', ' ') AS s
+    FROM words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+    SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
+reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT d.doc_id, coalesce(max(sizes.n), 0) AS n_shingles, min(reach.other) AS component_id
+FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id
+"""
+
 OP6 = """
 WITH vectors AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 64)) AS v
@@ -37,4 +59,4 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-ORACLES: dict[str, str] = {"op6_top_k": OP6, "op8_url_filters": OP8}
+ORACLES: dict[str, str] = {"op2_jaccard_join": OP2, "op6_top_k": OP6, "op8_url_filters": OP8}

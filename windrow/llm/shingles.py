@@ -24,11 +24,16 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words ``[^\\x20\\x09-\\x0D]+``, A-Z read as a-z, and words per text."""
+def word_hashes(texts: list[str], separators: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words ``[^\\x20\\x09-\\x0D]+``, A-Z read as a-z, and words per text.
+
+    ``separators`` are further bytes that part words.
+    """
+    is_space = _IS_SPACE.copy()
+    is_space[list(separators)] = True
     parts = [t.encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b"\n".join(parts) + b"\n", dtype=np.uint8)
-    blank = _IS_SPACE[data]
+    blank = is_space[data]
     edges = np.flatnonzero(np.diff(np.concatenate([[True], blank])))
     begins, ends = edges[::2], edges[1::2]
     if len(begins) == 0:

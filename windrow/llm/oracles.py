@@ -59,4 +59,59 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-ORACLES: dict[str, str] = {"op2_jaccard_join": OP2, "op6_top_k": OP6, "op8_url_filters": OP8}
+
+
+def _rake_rounds(rounds: int) -> tuple[str, str]:
+    """One common table expression for each step of the fit; and the name of the last."""
+    exponents = {"source": 0.6, "lang": 0.7, "topic": 0.8}
+    targets = ", ".join(
+        f"pow(sum(n) OVER (PARTITION BY {m}), {e})" f" / sum_{m} AS t_{m}" for m, e in exponents.items()
+    )
+    wholes = ", ".join(
+        f"(SELECT sum(p) FROM (SELECT pow(sum(n), {e}) AS p FROM cells GROUP BY {m})) AS sum_{m}"
+        for m, e in exponents.items()
+    )
+    steps = [
+        f"wholes AS (SELECT {wholes})",
+        f"step_0 AS MATERIALIZED (SELECT source, lang, topic, n, n / sum(n) OVER () AS w, {targets} "
+        "FROM cells, wholes)",
+    ]
+    last = 0
+    for _ in range(rounds):
+        for margin in exponents:
+            steps.append(
+                f"step_{last + 1} AS MATERIALIZED (SELECT * REPLACE (w * t_{margin} / "
+                f"sum(w) OVER (PARTITION BY {margin}) AS w) FROM step_{last})"
+            )
+            last += 1
+    return ", ".join(steps), f"step_{last}"
+
+
+_STEPS, _LAST = _rake_rounds(20)
+OP9 = rf"""
+WITH counted AS (
+    SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+        list_sort([
+            {{'o': -len(regexp_extract_all(coalesce(text, ''), '\|')), 'name': 'tables'}},
+            {{'o': -len(regexp_extract_all(coalesce(text, ''), '[A-Z]{{3,}}')), 'name': 'shouting'}},
+            {{'o': -len(regexp_extract_all(coalesce(text, ''), '[#$%&*]{{2,}}')), 'name': 'markup'}},
+            {{'o': -len(regexp_extract_all(coalesce(text, ''), '[0-9]{{2,}}')), 'name': 'figures'}}])[1] AS best
+    FROM documents),
+labelled AS MATERIALIZED (
+    SELECT doc_id, source, lang, CAST(words + 1 AS BIGINT) AS n_tokens,
+        CASE WHEN best.o < 0 AND -best.o * 100 >= words * 5 THEN best.name ELSE 'prose' END AS topic
+    FROM counted),
+cells AS MATERIALIZED (
+    SELECT source, lang, topic, CAST(sum(n_tokens) AS BIGINT) AS n FROM labelled GROUP BY ALL),
+{_STEPS},
+odds AS (
+    SELECT source, lang, topic, w,
+        least(1.0::DOUBLE, 0.7::DOUBLE * w * sum(n) OVER () / n) AS probability FROM {_LAST})
+SELECT doc_id, source, lang, topic, n_tokens, round(w, 9) AS weight, round(probability, 9) AS probability
+FROM labelled JOIN odds USING (source, lang, topic)
+WHERE (('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '/0'), 1, 13))::BIGINT + 0.5)
+    / 4503599627370496.0 < probability
+"""
+
+ORACLES: dict[str, str] = {"op2_jaccard_join": OP2, "op6_top_k": OP6, "op8_url_filters": OP8, "op9_mixing": OP9}

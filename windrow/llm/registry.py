@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import decontamination, jaccard_join, mips, quality_crf, sharding, token_files, url_filter
+from windrow.llm import (
+    decontamination, jaccard_join, mips, mixing, quality_crf, sharding, token_files, url_filter,
+)
 from windrow.llm.common import new_path, table
 from windrow.llm.oracles import ORACLES
 
@@ -16,6 +18,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
 
 END_ID = 2
+#: How far the mix flattens the shares that sources, languages and topics have (1: not at all).
+MIX_EXPONENTS = {"source": 0.6, "lang": 0.7, "topic": 0.8}
+MIX_RATE = 0.7
 #: host, path, action
 URL_RULES = [
     ("org", "/", "allow"),
@@ -92,3 +97,8 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"), MIX_EXPONENTS, MIX_RATE)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from windrow.llm.licenses import TEMPLATES
+
 OP8 = r"""
 WITH rules(rule_host, rule_path, action) AS (VALUES
     ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
@@ -114,4 +116,34 @@ WHERE (('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '/0'), 1, 13
     / 4503599627370496.0 < probability
 """
 
-ORACLES: dict[str, str] = {"op2_jaccard_join": OP2, "op6_top_k": OP6, "op8_url_filters": OP8, "op9_mixing": OP9}
+def _license_oracle(templates: list[tuple[str, str]]) -> str:
+    rows = ", ".join(f"('{name}', '{text}')" for name, text in templates)
+    return rf"""
+WITH templates(license, text) AS (VALUES {rows}),
+template_words AS (
+    SELECT license, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM templates),
+template_shingles AS MATERIALIZED (
+    SELECT DISTINCT license, list_aggregate(w[i : i + 4], 'string_agg', ' ') AS s
+    FROM template_words, unnest(range(1, len(w) - 3)) AS t(i)),
+sizes AS (SELECT license, count(*) AS n FROM template_shingles GROUP BY license),
+words AS (
+    SELECT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM documents),
+hits AS MATERIALIZED (
+    SELECT doc_id, license, p, s, n, greatest(1, n // 4) AS stride
+    FROM (SELECT doc_id, i - 1 AS p, list_aggregate(w[i : i + 4], 'string_agg', ' ') AS s
+        FROM words, unnest(range(1, len(w) - 3)) AS t(i))
+    JOIN template_shingles USING (s) JOIN sizes USING (license)),
+windows AS (
+    SELECT doc_id, license, k * stride AS start, count(DISTINCT s) / max(n) AS containment
+    FROM hits, unnest(range(greatest(0, CAST(ceil((p - (n + stride - 1)) / stride) AS BIGINT)),
+        p // stride + 1)) AS t(k)
+    GROUP BY doc_id, license, start)
+SELECT doc_id, license, round(max(containment), 6) AS containment,
+    CAST(arg_min(start, (-containment, start)) AS INTEGER) AS first_word
+FROM windows WHERE containment >= 0.75 GROUP BY doc_id, license
+"""
+
+
+OP10 = _license_oracle(TEMPLATES)
+
+ORACLES: dict[str, str] = {"op2_jaccard_join": OP2, "op6_top_k": OP6, "op8_url_filters": OP8, "op9_mixing": OP9, "op10_license_scan": OP10}

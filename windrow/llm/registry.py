@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.llm import (
-    decontamination, jaccard_join, mips, mixing, quality_crf, sharding, token_files, url_filter,
+    decontamination, jaccard_join, licenses, mips, mixing, quality_crf, sharding, token_files, url_filter,
 )
 from windrow.llm.common import new_path, table
 from windrow.llm.oracles import ORACLES
@@ -102,3 +102,8 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"), MIX_EXPONENTS, MIX_RATE)
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.TEMPLATES)

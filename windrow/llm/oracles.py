@@ -46,6 +46,31 @@ SELECT d.doc_id, coalesce(max(sizes.n), 0) AS n_shingles, min(reach.other) AS co
 FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id
 """
 
+OP3 = """
+WITH bytes AS (SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS MATERIALIZED (
+    SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS w
+    FROM bytes, unnest(range(0, CAST(len(h) // 2 AS BIGINT) - 99)) AS t(i)),
+ranked AS (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS place FROM windows),
+gone AS MATERIALIZED (SELECT doc_id, i FROM ranked WHERE place > 1),
+starts AS (
+    SELECT doc_id, i, i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, -1) AS new FROM gone),
+runs AS (SELECT *, sum(CAST(new AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM starts),
+spans AS (SELECT doc_id, run, min(i) AS b, max(i) + 100 AS e FROM runs GROUP BY ALL),
+gaps AS (
+    SELECT doc_id, coalesce(lag(e) OVER w, 0) AS b, b AS e FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY b)
+    UNION ALL SELECT doc_id, max(e), NULL FROM spans GROUP BY doc_id),
+kept AS (
+    SELECT doc_id, string_agg(CASE WHEN gaps.e IS NULL THEN substr(h, 2 * gaps.b + 1)
+        ELSE substr(h, 2 * gaps.b + 1, 2 * (gaps.e - gaps.b)) END, '' ORDER BY gaps.b, gaps.e NULLS LAST) AS h
+    FROM gaps JOIN bytes USING (doc_id) GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n FROM spans GROUP BY doc_id)
+SELECT bytes.doc_id, CAST(len(bytes.h) // 2 AS BIGINT) AS n_bytes,
+    CAST((len(bytes.h) - len(coalesce(kept.h, bytes.h))) // 2 AS BIGINT) AS n_removed,
+    CAST(coalesce(counts.n, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.h, bytes.h))) AS kept_sha256
+FROM bytes LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""
+
 OP6 = """
 WITH vectors AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 64)) AS v
@@ -146,4 +171,4 @@ FROM windows WHERE containment >= 0.75 GROUP BY doc_id, license
 
 OP10 = _license_oracle(TEMPLATES)
 
-ORACLES: dict[str, str] = {"op2_jaccard_join": OP2, "op6_top_k": OP6, "op8_url_filters": OP8, "op9_mixing": OP9, "op10_license_scan": OP10}
+ORACLES: dict[str, str] = {"op2_jaccard_join": OP2, "op3_suffix_dedup": OP3, "op6_top_k": OP6, "op8_url_filters": OP8, "op9_mixing": OP9, "op10_license_scan": OP10}

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.llm import (
-    decontamination, jaccard_join, licenses, mips, mixing, quality_crf, sharding, token_files, url_filter,
+    decontamination, jaccard_join, licenses, mips, mixing, quality_crf, sharding, suffix_family,
+    token_files, url_filter,
 )
-from windrow.llm.common import new_path, table
+from windrow.llm.common import let_workers_import, new_path, table
 from windrow.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,8 +40,13 @@ def tokenizer_path() -> str:
 
 
 def query(run: Query) -> Query:
-    _queries[run.__name__] = run
-    return run
+    @wraps(run)
+    def ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+        let_workers_import(spark)
+        return run(spark, sf_dir)
+
+    _queries[run.__name__] = ready
+    return ready
 
 
 def llm_queries() -> dict[str, Query]:
@@ -64,6 +71,11 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_family.remove_repeats(table(spark, sf_dir, "documents"), n_batches=2)
+
+
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(

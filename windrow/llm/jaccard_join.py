@@ -8,10 +8,10 @@ Distance 1 - Jaccard is a metric, so a pivot p proves |d(r, p) - d(s, p)| <= d(r
 3. measures every document's distance to its pivots; those within the radius are linked to
    the pivot, and so to one another;
 4. joins each region: only pairs within the radius of each other's pivot distance can link,
-   and of these, pairs that hang on the pivot already need no look. A large region draws
-   further pivots among its members; every member goes to the cell of its nearest pivot, and
-   as a guest to every cell whose pivot is at most two radii further away; cells are joined
-   in turn, block by block.
+   and of these, pairs that are connected already need no look. A large region draws further
+   pivots among its members and is cut into Voronoi cells; members that do not hang together
+   with most of the region visit every cell whose pivot is at most two radii further away than
+   their own, and cells are joined in turn, block by block, each by a pivot of its own.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrow.llm.common import stored
@@ -301,6 +301,9 @@ _ROOM = 1e-9
 _RADIUS = 1 - PERCENT / 100
 
 
+_NO_GROUP = np.iinfo(np.int64).min
+
+
 class _Union:
     def __init__(self, n: int):
         self.parent = np.arange(n)
@@ -325,19 +328,23 @@ class _Union:
 
 
 def join_region(
-    nodes: np.ndarray, sets: list[np.ndarray], home: np.ndarray, tied: np.ndarray
+    nodes: np.ndarray, sets: list[np.ndarray], home: np.ndarray, groups: np.ndarray,
+    among_home: bool = True,
 ) -> list[tuple[int, int]]:
     """Links that connect what the region's pairs with a home member connect.
 
     The member of least hash is the pivot; the others are joined by windows of their distance
     to it. Two members of one component need no look: the result connects the same nodes as
-    all links would. ``tied`` members are known to be connected.
+    all links would. Members of the same group (_NO_GROUP: none) are known to be connected. Pairs
+    of two home members are left out unless ``among_home``.
     """
     region, union = _Region(sets), _Union(len(nodes))
     everyone = np.arange(len(nodes))
     links: list[tuple[int, int]] = []
-    for row in np.flatnonzero(tied)[1:].tolist():
-        union.join(int(np.flatnonzero(tied)[0]), row)
+    for names, named in ((nodes, everyone), (groups, everyone[groups != _NO_GROUP])):
+        _, first, same = np.unique(names[named], return_index=True, return_inverse=True)
+        for row, leader in zip(named.tolist(), named[first[same]].tolist(), strict=True):
+            union.join(row, leader)
 
     def link(row: int, others: np.ndarray) -> None:
         for other in others.tolist():
@@ -360,7 +367,7 @@ def join_region(
         others = by_distance[lo:hi]
         sizes = region.sizes[others]
         fits = (100 * np.minimum(sizes, region.sizes[row]) >= PERCENT * np.maximum(sizes, region.sizes[row]))
-        fits &= (others > row) | ~home[others]
+        fits &= ((others > row) & among_home) | ~home[others]
         others = others[fits]
         roots = union.roots()
         others = others[roots[others] != roots[row]]
@@ -383,20 +390,35 @@ def _columns(group: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
 
 
 def _join_group(group: pa.Table) -> pa.Table:
-    home, tied = group.column("home").to_numpy(), group.column("tied").to_numpy()
-    if len(home) < 2 or not home.any():
+    """Links of a whole region."""
+    if group.num_rows < 2:
         return _links_table([])
     nodes, sets = _columns(group)
-    return _links_table(join_region(nodes, sets, home, tied))
+    alone = np.full(len(nodes), _NO_GROUP)
+    return _links_table(join_region(nodes, sets, np.ones(len(nodes), dtype=bool), alone))
 
 
-_CELLS = "region string, cell bigint, node bigint, home boolean, tied boolean"
+def _join_visitors(group: pa.Table) -> pa.Table:
+    """Links between a cell's visitors and its residents."""
+    visits = group.column("visits").to_numpy()
+    if not visits.any() or visits.all():
+        return _links_table([])
+    nodes, sets = _columns(group)
+    known = pa.concat_arrays(group.column("component").chunks).fill_null(_NO_GROUP).to_numpy()
+    return _links_table(join_region(nodes, sets, visits, known, among_home=False))
+
+
+_CELLS = "region bigint, cell bigint, node bigint, home boolean, tied boolean"
 
 
 def _measure(group: pa.Table) -> pa.Table:
-    """Cells of a block of members: home at the nearest pivot, guest where partners may live."""
+    """Distances of a block of members to all pivots of their region.
+
+    One row for each cell (pivot) that a member lives in (``home``: the nearest pivot), may find
+    partners in (a pivot at most two radii further away), or is linked to (``tied``).
+    """
     nodes, sets = _columns(group)
-    is_pivot, is_home = group.column("is_pivot").to_numpy(), group.column("home").to_numpy()
+    is_pivot = group.column("is_pivot").to_numpy()
     pivots, members = np.flatnonzero(is_pivot), np.flatnonzero(~is_pivot)
     found = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0, bool),) * 2]
     if len(pivots) and len(members):
@@ -405,99 +427,110 @@ def _measure(group: pa.Table) -> pa.Table:
         linked = np.stack([region.linked(p, members) for p in pivots.tolist()])
         nearest = away.argmin(axis=0)
         cell, member = np.nonzero(away <= away.min(axis=0) + 2 * _RADIUS + _ROOM)
-        at_home = (nearest[member] == cell) & is_home[members[member]]
-        found.append((nodes[pivots[cell]], nodes[members[member]], at_home, linked[cell, member]))
+        found.append(
+            (nodes[pivots[cell]], nodes[members[member]], nearest[member] == cell, linked[cell, member])
+        )
     cells, inside, home, tied = (np.concatenate(x) for x in zip(*found, strict=True))
     region_name = group.column("region")[0].as_py()
     return pa.table(
         {
-            "region": pa.array([region_name] * len(cells), pa.string()), "cell": pa.array(cells),
+            "region": pa.array([region_name] * len(cells), pa.int64()), "cell": pa.array(cells),
             "node": pa.array(inside), "home": pa.array(home), "tied": pa.array(tied),
         }
     )
 
 
-def _sizes(members: DataFrame) -> DataFrame:
-    return members.groupBy("region").agg(
-        F.count("*").alias("n"), F.sum(F.col("home").cast("int")).alias("n_home")
-    )
+def _blocks(n: Column) -> Column:
+    return F.ceil(n / REGION_ROWS).cast("int")
 
 
-def _split(members: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
-    """One more level of Voronoi cells for regions (all of more than REGION_ROWS members).
+def _block(salt: str, n_blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("node", F.lit(salt)), n_blocks).cast("int")
 
-    Of n members about 2 n / REGION_ROWS + 4 become pivots, by their hash. Members are measured
-    in blocks against all pivots of their region.
-    """
-    drawn = F.pmod(F.xxhash64("region", "node"), F.col("n")) < 2 * F.col("n") / REGION_ROWS + 4
-    sized = members.drop("tied").join(sizes, "region")
-    n_blocks = F.ceil(F.col("n") / REGION_ROWS).cast("int")
-    block = F.pmod(F.xxhash64("node", F.lit("block")), n_blocks).cast("int")
-    asked = sized.select("region", "node", "home", F.lit(False).alias("is_pivot"), block.alias("block"))
-    pivots = sized.where(drawn).select(
-        "region", "node", "home", F.lit(True).alias("is_pivot"),
+
+def _measured(members: DataFrame, drawn: DataFrame, sets: DataFrame) -> DataFrame:
+    """All members (region, node, n) of large regions measured against the pivots (region, node)."""
+    n_blocks = _blocks(F.col("n"))
+    asked = members.select("region", "node", F.lit(False).alias("is_pivot"), _block("block", n_blocks).alias("block"))
+    sizes = members.select("region", "n").distinct()
+    pivots = drawn.join(sizes, "region").select(
+        "region", "node", F.lit(True).alias("is_pivot"),
         F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block"),
     )
     rows = asked.unionByName(pivots).join(sets, "node")
-    cells = rows.groupBy("region", "block").applyInArrow(_measure, _CELLS)
-    return stored(cells, "jaccard-cells")
-
-
-def _block_pairs(members: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links of regions of any size: each pair of blocks of a region is joined by one task."""
-    n_blocks = F.ceil(F.col("n") / REGION_ROWS).cast("int")
-    block = F.pmod(F.xxhash64("node", F.lit("pair")), F.col("n_blocks")).cast("int")
-    blocked = (
-        members.join(sizes, "region").withColumn("n_blocks", n_blocks).withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-        .select(
-            "region", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-            "node", "home", "tied",
-        )
+    return stored(rows.groupBy("region", "block").applyInArrow(_measure, _CELLS), "jaccard-cells")
+
+
+def _ties(cells: DataFrame) -> DataFrame:
+    return cells.where("tied and node <> cell").select(F.col("node").alias("a"), F.col("cell").alias("b"))
+
+
+def _draw(rows: DataFrame, salt: str) -> DataFrame:
+    """About 2 n / REGION_ROWS + 16 of a region's n rows, by their hash."""
+    share = F.pmod(F.xxhash64("region", "node", F.lit(salt)), F.col("n"))
+    return rows.where(share < 2 * F.col("n") / REGION_ROWS + 16).select("region", "node")
+
+
+def _large_regions(members: DataFrame, sets: DataFrame) -> list[DataFrame]:
+    """Links of regions (region, node, n) with more members than one task should join.
+
+    Pivots are drawn in two rounds, among all members and among those that no pivot is linked
+    to; each is measured against the whole region. The first round's Voronoi cells are then
+    joined: every member resides in the cell of its nearest pivot. What hangs together already
+    needs no look, so only members outside the region's largest component visit, and of the
+    cells only those whose pivot is at most two radii further from them than their own. Blocks
+    of visitors meet blocks of residents.
+    """
+    own = members.where("node = region").select("region", "node")
+    cells = _measured(members, _draw(members, "first").unionByName(own).distinct(), sets)
+    free = members.join(_ties(cells), F.col("node") == F.col("a"), "left_anti")
+    left = free.groupBy("region").agg(F.count("*").alias("n"))
+    second = _measured(members, _draw(free.drop("n").join(left, "region"), "second"), sets)
+    ties = stored(_ties(cells).unionByName(_ties(second)), "jaccard-ties")
+    known = stored(connected_components(ties), "jaccard-known")
+    named = members.select("region", "node").join(known, "node", "left")
+    counts = named.where("component is not null").groupBy("region", "component").count()
+    largest = counts.groupBy("region").agg(F.max_by("component", "count").alias("largest"))
+    named = stored(named.join(largest, "region", "left"), "jaccard-named")
+    outside = ~F.coalesce(F.col("component") == F.col("largest"), F.lit(False))
+    visitors = cells.join(named.where(outside).select("region", "node", "component"), ["region", "node"])
+    residents = cells.where("home").join(named.select("region", "node", "component"), ["region", "node"])
+    visits = visitors.groupBy("region", "cell").agg(F.count("*").alias("n_visits"))
+    stays = residents.groupBy("region", "cell").agg(F.count("*").alias("n_stays"))
+    sizes = stored(visits.join(stays, ["region", "cell"]), "jaccard-sizes")
+    v_blocks, r_blocks = _blocks(F.col("n_visits")), _blocks(F.col("n_stays"))
+    first, last = F.lit(0), F.lit(1)
+    coming = visitors.join(sizes, ["region", "cell"]).select(
+        "region", "cell", "node", "component", F.lit(True).alias("visits"),
+        _block("visitor", v_blocks).alias("v"), F.explode(F.sequence(first, r_blocks - last)).alias("r"),
+    )
+    living = residents.join(sizes, ["region", "cell"]).select(
+        "region", "cell", "node", "component", F.lit(False).alias("visits"),
+        F.explode(F.sequence(first, v_blocks - last)).alias("v"), _block("resident", r_blocks).alias("r"),
     )
-    rows = blocked.join(sets, "node")
-    return rows.groupBy("region", "low", "high").applyInArrow(_join_group, _LINKS)
+    rows = coming.unionByName(living.select(coming.columns)).join(sets, "node")
+    links = rows.groupBy("region", "cell", "v", "r").applyInArrow(_join_visitors, _LINKS)
+    return [ties, stored(links, "jaccard-links")]
 
 
-def similar_links(sets: DataFrame, max_levels: int = 4) -> DataFrame:
+def similar_links(sets: DataFrame) -> DataFrame:
     """Links (a, b) that connect the same nodes as all pairs of at least 75 % similarity.
 
     ``sets`` has node and hashes (sorted distinct 64-bit shingle hashes), distinct sets only.
-    A region that still is large after ``max_levels`` of cells is joined by pairs of blocks.
     """
     postings = stored(_rare_postings(sets), "jaccard-postings")
     first = F.min(F.struct(F.xxhash64("node").alias("priority"), F.col("node").alias("pivot")))
     pivots = postings.groupBy("hash").agg(first.alias("first"), F.count("*").alias("n"))
-    pivots = pivots.where("n > 1").select("hash", F.col("first.pivot").alias("pivot"))
-    members = (
-        postings.join(pivots, "hash")
-        .select(F.col("pivot").cast("string").alias("region"), "node").distinct()
-        .select("region", "node", F.lit(True).alias("home"), F.lit(False).alias("tied"))
-    )
-    members = stored(members, "jaccard-regions")
-    links = []
-    for level in range(max_levels + 1):
-        sizes = stored(_sizes(members).where("n > 1 and n_home > 0"), "jaccard-sizes")
-        large = sizes.where(F.col("n") > REGION_ROWS)
-        last = level == max_levels or large.isEmpty()
-        links.append(
-            stored(
-                _block_pairs(members, sizes if last else sizes.where(F.col("n") <= REGION_ROWS), sets),
-                "jaccard-links",
-            )
-        )
-        if last:
-            break
-        cells = _split(members, large, sets)
-        links.append(
-            cells.where("tied and node <> cell").select(F.col("node").alias("a"), F.col("cell").alias("b"))
-        )
-        members = cells.select(
-            F.concat_ws("/", "region", F.col("cell").cast("string")).alias("region"), "node", "home", "tied"
-        )
-    found = links[0]
-    for more in links[1:]:
-        found = found.unionByName(more)
+    pivots = pivots.where("n > 1").select("hash", F.col("first.pivot").alias("region"))
+    members = stored(postings.join(pivots, "hash").select("region", "node").distinct(), "jaccard-regions")
+    sizes = members.groupBy("region").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(members.join(sizes, "region"), "jaccard-members")
+    small = members.where(F.col("n") <= REGION_ROWS).join(sets, "node")
+    found = stored(small.groupBy("region").applyInArrow(_join_group, _LINKS), "jaccard-links")
+    large = members.where(F.col("n") > REGION_ROWS)
+    if not large.isEmpty():
+        for more in _large_regions(large, sets):
+            found = found.unionByName(more)
     return found
 
 

@@ -269,30 +269,32 @@ def train(
 
 def score_documents(
     docs: DataFrame, model: LineModel, id_column: str = "doc_id", text_column: str = "text",
-    keep: list[str] | None = None,
+    keep: bool = False, score_column: str = "score",
 ) -> DataFrame:
     """Score of every whole text: the marginals of label good, weighted by line length plus one.
 
     A null text counts as empty: one blank line. One row per input row, null and repeated ids
-    included; no rows give no rows. Returns doc_id and score, or the columns ``keep`` of
-    ``docs`` and ``_score``.
+    included; no rows give no rows. Returns doc_id and the score, or with ``keep`` all columns
+    of ``docs`` and the score (its name must not be one of theirs).
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    kept = [F.col(c) for c in keep] if keep is not None else [F.col(id_column).alias("doc_id")]
-    rows = docs.select(text.alias("_text"), *kept)
-    schema = rows.drop("_text").withColumn(
-        "score" if keep is None else "_score", F.lit(0.0)
-    ).schema
+    kept = docs.columns if keep else [F.col(id_column).alias("doc_id")]
+    if keep and score_column in docs.columns:
+        raise ValueError(f"there is a column {score_column} already")
+    # Names as given cannot clash with those of this function, as columns go by their place.
+    rows = docs.select(*kept, text)
+    names = [*docs.columns, score_column] if keep else ["doc_id", score_column]
+    schema = docs.select(*kept).withColumn(score_column, F.lit(0.0)).schema
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, _DOCS_AT_ONCE):
                 batch = whole.slice(at, _DOCS_AT_ONCE)
-                own, sizes, counts = line_features(batch.column(0).to_pylist())
+                own, sizes, counts = line_features(batch.column(batch.num_columns - 1).to_pylist())
                 good = model.marginals(with_neighbours(own, counts), counts)
                 starts = np.cumsum(counts) - counts
                 score = np.add.reduceat(good * sizes, starts) / np.add.reduceat(sizes, starts)
-                columns = [*batch.columns[1:], pa.array(np.clip(score, 0.0, 1.0))]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+                columns = [*batch.columns[:-1], pa.array(np.clip(score, 0.0, 1.0))]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows.mapInArrow(scored, schema)

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,3 +77,27 @@ def unit_hash(key: Column) -> Column:
     """A number of (0, 1) decided by the text ``key``: 52 bits of its md5."""
     bits = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double")
     return (bits + F.lit(0.5)) / F.lit(float(2**52))
+
+
+#: Bits of the filters below; fixed, so they have a known size wherever they are broadcast.
+FILTER_BITS = 1 << 23
+
+
+def filter_place(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+
+
+def id_filter(ids: DataFrame, key: str) -> np.ndarray:
+    """Bits (in 64-bit words) at the hashes of the keys of ``ids``: 1 MB, however many there
+    are. Once it is full it only lets more through."""
+    at = filter_place(key)
+    words = ids.select((at / 64).cast("int").alias("word"), (at % 64).cast("int").alias("bit"))
+    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit")))
+    found = words.groupBy("word").agg(bits.alias("bits")).toPandas()
+    filled = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    filled[found["word"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.int64)
+    return filled
+
+
+def passes(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bits[places // 64] >> (places % 64)) & 1 == 1

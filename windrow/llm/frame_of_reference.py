@@ -22,6 +22,7 @@ import numpy as np
 BLOCK = 128
 _HEAD = struct.Struct("<4sIIIQ")
 _MAGIC = b"PFOR"
+_SHORT_BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
 
 
 @dataclass
@@ -34,6 +35,8 @@ class Segment:
 
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
     """Bits that each value needs; values are below 2**32, so the exponent is exact."""
+    if values.size and values.max() < len(_SHORT_BITS):
+        return _SHORT_BITS[values]
     return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
 
 

@@ -20,39 +20,79 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from windrow.llm import frame_of_reference as pfor
+from windrow.llm.anchors import Fingerprints
 
 SEGMENT_IDS = 1 << 20
-#: Encoded chunks a worker keeps; frequent chunks come early, so later ones are not kept.
-CACHE_ENTRIES = 600_000
+#: Encoded chunks a worker keeps (about 40 bytes each) before it starts anew.
+CACHE_ENTRIES = 2_000_000
+#: New chunks that are kept apart until they are worth merging into the sorted table.
+RECENT_ENTRIES = 100_000
 #: Documents encoded together.
-ENCODE_DOCS = 1024
+ENCODE_DOCS = 512
 _SEGMENTS = "part int, seq int, first bigint, n_docs bigint, n_ids bigint, segment binary"
 _DIGESTS = "part int, in_part bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint"
 _IDS = "part int, in_part bigint, doc_id bigint, ids array<bigint>"
-#: A space that a non-space follows. The byte-level pre-tokenizer always starts a new piece at
-#: such a space, so chunks between them can be encoded alone.
-_CHUNK_START = re.compile(r" (?=\S)")
-#: Spaces that a space follows, or the end.
-_OTHER_SPACE = re.compile(r" (?:\s|\Z)")
+#: Bytes that may follow a space at which a chunk starts: neither white space nor the first byte
+#: of white space beyond ASCII. The byte-level pre-tokenizer starts a piece at such a space in
+#: any text, so the chunks between them can be encoded alone.
+_MAY_FOLLOW = np.ones(256, dtype=bool)
+_MAY_FOLLOW[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0xC2, 0xE1, 0xE2, 0xE3]] = False
+_SPACE = 32
 _ANY_SPACE = re.compile(r"\s")
 #: How byte-level vocabularies write a space and a newline.
 _SPACE_MARK, _NEWLINE_MARK = "\u0120", "\u010a"
 
 
-class _Chunks(dict):
-    """Ids by chunk; ``passing`` holds those of the batch at hand that are not kept."""
+class _Chunks:
+    """Ids of chunks by the chunks' 64-bit hashes, in two sorted tables."""
 
-    passing: dict[str, bytes]
+    def __init__(self) -> None:
+        self.clear()
 
-    def __missing__(self, chunk: str) -> bytes:
-        return self.passing[chunk]
+    def clear(self) -> None:
+        self.pool = np.zeros(1 << 16, dtype=np.uint32)
+        self.used = 0
+        nothing = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.tables = [nothing, nothing]
+
+    def __len__(self) -> int:
+        return sum(len(t[0]) for t in self.tables)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start in the pool (-1: unknown) and number of ids of each hash."""
+        start, count = np.full(len(hashes), -1), np.zeros(len(hashes), np.int64)
+        for known, starts, counts in self.tables:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = known[at] == hashes
+                start[hit], count[hit] = starts[at[hit]], counts[at[hit]]
+        return start, count
+
+    def add(self, hashes: np.ndarray, ids: list[np.ndarray]) -> None:
+        """New hashes in ascending order, with their ids."""
+        counts = np.array([len(i) for i in ids], dtype=np.int64)
+        total = int(counts.sum())
+        if self.used + total > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(len(self.pool) + total, np.uint32)])
+        self.pool[self.used : self.used + total] = np.concatenate(ids)
+        new = (hashes, self.used + np.cumsum(counts) - counts, counts)
+        self.used += total
+        self.tables[1] = _merged(self.tables[1], new)
+        if len(self.tables[1][0]) > RECENT_ENTRIES:
+            self.tables = [_merged(*self.tables), tuple(c[:0] for c in new)]
+
+
+def _merged(a: tuple, b: tuple) -> tuple:
+    order = np.argsort(np.concatenate([a[0], b[0]]), kind="stable")
+    return tuple(np.concatenate([x, y])[order] for x, y in zip(a, b, strict=True))
 
 
 class ChunkEncoder:
     """Encodes texts with a tokenizer, each distinct chunk once.
 
     The ids equal those of ``Tokenizer.encode(text, add_special_tokens=False)``: texts that hold
-    an added token's text are encoded whole, others in chunks that no merge crosses.
+    an added token's text are one chunk, others are cut where no merge crosses. Chunks are told
+    apart by 64-bit hashes.
     """
 
     def __init__(self, path: str):
@@ -65,53 +105,71 @@ class ChunkEncoder:
         tokens = (self.tokenizer.id_to_token(i) or "" for i in range(size))
         self.starts = np.array([t.startswith(_SPACE_MARK) for t in tokens])
         self.newline = self.tokenizer.token_to_id(_NEWLINE_MARK)
-        self.first, self.later = _Chunks(), _Chunks()
-
-    def _learn(self, chunks: set[str], known: _Chunks, lead: str) -> None:
-        new = [c for c in chunks if c not in known]
-        known.passing = {}
-        found = known if len(known) + len(new) <= CACHE_ENTRIES else known.passing
-        # Encode the new chunks as one text and cut the ids: before every token that starts
-        # with a space, or, for first chunks, at newlines put between them.
-        plain = [c for c in new if not (_ANY_SPACE.search(c) if not lead else " " in c)]
-        if plain:
-            text = "".join([lead + c for c in plain]) if lead else "\n".join(["", *plain])
-            coded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-            ids = np.array(coded[0].ids, dtype="<u4")
-            cuts = np.flatnonzero(self.starts[ids] if lead else ids == self.newline)
-            if len(cuts) == len(plain):
-                data, ends = ids.tobytes(), [*(4 * cuts[1:]).tolist(), 4 * len(ids)]
-                for chunk, cut, end in zip(plain, (4 * cuts).tolist(), ends, strict=True):
-                    found[chunk] = data[cut if lead else cut + 4 : end]
-                new = [c for c in new if c not in found]
-        for chunk in new:
-            ids = self.tokenizer.encode(lead + chunk, add_special_tokens=False).ids
-            found[chunk] = np.array(ids, dtype="<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """One array of uint32 per text."""
-        split: list[list[str] | None] = []
-        firsts: set[str] = set()
-        laters: set[str] = set()
-        for text in texts:
+        self.chunks = _Chunks()
+
+    def _ids(self, text: str) -> np.ndarray:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype=np.uint32)
+
+    def _cut(self, text: str, n_chunks: int, at_newlines: bool) -> list[np.ndarray] | None:
+        """Encodes chunks that stand one after another in ``text`` and cuts the ids: at newlines
+        put before each, or before each token that starts with a space."""
+        coded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        ids = np.array(coded[0].ids, dtype=np.uint32)
+        cuts = np.flatnonzero(ids == self.newline if at_newlines else self.starts[ids])
+        if len(cuts) != n_chunks:
+            return None
+        ends, skip = np.append(cuts[1:], len(ids)).tolist(), int(at_newlines)
+        return [ids[a + skip : b] for a, b in zip(cuts.tolist(), ends, strict=True)]
+
+    def _encode_chunks(self, chunks: list[str]) -> list[np.ndarray]:
+        out: list[np.ndarray | None] = [None] * len(chunks)
+        spaced = [i for i, c in enumerate(chunks) if c[0] == " " and c.rfind(" ") == 0]
+        bare = [i for i, c in enumerate(chunks) if c[0] != " " and not _ANY_SPACE.search(c)]
+        for places, text in (
+            (spaced, "".join([chunks[i] for i in spaced])),
+            (bare, "\n".join(["", *[chunks[i] for i in bare]])),
+        ):
+            cut = self._cut(text, len(places), places is bare) if places else None
+            for i, ids in zip(places, cut or [], strict=cut is not None):
+                out[i] = ids
+        return [self._ids(c) if ids is None else ids for c, ids in zip(chunks, out, strict=True)]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and their number for each text."""
+        parts = [t.encode() for t in texts]
+        sizes = np.array([len(p) for p in parts])
+        data = np.frombuffer(b"".join(parts), np.uint8)
+        if len(data) == 0:
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        ends = np.cumsum(sizes)
+        begins = ends - sizes
+        is_start = (data == _SPACE) & _MAY_FOLLOW[np.append(data[1:], 0)]
+        is_start[ends[sizes > 0] - 1] = False
+        for i, text in enumerate(texts):
             if self.added.search(text):
-                split.append(None)
-                continue
-            chunks = _CHUNK_START.split(text) if _OTHER_SPACE.search(text) else text.split(" ")
-            split.append(chunks)
-            firsts.add(chunks[0])
-            laters.update(chunks[1:])
-        self._learn(firsts, self.first, "")
-        self._learn(laters, self.later, " ")
-        coded = []
-        for text, chunks in zip(texts, split, strict=True):
-            if chunks is None:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                coded.append(np.array(ids, dtype=np.uint32))
-                continue
-            data = self.first[chunks[0]] + b"".join(map(self.later.__getitem__, chunks[1:]))
-            coded.append(np.frombuffer(data, dtype="<u4"))
-        return coded
+                is_start[begins[i] : ends[i]] = False
+        is_start[begins[sizes > 0]] = True
+        starts = np.flatnonzero(is_start)
+        lengths = np.diff(np.append(starts, len(data)))
+        hashes = Fingerprints(data).of(starts, lengths) + lengths.astype(np.uint64)
+        distinct, example, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.chunks) > CACHE_ENTRIES:
+            self.chunks.clear()
+        place, count = self.chunks.find(distinct)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            raw = data.tobytes()
+            at, to = starts[example[new]], starts[example[new]] + lengths[example[new]]
+            some = [raw[a:b].decode() for a, b in zip(at.tolist(), to.tolist(), strict=True)]
+            self.chunks.add(distinct[new], self._encode_chunks(some))
+            place[new], count[new] = self.chunks.find(distinct[new])
+        counts = count[which]
+        first = np.cumsum(counts) - counts
+        ids = self.chunks.pool[np.repeat(place[which] - first, counts) + np.arange(counts.sum())]
+        total = np.append(0, np.cumsum(counts))
+        chunk_ends = np.searchsorted(starts, ends)
+        return ids, np.diff(np.append(0, total[chunk_ends]))
 
 
 @lru_cache(maxsize=4)
@@ -140,7 +198,6 @@ def write_token_file(
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = _encoder(tokenizer_path), TaskContext.get().partitionId()
-        end = np.array([end_id], dtype=np.uint32)
         seq, first = 0, 0
         ids: list[np.ndarray] = []
         keys: list[int | None] = []
@@ -163,11 +220,10 @@ def write_token_file(
         for whole in batches:
             for at in range(0, whole.num_rows, ENCODE_DOCS):
                 batch = whole.slice(at, ENCODE_DOCS)
-                coded = encoder.encode(batch.column(1).to_pylist())
-                for key, code in zip(batch.column(0).to_pylist(), coded, strict=True):
-                    ids += [code, end]
-                    keys.append(key)
-                    sizes.append(len(code) + 1)
+                coded, counts = encoder.encode(batch.column(1).to_pylist())
+                ids.append(np.insert(coded, np.cumsum(counts), end_id))
+                keys += batch.column(0).to_pylist()
+                sizes += (counts + 1).tolist()
                 if sum(sizes) >= SEGMENT_IDS:
                     yield flush()
                     seq, first = seq + 1, first + sum(sizes)

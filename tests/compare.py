@@ -12,7 +12,10 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-TABLES = [p for p in "region nation customer supplier part orders lineitem".split()]
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
 
 
 def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:

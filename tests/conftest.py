@@ -19,8 +19,9 @@ SMALL = {"spark.sql.shuffle.partitions": "2", "spark.default.parallelism": "2"}
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, app="tests", **SMALL)
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(8, app="tests", **SMALL, **{"spark.checkpoint.dir": shared})
     yield session
     session.stop()
 

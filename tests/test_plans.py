@@ -74,6 +74,15 @@ def test_route_kpis_hash_aggregate(bronze):
 
 def test_stratified_split_does_not_move_the_rows(bronze):
     rows = features.features_full(silver(bronze))
-    plan = explain(selection.split_stratified(rows, "target_is_delayed"), "simple")
-    assert "LocalTableScan" in plan and "SortMergeJoin" not in plan
-    assert "hashpartitioning" not in plan
+    split = selection.split_stratified(rows, "target_is_delayed")
+    split.count()
+    # The run-time plan: the cut-offs, one row for each class, are broadcast to the rows.
+    plan = split._jdf.queryExecution().executedPlan()
+    split.write.format("noop").mode("overwrite").save()
+    assert "Python" not in plan.toString() and "CartesianProduct" not in plan.toString()
+
+
+def test_describe_sorts_no_table_in_one_task(bronze):
+    rows = features.features_full(silver(bronze))
+    plan = explain(reports.describe_column(rows, "target_arrival_delay"), "simple")
+    assert plan.count("SinglePartition") == 1 and "Sort" not in plan.split("SinglePartition")[0]

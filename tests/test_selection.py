@@ -1,4 +1,4 @@
-"""Samples and splits depend on keys only, and are exact."""
+"""Samples and splits depend on keys only, whatever they look like, and are exact."""
 
 from __future__ import annotations
 
@@ -14,9 +14,13 @@ def keyed(spark, n: int, label=lambda i: i % 3 == 0):
     return spark.createDataFrame(rows, "flight_id string, y int")
 
 
-def test_sample_is_the_lowest_keys(spark):
+def hashed(key) -> tuple[str, str]:
+    return hashlib.md5(str(key).encode()).hexdigest(), key
+
+
+def test_sample_has_the_lowest_hashes(spark):
     df = keyed(spark, 500)
-    keys = sorted(r[0] for r in df.collect())
+    keys = sorted((r[0] for r in df.collect()), key=hashed)
     for n in (1, 50, 499, 500, 900):
         got = [r[0] for r in selection.sample_lowest(df, n).collect()]
         assert got == keys[:n]
@@ -27,7 +31,14 @@ def test_sample_when_all_keys_share_a_prefix(spark):
     rows = [(f"{i:032x}",) for i in range(200)]
     df = spark.createDataFrame(rows, "flight_id string")
     got = [r[0] for r in selection.sample_lowest(df, 7).collect()]
-    assert got == [f"{i:032x}" for i in range(7)]
+    assert got == sorted((r[0] for r in rows), key=hashed)[:7]
+
+
+def test_plain_number_keys_are_split_evenly(spark):
+    df = spark.range(20_000).select(F.lpad(F.col("id").cast("string"), 12, "0").alias("flight_id"))
+    assert 0.18 < selection.split_hash(df).where("is_test").count() / 20_000 < 0.22
+    assert selection.sample_lowest(df, 100).count() == 100
+    check_stratified(df.withColumn("y", F.lit(1)))
 
 
 def test_hash_split_is_stable_and_about_the_asked_size(spark):
@@ -46,7 +57,7 @@ def check_stratified(df, test_size=0.2):
     for row in rows:
         by_class.setdefault(row["y"], []).append((row["flight_id"], row["is_test"]))
     for members in by_class.values():
-        flags = [test for _, test in sorted(members)]
+        flags = [test for _, test in sorted(members, key=lambda m: hashed(m[0]))]
         wanted = int(len(flags) * test_size + 0.5)
         assert flags == [True] * wanted + [False] * (len(flags) - wanted)
     return rows
@@ -60,8 +71,7 @@ def test_stratified_split_with_tiny_and_skewed_classes(spark):
     check_stratified(keyed(spark, 900, lambda i: 0 if i > 4 else i))
 
 
-def test_stratified_split_beyond_the_local_row_bound(spark, monkeypatch):
-    monkeypatch.setattr(selection, "MAX_LOCAL_ROWS", 2)
+def test_stratified_split_of_many_classes(spark):
     check_stratified(keyed(spark, 300, lambda i: i % 9))
 
 

@@ -144,7 +144,7 @@ def test_compaction_and_clustering_keep_every_row(spark, table, flights):
 def test_one_hot_partition_is_cut_into_files(spark, table, flights):
     snapshots.commit(flights(*[{"DepDelay": float(i)} for i in range(400)]), table, ["Year"])
     size = maintenance.table_info(spark, table)["size_bytes"]
-    maintenance.compact(spark, table, target_bytes=size // 3)
+    maintenance.compact(spark, table, target_bytes=size // 3, everything=True)
     assert maintenance.table_info(spark, table)["file_count"] >= 3
 
 
@@ -186,7 +186,7 @@ def test_vacuum_removes_only_what_no_one_needs(spark, table, two_years):
         snapshots.commit(two_years, table, ["Year"], committed_at=day(version))
     late = datetime(2024, 2, 1)
     assert maintenance.vacuum(spark, table, now=late) == 0
-    maintenance.compact(spark, table, committed_at=day(2))
+    maintenance.compact(spark, table, committed_at=day(2), everything=True)
     assert maintenance.vacuum(spark, table, now=day(5)) == 0
     preview = maintenance.vacuum_preview(spark, table, now=late).collect()
     assert [r["_version"] for r in preview] == [1, 0]
@@ -231,7 +231,7 @@ def test_new_column_reads_as_null_before(spark, table, two_years):
     snapshots.commit(two_years, table, ["Year"])
     extra = two_years.where("Year = 2024").withColumn("Tail", F.lit("N1"))
     snapshots.commit(extra, table, ["Year"])
-    merged = snapshots.read(spark, table, merge_schema=True)
+    merged = snapshots.read(spark, table)
     assert merged.where("Tail IS NULL").count() == 4 and merged.count() == 6
     names = [r["column_name"] for r in maintenance.schema_of(spark, table).collect()]
     assert "Tail" in names and "_version" not in names
@@ -303,3 +303,77 @@ def test_csv_stands_in_for_a_missing_table(spark, tmp_path, two_years):
     assert ingest.table_or_csv(spark, table, csv).count() == 2
     snapshots.commit(two_years, table, ["Year"])
     assert ingest.table_or_csv(spark, table, csv).count() == 4
+
+
+@pytest.mark.parametrize("rewrite", ["compact", "cluster", "upsert"])
+def test_rewrites_keep_later_columns(spark, table, two_years, rewrite):
+    snapshots.commit(two_years, table, ["Year"])
+    extra = two_years.where("Year = 2024").withColumn("Tail", F.lit("N1"))
+    snapshots.commit(extra, table, ["Year"])
+    before = rows_of(snapshots.read(spark, table))
+    if rewrite == "compact":
+        maintenance.compact(spark, table)
+    elif rewrite == "cluster":
+        maintenance.cluster(spark, table, ["Origin"])
+    else:
+        snapshots.upsert(two_years.limit(0), table, ["flight_id"], ["Year"])
+    after = snapshots.read(spark, table)
+    assert "Tail" in after.columns and rows_of(after) == before
+
+
+def test_partition_values_keep_their_type(spark, table):
+    rows = spark.createDataFrame([("007", 1), ("010", 2), (None, 3)], "p string, v int")
+    snapshots.commit(rows, table, ["p"])
+    maintenance.compact(spark, table, everything=True)
+    assert {r["p"] for r in snapshots.read(spark, table).collect()} == {"007", "010", None}
+
+
+def test_upsert_of_many_partitions_and_repeated_keys(spark, table):
+    old = spark.range(3000).select(F.col("id").alias("p"), F.lit("old").alias("v"))
+    snapshots.commit(old.repartition(1), table, ["p"], layout=False)
+    new = old.where("p % 3 > 0").withColumn("v", F.lit("new"))
+    snapshots.upsert(new, table, ["p"], ["p"])
+    counts = {r["v"]: r["count"] for r in snapshots.read(spark, table).groupBy("v").count().collect()}
+    assert counts == {"old": 1000, "new": 2000}
+    with pytest.raises(ValueError):
+        snapshots.upsert(new.unionByName(new), table, ["p"], ["p"])
+
+
+def test_upsert_into_a_null_partition(spark, table):
+    rows = spark.createDataFrame([(None, 1, "old"), (5, 2, "old")], "p int, k int, v string")
+    snapshots.commit(rows, table, ["p"])
+    snapshots.upsert(rows.where("p IS NULL").withColumn("v", F.lit("new")), table, ["p", "k"], ["p"])
+    assert sorted(r["v"] for r in snapshots.read(spark, table).collect()) == ["new", "old"]
+
+
+def test_a_second_compaction_writes_nothing(spark, table, two_years):
+    for _ in range(3):
+        snapshots.commit(two_years, table, ["Year"])
+    first = maintenance.compact(spark, table)
+    assert first == 3 and maintenance.compact(spark, table) == first
+    assert snapshots.current_version(spark, table) == first
+    assert snapshots.read(spark, table).count() == 3 * two_years.count()
+
+
+def test_csv_by_name_and_loudly(spark, tmp_path, flights):
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    ingest.write_csv(flights({"Year": 2023, "Month": 2}).select("Year", "Month"), one)
+    ingest.write_csv(flights({"Year": 2024, "Month": 3}).select("Month", "Year"), two)
+    rows = ingest.read_mixed_csv(spark, [one, two]).collect()
+    assert sorted((r["Year"], r["Month"]) for r in rows) == [(2023, 2), (2024, 3)]
+    with pytest.raises(Exception):
+        ingest.read_csv(spark, [one, two]).collect()
+    bad = str(tmp_path / "bad")
+    ingest.write_csv(spark.createDataFrame([("2024.0", "1")], "Year string, Month string"), bad)
+    with pytest.raises(Exception):
+        ingest.read_csv(spark, bad).collect()
+    counts = {r["column_name"]: r["bad_count"] for r in ingest.bad_values(spark, [one, bad]).collect()}
+    assert counts["Month"] == 0
+
+
+def test_a_year_that_left_the_source_is_reported_as_kept(spark, table, two_years):
+    ingest.ingest_years(two_years, table)
+    again = ingest.ingest_years(two_years.where("Year = 2024"), table).collect()
+    status = {r["Year"]: r["status"] for r in again}
+    assert set(status.values()) == {"kept", "written"} and status[2024] == "written"
+    assert snapshots.read(spark, table).count() == two_years.count()

@@ -77,18 +77,19 @@ def clean_report(df: DataFrame) -> DataFrame:
 
 
 def fill_nulls_by_type(df: DataFrame) -> DataFrame:
-    """Zero, empty text or false for nulls by declared type; other types stay null."""
-    fill: dict[str, float | int | str | bool] = {}
+    """Zero, empty text or false for nulls by declared type; other types, and NaN, stay."""
+    fill: dict[str, Column] = {}
     for field in df.schema.fields:
-        if isinstance(field.dataType, T.FractionalType):
-            fill[field.name] = 0.0
-        elif isinstance(field.dataType, T.IntegralType):
-            fill[field.name] = 0
+        if isinstance(field.dataType, T.FractionalType | T.IntegralType):
+            value: float | str | bool = 0
         elif isinstance(field.dataType, T.StringType):
-            fill[field.name] = ""
+            value = ""
         elif isinstance(field.dataType, T.BooleanType):
-            fill[field.name] = False
-    return df.na.fill(fill) if fill else df
+            value = False
+        else:
+            continue
+        fill[field.name] = F.coalesce(F.col(field.name), F.lit(value).cast(field.dataType))
+    return df.withColumns(fill) if fill else df
 
 
 def normalize_categories(df: DataFrame) -> DataFrame:

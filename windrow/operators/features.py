@@ -23,20 +23,21 @@ def with_targets(df: DataFrame, threshold: float = DELAY_THRESHOLD_MINUTES) -> D
 
 def features_full(silver: DataFrame, threshold: float = DELAY_THRESHOLD_MINUTES) -> DataFrame:
     """Feature table from silver: known delays, available columns, both targets."""
-    rows = select_available(silver, FEATURE_COLUMNS).dropna(subset=["ArrDelay", "DepDelay"])
+    rows = select_available(silver, FEATURE_COLUMNS).where(
+        F.col("ArrDelay").isNotNull() & F.col("DepDelay").isNotNull()
+    )
     return with_targets(rows, threshold)
 
 
 def features_simple(
     raw: DataFrame,
-    limit: int | None = 10_000,
+    limit: int | None = None,
     year: int | None = 2024,
     threshold: float = DELAY_THRESHOLD_MINUTES,
 ) -> DataFrame:
-    """Feature table from raw records: hour, season and route inline, a fixed-size sample.
+    """Feature table from raw records: hour, season and route inline, every qualifying row.
 
-    The sample is taken after the null filter, so it holds ``limit`` rows whenever as many
-    qualify. ``limit=None`` keeps every row.
+    With a ``limit`` it is a sample of that size, taken after the null filter.
     """
     rows = raw if year is None else filter_year(raw, year)
     rows = rows.where(

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrow.functions import columns as fn
+from windrow.operators.selection import key_hash
 from windrow.schemas import CARRIER, DELAY_THRESHOLD_MINUTES
 
 DELAY = "ArrDelay"
@@ -105,10 +106,15 @@ def _partials(measures: Sequence[str], threshold: float, keyed: bool) -> dict[st
         partials["_late"] = F.count_if(fn.is_late(threshold, DELAY))
         partials[f"_n_{DELAY}"] = F.count(DELAY)
     if "distance" in measures:
-        # "First" has no meaning once rows are shuffled: take the row with the lowest key, as
-        # a number (a text key would force a sort-based aggregation of the raw rows).
-        lowest = F.conv(F.substring("flight_id", 1, 15), 16, 10).cast("long")
-        partials["_distance"] = F.min_by("Distance", lowest) if keyed else F.min("Distance")
+        # "First" has no meaning once rows are shuffled: take the row whose key (or, without
+        # one, whose values) has the lowest hash, its first 124 bits as a number: a text would
+        # force a sort-based aggregation of the raw rows.
+        digits = key_hash("flight_id") if keyed else F.md5(F.to_json(F.struct("*")))
+        high, low = (
+            F.conv(F.substring(digits, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17)
+        )
+        lowest = high * F.lit(2**60).cast("decimal(20,0)") + F.floor(low / 16).cast("decimal(20,0)")
+        partials["_distance"] = F.min_by("Distance", lowest.cast("decimal(38,0)"))
     return partials
 
 

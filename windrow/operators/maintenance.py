@@ -12,6 +12,7 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from windrow.operators.ranks import with_running_total
 from windrow.schemas import RETENTION_HOURS, TARGET_FILE_BYTES
 from windrow.sources import snapshots
 
@@ -33,39 +34,29 @@ def table_files(spark: SparkSession, folders: list[str]) -> DataFrame:
     )
 
 
-def _sizes(spark: SparkSession, table: str) -> tuple[int, int, int]:
-    """Partitions of the newest version, bytes of the largest one, and bytes in all."""
-    files = table_files(spark, snapshots.live_folders(spark, table))
-    partition = F.regexp_extract("path", "/_committed_at=[^/]*/(.*?)[^/]*$", 1)
-    sizes = files.groupBy(partition.alias("partition")).agg(F.sum("length").alias("bytes"))
-    row = sizes.agg(F.count(F.lit(1)), F.max("bytes"), F.sum("bytes")).first()
-    return row[0], row[1] or 0, row[2] or 0
-
-
 def _rewrite(
     spark: SparkSession,
     table: str,
     operation: str,
     order: Sequence[str],
     rows: DataFrame,
+    total_bytes: int,
     target_bytes: int,
     committed_at: datetime | None,
 ) -> int:
     """Writes ``rows`` in files of about the target size, sorted by ``order``.
 
-    While every partition fits into one file, rows go to tasks by partition. Beyond that they
-    are range-partitioned by partition columns, ``order`` and a row hash: the hash lets Spark
-    cut through one partition or one cluster value that holds most of the rows.
+    Rows are range-partitioned by partition columns, ``order`` and a row hash: the hash lets
+    Spark cut through one partition or one cluster value that holds most of the rows.
     """
     partition_by = snapshots.partition_columns(spark, table)
-    partitions, largest, total = _sizes(spark, table)
+    lost = set(snapshots.read(spark, table).columns) - set(rows.columns) - set(snapshots.VERSION_COLUMNS)
+    if lost:
+        raise ValueError(f"a rewrite of {table} would lose {sorted(lost)}")
     ranges = [*partition_by, *order]
-    if partition_by and largest <= target_bytes:
-        moved = rows.repartition(max(1, partitions), *partition_by)
-    else:
-        spread = F.xxhash64(*[c for c in rows.columns if c not in order])
-        files = max(1, math.ceil(total / target_bytes))
-        moved = rows.withColumn("_spread", spread).repartitionByRange(files, *ranges, "_spread")
+    spread = F.xxhash64(*[c for c in rows.columns if c not in order])
+    files = max(1, math.ceil(total_bytes / target_bytes))
+    moved = rows.withColumn("_spread", spread).repartitionByRange(files, *ranges, "_spread")
     laid_out = moved.sortWithinPartitions(*ranges) if ranges else moved
     helpers = ["_spread", *[c for c in order if c.startswith("_")]]
     return snapshots.commit(
@@ -73,40 +64,68 @@ def _rewrite(
     )
 
 
+def _files(spark: SparkSession, table: str) -> DataFrame:
+    """Folder, partition (as in the folder's name) and bytes of every file of the newest version."""
+    files = table_files(spark, snapshots.live_folders(spark, table))
+    return files.select(
+        F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"),
+        F.regexp_extract("path", "/_committed_at=[^/]*/(.*?)[^/]*$", 1).alias("partition"),
+        "length",
+    )
+
+
 def compact(
     spark: SparkSession,
     table: str,
     target_bytes: int = TARGET_FILE_BYTES,
     committed_at: datetime | None = None,
+    everything: bool = False,
 ) -> int:
-    """Rewrites the newest version into files of about ``target_bytes``; returns the version."""
-    rows = snapshots.read(spark, table).drop(*snapshots.VERSION_COLUMNS)
-    return _rewrite(spark, table, "compact", [], rows, target_bytes, committed_at)
+    """Merges small files into files of about ``target_bytes``; returns the newest version.
+
+    Only partitions with at least two files below half the target are rewritten; if there are
+    none, nothing is written. ``everything`` rewrites the whole table.
+    """
+    files = _files(spark, table)
+    if everything or not snapshots.partition_columns(spark, table):
+        small = files.where(F.col("length") < target_bytes / 2).count()
+        if small < 2 and not everything:
+            return snapshots.current_version(spark, table)
+        total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+        rows = snapshots.read(spark, table).drop(*snapshots.VERSION_COLUMNS)
+        return _rewrite(spark, table, "compact", [], rows, total, target_bytes, committed_at)
+    small = F.count_if(F.col("length") < target_bytes / 2)
+    needy = files.groupBy("partition").agg(small.alias("small")).where("small > 1")
+    # One row for each folder to rewrite, of those the driver listed to find the files.
+    folders = (
+        files.join(needy, "partition").groupBy("folder").agg(F.sum("length").alias("bytes")).collect()
+    )
+    if not folders:
+        return snapshots.current_version(spark, table)
+    rows = snapshots.read_folders(spark, table, [r["folder"] for r in folders])
+    total = sum(r["bytes"] for r in folders)
+    return _rewrite(
+        spark, table, "replace", [], rows.drop(*snapshots.VERSION_COLUMNS), total, target_bytes, committed_at
+    )
 
 
-def rank_bounds(df: DataFrame, columns: Sequence[str], seed: int = 42) -> dict[str, list]:
+def rank_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
     """Sorted lower bounds of the ranks of each column, at most 256.
 
-    A column with few distinct values gets one rank per value. For others the bounds come
-    from a sample of a fixed expected size, as Spark's own range partitioning does; this
-    decides the layout of files only, never which rows are kept.
+    The bounds are exact quantiles of the column's distinct values, so each rank has about as
+    many values as any other: one each where there are no more values than ranks.
     """
-    rough = df.agg(
-        F.count(F.lit(1)).alias("_n"), *[F.approx_count_distinct(c).alias(c) for c in columns]
-    ).first()
-    few = [c for c in columns if rough[c] <= MAX_RANKS * 0.8]
     bounds = {}
-    if few:
-        sets = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in few]).first()
-        bounds = {c: list(sets[c]) for c in few if len(sets[c]) <= MAX_RANKS}
-    many = [c for c in columns if c not in bounds]
-    if many:
-        share = min(1.0, 40 * MAX_RANKS / max(rough["_n"], 1))
-        rows = df.select(*many).sample(share, seed).collect()
-        for c in many:
-            values = sorted(r[c] for r in rows if r[c] is not None)
-            step = max(1, len(values) // MAX_RANKS)
-            bounds[c] = sorted(set(values[::step]))[:MAX_RANKS]
+    for c in columns:
+        values = df.select(F.col(c).alias("_v")).where(F.col("_v").isNotNull()).distinct()
+        places = with_running_total(values.withColumn("_one", F.lit(1)), "_v", "_one", "_place")
+        places = places.select("_v", (F.col("_place") - 1).alias("_place"))
+        distinct = places.count()
+        ranks = min(MAX_RANKS, max(distinct, 1))
+        rank = F.floor(F.col("_place") * ranks / distinct) if distinct else F.lit(0)
+        before = F.floor((F.col("_place") - 1) * ranks / distinct) if distinct else F.lit(0)
+        starts = places.where((F.col("_place") == 0) | (rank > before)).select("_v")
+        bounds[c] = sorted(row["_v"] for row in starts.collect())
     return bounds
 
 
@@ -156,7 +175,8 @@ def cluster(
     """Rewrites the newest version so that rows close in all ``columns`` share files."""
     rows = snapshots.read(spark, table).drop(*snapshots.VERSION_COLUMNS)
     rows = with_z_value(rows, columns)
-    return _rewrite(spark, table, "cluster", ["_z"], rows, target_bytes, committed_at)
+    total = _files(spark, table).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return _rewrite(spark, table, "cluster", ["_z"], rows, total, target_bytes, committed_at)
 
 
 def vacuum_candidates(
@@ -321,7 +341,7 @@ def compare_versions(
 
 def schema_of(spark: SparkSession, table: str) -> DataFrame:
     """Columns of the newest version across its files, old ones lacking some included."""
-    merged = snapshots.read(spark, table, merge_schema=True)
+    merged = snapshots.read(spark, table)
     fields = [
         (i, f.name, f.dataType.simpleString())
         for i, f in enumerate(merged.schema.fields)

@@ -57,7 +57,9 @@ def prepare(df: DataFrame, features: FeatureSet = FULL) -> DataFrame:
 
 
 def preprocessor(features: FeatureSet) -> Pipeline:
-    """Standardised numerics followed by one-hot categories, as one vector.
+    """Two vectors: ``features`` has standardised numerics and one-hot categories, for linear
+    models; ``indexed`` has plain numerics and category indexes, for trees, which split on sets
+    of categories.
 
     A category not seen in training encodes as all zeros: the indexer keeps it as one extra
     last index, which the encoder drops.
@@ -76,6 +78,7 @@ def preprocessor(features: FeatureSet) -> Pipeline:
             ),
             OneHotEncoder(inputCols=indexes, outputCols=onehots, dropLast=True),
             VectorAssembler(inputCols=["scaled", *onehots], outputCol="features"),
+            VectorAssembler(inputCols=["numeric", *indexes], outputCol="indexed"),
         ]
     )
 
@@ -123,7 +126,9 @@ def feature_names(encoded: DataFrame, features: FeatureSet) -> list[str]:
     return [name.replace("_onehot_", "_", 1) for name in names]
 
 
-def regressors(trees: int = 100, depth: int = 5, seed: int = SEED) -> dict[str, Estimator]:
+def regressors(
+    trees: int = 100, depth: int = 5, seed: int = SEED, bins: int = 32
+) -> dict[str, Estimator]:
     return {
         "linear_regression": LinearRegression(labelCol=DELAY_TARGET),
         "random_forest": RandomForestRegressor(
@@ -131,13 +136,16 @@ def regressors(trees: int = 100, depth: int = 5, seed: int = SEED) -> dict[str,
             numTrees=trees,
             maxDepth=depth,
             featureSubsetStrategy="all",
+            featuresCol="indexed",
+            maxBins=bins,
+            maxMemoryInMB=1024,
             seed=seed,
         ),
     }
 
 
 def classifiers(
-    rows: int, trees: int = 100, depth: int = 5, seed: int = SEED
+    rows: int, trees: int = 100, depth: int = 5, seed: int = SEED, bins: int = 32
 ) -> dict[str, Estimator]:
     """Logistic regression with a unit penalty on the summed loss, and a random forest."""
     return {
@@ -145,7 +153,13 @@ def classifiers(
             labelCol=CLASS_TARGET, maxIter=1000, regParam=1.0 / max(rows, 1), standardization=False
         ),
         "random_forest": RandomForestClassifier(
-            labelCol=CLASS_TARGET, numTrees=trees, maxDepth=depth, seed=seed
+            labelCol=CLASS_TARGET,
+            numTrees=trees,
+            maxDepth=depth,
+            featuresCol="indexed",
+            maxBins=bins,
+            maxMemoryInMB=1024,
+            seed=seed,
         ),
     }
 
@@ -179,16 +193,19 @@ def _train(
     features = features.present(split)
     encoding = preprocessor(features).fit(split.where(~F.col("is_test")))
     encoded = encoding.transform(split).select(
-        "features", "is_test", F.col(target).cast("double").alias(target)
+        "features", "indexed", "is_test", F.col(target).cast("double").alias(target)
     )
     encoded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train = encoded.where(~F.col("is_test"))
-        names = feature_names(encoded, features)
+        names = [*features.numeric, *features.categorical]
+        # A bin for each category, the one for unseen values included.
+        arity = max((len(labels) + 1 for labels in encoding.stages[2].labelsArray), default=0)
+        bins = max(32, arity)
         if task == "regression":
-            estimators = regressors(trees, depth, seed)
+            estimators = regressors(trees, depth, seed, bins)
         else:
-            estimators = classifiers(train.count(), trees, depth, seed)
+            estimators = classifiers(train.count(), trees, depth, seed, bins)
         trained = []
         for name, estimator in estimators.items():
             model = estimator.fit(train)
@@ -259,6 +276,35 @@ def metrics_table(spark: SparkSession, trained: Sequence[Trained]) -> DataFrame:
     return spark.createDataFrame(rows, "task string, model string, metric string, value double")
 
 
+def checks(prepared: DataFrame, trained: Sequence[Trained]) -> DataFrame:
+    """Whether each model beats the trivial one on held-out rows, and importances sum to 1.
+
+    The trivial regression predicts the mean (R2 above 0), the trivial classification the
+    larger class.
+    """
+    late = prepared.agg(F.avg(CLASS_TARGET)).first()[0] or 0.0
+    rows = []
+    for t in trained:
+        if t.task == "regression":
+            rows.append((t.task, t.name, "better than the mean", t.metrics["r2"] > 0))
+        else:
+            # The split keeps the class shares up to one row of each class.
+            least = max(late, 1 - late) - 0.01
+            rows.append((t.task, t.name, "better than the larger class", t.metrics["accuracy"] > least))
+        if t.importances:
+            total = sum(v for _, v in t.importances)
+            rows.append((t.task, t.name, "importances sum to 1", abs(total - 1) < 1e-6))
+    schema = "task string, model string, check string, passed boolean"
+    return prepared.sparkSession.createDataFrame(rows, schema)
+
+
+def fit_line(df: DataFrame, column: str):
+    """Least-squares line of the arrival delay on one column, over rows that have both."""
+    rows = df.where(F.col(column).isNotNull() & F.col(DELAY_TARGET).isNotNull())
+    vectors = VectorAssembler(inputCols=[column], outputCol="features").transform(rows)
+    return LinearRegression(labelCol=DELAY_TARGET, solver="normal").fit(vectors)
+
+
 def importance_table(spark: SparkSession, trained: Sequence[Trained]) -> DataFrame:
     """Named importances of the tree models, highest first within each task."""
     rows = [

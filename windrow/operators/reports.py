@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from windrow.functions import columns as fn
 from windrow.operators.kpis import kpi
+from windrow.operators.ranks import with_running_total
 from windrow.operators.selection import top_k
+from windrow.session import written_once
 
 
 def carrier_month_topk(
@@ -56,36 +58,32 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def describe_column(df: DataFrame, column: str) -> DataFrame:
     """Count, nulls, mean, deviation, extremes and nearest-rank quartiles, in one row.
 
-    Rows are counted per value first; everything else is read off those counts.
+    Rows are counted per value first; everything else is read off those counts, whose running
+    total is worked out by ranges of the value.
     """
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed(column, "_v")
-    # One window over the distinct values of the column, not over its rows.
-    known = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)
-    ordered = Window.orderBy("_v")
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = counts.select(
-        "_v",
-        "_n",
-        known.alias("_known"),
-        F.sum(known).over(ordered.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
-        F.sum(known).over(whole).alias("_total"),
-        fn.ratio(F.sum(F.col("_v") * F.col("_n")).over(whole), F.sum(known).over(whole)).alias(
-            "_mean"
-        ),
+    counts = written_once(
+        df.groupBy(F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n")), "values"
     )
-    spread = F.sum(F.col("_known") * F.pow(F.col("_v") - F.col("_mean"), 2))
-    total = F.sum("_known")
+    known = counts.where(F.col("_v").isNotNull())
+    first = known.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n"),
+        fn.ratio(F.sum(F.col("_v") * F.col("_n")), F.sum("_n")).alias("mean"),
+    ).first()
+    total, mean = first["n"], F.lit(first["mean"]).cast("double")
+    ranked = with_running_total(known, "_v", "_n", "_upto")
 
     def quartile(q: float) -> Column:
-        rank = F.round((F.col("_total") - 1) * F.lit(q))
-        here = (F.col("_upto") - F.col("_known") <= rank) & (rank < F.col("_upto"))
+        rank = F.round(F.lit(total - 1) * F.lit(q))
+        here = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
         return F.max(F.when(here, F.col("_v")))
 
+    nulls = counts.where(F.col("_v").isNull()).agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    spread = F.sum(F.col("_n") * F.pow(F.col("_v") - mean, 2))
     return ranked.agg(
-        total.alias("count"),
-        F.sum(F.col("_n") - F.col("_known")).alias("null_count"),
-        F.round(F.max("_mean"), 6).alias("mean"),
-        F.round(F.sqrt(fn.ratio(spread, total - 1)), 6).alias("std"),
+        F.lit(total).cast("long").alias("count"),
+        F.lit(nulls).cast("long").alias("null_count"),
+        F.round(mean, 6).alias("mean"),
+        F.round(F.sqrt(fn.ratio(spread, F.lit(total - 1))), 6).alias("std"),
         F.min("_v").alias("min"),
         quartile(0.25).alias("q25"),
         quartile(0.5).alias("q50"),

@@ -29,7 +29,7 @@ def simple_tables(
     min_airport: int = 100,
     min_airline: int = 1000,
     min_temporal: int = 50,
-    sample: int | None = 10_000,
+    sample: int | None = None,
 ) -> dict[str, DataFrame]:
     """The smaller set, straight from one year of raw records."""
     return {

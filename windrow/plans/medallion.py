@@ -8,11 +8,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from windrow.operators import maintenance, models
+from windrow.functions.columns import hour_of
+from windrow.operators import maintenance, models, reports
+from windrow.operators.cleaning import filter_year
+from windrow.operators.features import features_full
 from windrow.operators.selection import with_flight_id
 from windrow.plans import gold
 from windrow.plans.silver import silver
-from windrow.schemas import DEFAULT_YEARS, RAW
+from windrow.schemas import RAW
 from windrow.sources import ingest, snapshots
 
 log = logging.getLogger(__name__)
@@ -21,21 +24,32 @@ LAYERS = ("bronze", "silver", "gold", "ml", "maintenance")
 
 #: Columns each table is clustered by; tables not named here are compacted.
 CLUSTER_COLUMNS = {
-    "silver": ["Year", "Month", "AIRLINE"],
-    "features": ["Year", "Month", "AIRLINE"],
+    "silver": ["AIRLINE", "Origin", "Dest"],
+    "features": ["AIRLINE", "Origin", "Dest"],
 }
 
 
+class TablesFailed(RuntimeError):
+    """Some tables of a layer could not be written; the others were."""
+
+    def __init__(self, failed: dict[str, str]):
+        super().__init__(f"tables that failed: {failed}")
+        self.failed = failed
+
+
 @dataclass(frozen=True)
 class Medallion:
     """Where the layers live and how they are built."""
 
     root: str
     source_csv: str
-    years: Sequence[int] = tuple(DEFAULT_YEARS)
+    #: Years to ingest; None takes all years of the source.
+    years: Sequence[int] | None = None
     fill_nulls: bool = False
     trees: int = 100
     depth: int = 5
+    #: Year of the smaller path; None takes all.
+    simple_year: int | None = 2024
     #: Columns that identify a source row; ``flight_id`` is hashed from them where absent.
     row_key: Sequence[str] = tuple(RAW.names)
 
@@ -75,6 +89,9 @@ def run_bronze(spark: SparkSession, lake: Medallion) -> DataFrame:
         source = with_flight_id(source, [c for c in lake.row_key if c in source.columns])
     rows = ingest.with_ingest_metadata(source)
     report = ingest.ingest_years(rows, lake.bronze, lake.years, lake.fill_nulls)
+    failed = {str(r["Year"]): "failed" for r in report.where("status = 'failed'").collect()}
+    if failed:
+        raise TablesFailed(failed)
     return report
 
 
@@ -85,21 +102,54 @@ def run_silver(spark: SparkSession, lake: Medallion) -> DataFrame:
     return maintenance.tables_stats(spark, {"silver": lake.silver})
 
 
+def _silver_rows(spark: SparkSession, lake: Medallion) -> DataFrame:
+    """The silver table, or the raw CSV cleaned on the way where there is none."""
+    if snapshots.commits(spark, lake.silver):
+        return snapshots.read(spark, lake.silver)
+    raw = ingest.read_csv(spark, lake.source_csv)
+    if "flight_id" not in raw.columns:
+        raw = with_flight_id(raw, [c for c in lake.row_key if c in raw.columns])
+    return silver(ingest.with_ingest_metadata(raw))
+
+
+def run_simple(spark: SparkSession, lake: Medallion) -> DataFrame:
+    """The smaller path: one year of bronze (or of the raw CSV) to CSV tables and models."""
+    raw = ingest.table_or_csv(spark, lake.bronze, lake.source_csv, lake.simple_year)
+    raw = raw if lake.simple_year is None else filter_year(raw, lake.simple_year)
+    if "flight_id" not in raw.columns:
+        raw = with_flight_id(raw, [c for c in lake.row_key if c in raw.columns])
+    if "DEP_HOUR" not in raw.columns:
+        raw = raw.withColumn("DEP_HOUR", hour_of("CRSDepTime"))
+    tables = gold.simple_tables(raw)
+    gold.write_csv_tables(tables, f"{lake.root}/simple")
+    prepared = models.prepare(tables["features"], models.SIMPLE)
+    trained = [
+        *models.train_regression(prepared, models.SIMPLE, trees=lake.trees, depth=lake.depth),
+        *models.train_classification(prepared, models.SIMPLE, trees=lake.trees, depth=lake.depth),
+    ]
+    models.log_runs(spark, trained, f"{lake.root}/simple/ml")
+    return reports.result_sizes(tables)
+
+
 def run_gold(spark: SparkSession, lake: Medallion) -> DataFrame:
     """Every table reads the written silver table, each with its own columns only."""
-    rows = snapshots.read(spark, lake.silver)
+    rows = _silver_rows(spark, lake)
     outcome = gold.write_tables(gold.gold_tables(rows), lake.analytics)
     gold.write_features(rows, lake.features)
     failed = {name: error for name, error in outcome.items() if error}
     if failed:
-        log.error("gold tables not written: %s", failed)
+        raise TablesFailed(failed)
     tables = {k: v for k, v in lake.tables().items() if k not in ("bronze", "silver")}
     return maintenance.tables_stats(spark, tables)
 
 
 def run_ml(spark: SparkSession, lake: Medallion) -> DataFrame:
     version = snapshots.current_version(spark, lake.features)
-    prepared = models.prepare(snapshots.read(spark, lake.features))
+    if version is None:
+        features = features_full(_silver_rows(spark, lake))
+    else:
+        features = snapshots.read(spark, lake.features)
+    prepared = models.prepare(features)
     trained = [
         *models.train_regression(prepared, trees=lake.trees, depth=lake.depth),
         *models.train_classification(prepared, trees=lake.trees, depth=lake.depth),
@@ -110,10 +160,17 @@ def run_ml(spark: SparkSession, lake: Medallion) -> DataFrame:
 
 def run_maintenance(spark: SparkSession, lake: Medallion) -> DataFrame:
     done = maintenance.optimize_tables(spark, lake.tables(), CLUSTER_COLUMNS)
-    newest_two = maintenance.compare_versions(spark, lake.silver).collect()
-    log.info("silver rows by version: %s", {r["version"]: r["row_count"] for r in newest_two})
+    if len(snapshots.commits(spark, lake.silver)) > 1:
+        newest_two = maintenance.compare_versions(spark, lake.silver).collect()
+        log.info("silver rows by version: %s", {r["version"]: r["row_count"] for r in newest_two})
     cleaned = [lake.bronze, lake.silver, lake.features]
-    maintenance.vacuum_tables(spark, {p.rsplit("/", 1)[1]: p for p in cleaned})
+    vacuumed = maintenance.vacuum_tables(spark, {p.rsplit("/", 1)[1]: p for p in cleaned})
+    failed = {
+        r["table_name"]: r["error"]
+        for r in [*done.collect(), *vacuumed.collect()] if r["error"] is not None
+    }
+    if failed:
+        raise TablesFailed(failed)
     return done
 
 
@@ -121,6 +178,7 @@ RUNNERS = {
     "bronze": run_bronze,
     "silver": run_silver,
     "gold": run_gold,
+    "simple": run_simple,
     "ml": run_ml,
     "maintenance": run_maintenance,
 }

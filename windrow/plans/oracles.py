@@ -105,7 +105,6 @@ features_simple AS (
     "Origin" || '-' || "Dest" AS "ROUTE", "Distance", "DepDelay", "ArrDelay", {TARGETS}
   FROM raw
   WHERE "Year" = 2024 AND "ArrDelay" IS NOT NULL AND "DepDelay" IS NOT NULL AND "Distance" > 0
-  ORDER BY flight_id LIMIT 10000
 )"""
 
 RAW_2024 = """
@@ -257,6 +256,25 @@ SELECT * FROM (SELECT 'best' AS rank, {columns} FROM ({table})
   ORDER BY avg_arrival_delay ASC NULLS FIRST, entity ASC, "Month" ASC LIMIT 1)"""
 
 
+def _checks(task: str, models: dict[str, list[str]]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{task}' AS task, '{model}' AS model, '{check}' AS \"check\", true AS passed"
+        for model, checks in models.items() for check in checks
+    )
+
+
+MODEL_CHECKS_REGRESSION = _checks(
+    "regression",
+    {"linear_regression": ["better than the mean"], "random_forest": ["better than the mean", "importances sum to 1"]},
+)
+MODEL_CHECKS_CLASSIFICATION = _checks(
+    "classification",
+    {
+        "logistic_regression": ["better than the larger class"],
+        "random_forest": ["better than the larger class", "importances sum to 1"],
+    },
+)
+
 SCALED = ["Distance", "AirTime", "DepDelay", "Month", "DayofMonth"]
 LATE_CARRIERS = "\"Year\" = 2023 AND \"AIRLINE\" IN ('BRAND#1', 'BRAND#2', 'BRAND#3')"
 
@@ -267,7 +285,7 @@ def all_oracles() -> dict[str, str]:
         '"AirTime", "DepDelay", "Month", "DayofMonth", target_arrival_delay, target_is_delayed '
         "FROM features"
     )
-    train = "FROM features WHERE NOT right(flight_id, 8) < '33333333'"
+    train = "FROM features WHERE NOT right(md5(flight_id), 8) < '33333333'"
     return {
         "flights": on_raw("SELECT * FROM flights"),
         "csv_scan": on_raw("SELECT * FROM raw"),
@@ -346,7 +364,7 @@ def all_oracles() -> dict[str, str]:
                 ["ROUTE", "Year", "Month"],
                 [
                     N, ARRIVAL, DEPARTURE, LATE,
-                    'arg_min("Distance", flight_id) AS distance', MINUTES,
+                    'arg_min("Distance", md5(flight_id)) AS distance', MINUTES,
                 ],
                 10,
             )
@@ -403,7 +421,7 @@ def all_oracles() -> dict[str, str]:
             f"SELECT * FROM ({AIRPORT_SIMPLE}) ORDER BY avg_arrival_delay DESC NULLS FIRST, "
             '"Origin", "Month" LIMIT 10'
         ),
-        "sample_n": on_silver("SELECT * FROM silver ORDER BY flight_id LIMIT 1000"),
+        "sample_n": on_silver("SELECT * FROM silver ORDER BY md5(flight_id), flight_id LIMIT 1000"),
         "result_sizes": on_raw(
             f"SELECT 'airport_analytics' AS table_name, count(*) AS row_count, 9 AS column_count "
             f"FROM ({AIRPORT_SIMPLE}) UNION ALL "
@@ -457,11 +475,11 @@ def all_oracles() -> dict[str, str]:
             )
         ),
         "ml_split": on_features(
-            "SELECT flight_id, right(flight_id, 8) < '33333333' AS is_test FROM features"
+            "SELECT flight_id, right(md5(flight_id), 8) < '33333333' AS is_test FROM features"
         ),
         "ml_split_stratified": on_features(
             "SELECT flight_id, target_is_delayed, "
-            "row_number() OVER (PARTITION BY target_is_delayed ORDER BY flight_id) "
+            "row_number() OVER (PARTITION BY target_is_delayed ORDER BY md5(flight_id), flight_id) "
             "<= round(count(*) OVER (PARTITION BY target_is_delayed) * CAST(0.2 AS DOUBLE)) "
             "AS is_test FROM features"
         ),
@@ -481,4 +499,54 @@ def all_oracles() -> dict[str, str]:
             "AS mid, CAST(sum(target_is_delayed) OVER () AS DOUBLE) AS p, "
             "CAST(sum(1 - target_is_delayed) OVER () AS DOUBLE) AS n FROM features) GROUP BY p, n"
         ),
+        "evolved_compact": on_raw(
+            'SELECT flight_id, "Year", CASE WHEN "Year" >= 2021 THEN md5(flight_id) END AS extra FROM flights'
+        ),
+        "evolved_upsert": on_raw(
+            "SELECT flight_id, \"Year\", \"DepDelay\", extra FROM ("
+            "SELECT * REPLACE (CASE WHEN \"Year\" = 2024 AND \"Month\" = 1 THEN CAST(1 AS DOUBLE) "
+            "ELSE \"DepDelay\" END AS \"DepDelay\"), "
+            "CASE WHEN \"Year\" = 2024 AND \"Month\" = 1 THEN NULL WHEN \"Year\" >= 2021 "
+            "THEN md5(flight_id) END AS extra FROM flights)"
+        ),
+        "string_partition_roundtrip": on_raw(
+            "SELECT flight_id, lpad(CAST(\"Month\" * 7 AS VARCHAR), 3, '0') AS code FROM flights"
+        ),
+        "z_value_wide": on_silver(
+            "SELECT flight_id, CAST(floor((dense_rank() OVER (ORDER BY \"Distance\") - 1) "
+            "* least(256, d) / d) AS BIGINT) AS z FROM silver, "
+            "(SELECT CAST(count(DISTINCT \"Distance\") AS DOUBLE) AS d FROM silver)"
+        ),
+        "split_plain_key": on_features(
+            "SELECT n AS key, right(md5(CAST(n AS VARCHAR)), 8) < '33333333' AS is_test "
+            "FROM (SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS n FROM lineitem)"
+        ),
+        "csv_mixed_headers": on_raw(
+            "SELECT flight_id, \"Year\", \"Month\", \"Distance\" FROM flights"
+        ),
+        "csv_bad_values": on_raw(
+            "SELECT 'Month' AS column_name, CAST(count(*) FILTER (\"Month\" = 2) AS BIGINT) AS bad_count "
+            "FROM flights UNION ALL SELECT 'Year', CAST(0 AS BIGINT)"
+        ),
+        "reingest_counts": on_raw(
+            "SELECT \"Year\", CASE WHEN \"Year\" = 2020 THEN CAST(0 AS BIGINT) ELSE count(*) END AS row_count, "
+            "CASE WHEN \"Year\" = 2020 THEN 'kept' ELSE 'written' END AS status FROM flights GROUP BY \"Year\""
+        ),
+        "ml_class_counts": on_features(
+            "SELECT target_is_delayed, count(*) AS row_count, "
+            "CAST(round(count(*) * CAST(0.2 AS DOUBLE)) AS BIGINT) AS test_count "
+            "FROM features GROUP BY target_is_delayed"
+        ),
+        "ml_one_feature": on_features(
+            "SELECT round(regr_slope(target_arrival_delay, \"DepDelay\"), 6) AS slope, "
+            "round(regr_intercept(target_arrival_delay, \"DepDelay\"), 6) AS intercept FROM features"
+        ),
+        "table_stats": on_raw(
+            "SELECT 'bronze' AS table_name, CAST(8 AS INTEGER) AS version, count(*) AS row_count, "
+            "false AS missing FROM upserted UNION ALL SELECT 'missing', NULL, NULL, true",
+            changes("bronze"),
+        ),
+        "ml_regression": MODEL_CHECKS_REGRESSION,
+        "ml_classification": MODEL_CHECKS_CLASSIFICATION,
+        "ml_metrics": f"{MODEL_CHECKS_REGRESSION} UNION ALL {MODEL_CHECKS_CLASSIFICATION}",
     }

@@ -78,7 +78,7 @@ def history_table(spark: SparkSession, sf_dir: str) -> str:
         for version, year in enumerate(DEFAULT_YEARS):
             batch = cleaning.filter_year(rows, year)
             snapshots.commit(batch, table, ["Year"], "append", _commit_time(version))
-        maintenance.compact(spark, table, committed_at=_commit_time(7))
+        maintenance.compact(spark, table, committed_at=_commit_time(7), everything=True)
         snapshots.upsert(
             _changes(rows), table, ["Year", "flight_id"], ["Year"], _commit_time(8)
         )
@@ -113,7 +113,7 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_path(spark, "bronze")
-    ingest.ingest_years(_bronze(spark, sf_dir), table, committed_at=FIRST_COMMIT)
+    ingest.ingest_years(_bronze(spark, sf_dir), table, DEFAULT_YEARS, committed_at=FIRST_COMMIT)
     return snapshots.read(spark, table).drop(*snapshots.VERSION_COLUMNS)
 
 
@@ -395,15 +395,100 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = F.col("Year") >= 2021
     snapshots.commit(rows.where(~late).drop("FL_DATE"), table, ["Year"])
     snapshots.commit(rows.where(late), table, ["Year"])
-    merged = snapshots.read(spark, table, merge_schema=True)
+    merged = snapshots.read(spark, table)
     return merged.select("flight_id", "Year", "FL_DATE")
 
 
+def _evolving(spark: SparkSession, sf_dir: str) -> str:
+    """A table whose second batch brought a column; both batches in many small files."""
+    table = scratch_path(spark, "evolving")
+    rows = _raw(spark, sf_dir)
+    late = F.col("Year") >= 2021
+    snapshots.commit(rows.where(~late).repartition(3), table, ["Year"], layout=False)
+    extra = rows.where(late).withColumn("extra", F.md5("flight_id")).repartition(3)
+    snapshots.commit(extra, table, ["Year"], layout=False)
+    return table
+
+
+@query
+def evolved_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rewrite keeps the column that came later."""
+    table = _evolving(spark, sf_dir)
+    maintenance.compact(spark, table)
+    maintenance.cluster(spark, table, ["Origin", "Dest"])
+    return snapshots.read(spark, table).select("flight_id", "Year", "extra")
+
+
+@query
+def evolved_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """So does an upsert of rows without that column."""
+    table = _evolving(spark, sf_dir)
+    changed = _raw(spark, sf_dir).where((F.col("Year") == 2024) & (F.col("Month") == 1))
+    changed = changed.withColumn("DepDelay", F.lit(1.0))
+    snapshots.upsert(changed, table, ["Year", "flight_id"], ["Year"])
+    return snapshots.read(spark, table).select("flight_id", "Year", "DepDelay", "extra")
+
+
+@query
+def string_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partition values with leading zeros stay texts, through a rewrite too."""
+    table = scratch_path(spark, "codes")
+    code = F.lpad((F.col("Month") * 7).cast("string"), 3, "0").alias("code")
+    snapshots.commit(_raw(spark, sf_dir).select("flight_id", code), table, ["code"])
+    maintenance.compact(spark, table, everything=True)
+    return snapshots.read(spark, table).select("flight_id", "code")
+
+
+@query
+def z_value_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column with more values than ranks."""
+    ranked = maintenance.with_z_value(_silver(spark, sf_dir), ["Distance"])
+    return ranked.select("flight_id", F.col("_z").alias("z"))
+
+
+@query
+def split_plain_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that are plain numbers."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    key = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("key")
+    return selection.split_hash(items.select(key), key="key")
+
+
+@query
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders with their columns in different orders."""
+    rows, paths = _raw(spark, sf_dir), [scratch_path(spark, "csv") for _ in range(2)]
+    early = F.col("Year") < 2021
+    ingest.write_csv(rows.where(early), paths[0])
+    ingest.write_csv(rows.where(~early).select(*reversed(rows.columns)), paths[1])
+    read = ingest.read_mixed_csv(spark, paths)
+    return read.select("flight_id", "Year", "Month", "Distance")
+
+
+@query
+def csv_bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months written as 2.0 are counted, not turned into nulls."""
+    path = scratch_path(spark, "csv")
+    month = F.when(F.col("Month") == 2, "2.0x").otherwise(F.col("Month").cast("string"))
+    ingest.write_csv(_raw(spark, sf_dir).select("Year", month.alias("Month")), path)
+    return ingest.bad_values(spark, [path])
+
+
+@query
+def reingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second source that lacks a year: its rows stay, and the report says so."""
+    table, rows = scratch_path(spark, "reingest"), _bronze(spark, sf_dir)
+    ingest.ingest_years(rows, table)
+    return ingest.ingest_years(rows.where("Year <> 2020"), table)
+
+
 @query
 def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return maintenance.tables_stats(
+    """Without the file counts and sizes, which depend on the layout."""
+    stats = maintenance.tables_stats(
         spark, {"bronze": history_table(spark, sf_dir), "missing": scratch_path(spark, "none")}
     )
+    return stats.select("table_name", "version", "row_count", F.col("error").isNotNull().alias("missing"))
 
 
 # --- Models
@@ -461,31 +546,42 @@ def metric_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(round(area, 6),)], "roc_auc double")
 
 
+@query
+def ml_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = selection.split_stratified(models.prepare(_features(spark, sf_dir)), models.CLASS_TARGET)
+    return split.groupBy(models.CLASS_TARGET).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if("is_test").alias("test_count")
+    )
+
+
+@query
+def ml_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A linear model of one feature, fitted on all rows."""
+    model = models.fit_line(_features(spark, sf_dir), "DepDelay")
+    return spark.createDataFrame(
+        [(round(float(model.coefficients[0]), 6), round(float(model.intercept), 6))], "slope double, intercept double"
+    )
+
+
 @query
 def ml_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trained = models.train_regression(models.prepare(_features(spark, sf_dir)))
-    return models.metrics_table(spark, trained)
+    prepared = models.prepare(_features(spark, sf_dir))
+    return models.checks(prepared, models.train_regression(prepared))
 
 
 @query
 def ml_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trained = models.train_classification(models.prepare(_features(spark, sf_dir)))
-    return models.metrics_table(spark, trained)
+    prepared = models.prepare(_features(spark, sf_dir))
+    return models.checks(prepared, models.train_classification(prepared))
 
 
 @query
 def ml_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The simple feature set through both tasks: metrics and the top ten importances."""
+    """The simple feature set through both tasks, logged."""
     rows = models.prepare(features.features_simple(_raw(spark, sf_dir)), models.SIMPLE)
     trained = [
         *models.train_regression(rows, models.SIMPLE),
         *models.train_classification(rows, models.SIMPLE),
     ]
     models.log_runs(spark, trained, scratch_path(spark, "runs"))
-    numbers = models.metrics_table(spark, trained).select(
-        "task", "model", F.col("metric").alias("name"), "value"
-    )
-    top = models.importance_table(spark, trained).where("position <= 10")
-    return numbers.unionByName(
-        top.select("task", "model", F.col("feature").alias("name"), F.col("importance").alias("value"))
-    )
+    return models.checks(rows, trained)

@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_own_roots: dict[str, str] = {}
 
 
 def local_session(cpus: str | int = "*", app: str = "windrow", **conf: str) -> SparkSession:
@@ -34,9 +36,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder path below the shared folder the cluster names.
 
     Every executor must see what a job writes, so the folder is the session's
-    ``spark.checkpoint.dir``; only where that is unset (a test on one machine)
-    does a local temporary folder stand in.
+    ``spark.checkpoint.dir``. Only a session on one machine may do without: it gets one
+    temporary folder; a cluster is refused. The path is removed when the session ends.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared or tempfile.mkdtemp(prefix="windrow-")
-    return f"{root.rstrip('/')}/windrow/{name}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        context = spark.sparkContext
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _own_roots.setdefault(context.applicationId, "") or tempfile.mkdtemp("", "windrow-")
+        _own_roots[context.applicationId] = root
+    path = f"{root.rstrip('/')}/windrow/{name}-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` to scratch and reads it back: it is worked out once, and is the same
+    wherever it is used."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

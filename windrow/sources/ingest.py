@@ -5,13 +5,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from windrow.operators.cleaning import fill_nulls_by_type, filter_year
-from windrow.schemas import DEFAULT_YEARS, FLIGHTS
+from windrow.schemas import FLIGHTS
 from windrow.sources import snapshots
 
 log = logging.getLogger(__name__)
@@ -32,17 +33,57 @@ def read_csv(
 ) -> DataFrame:
     """Lazy scan of CSV with a header, columns matched by name.
 
-    Only the header line is read to plan the scan: columns named in ``schema`` get its types,
-    others are text. ``schema=None`` infers all types, which reads the data once more.
+    Columns named in ``schema`` get its types, others are text. Only the header line of one
+    file is read to plan the scan; a file with another header, or a value that its type cannot
+    hold, is an error when it is read (see ``read_mixed_csv`` and ``bad_values`` for such
+    data). ``schema=None`` infers all types, which reads the data once more.
     """
-    reader = spark.read.options(**CSV_OPTIONS).options(**options)
+    reader = spark.read.options(**CSV_OPTIONS).options(mode="FAILFAST", enforceSchema=False)
+    reader = reader.options(**options)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
+    return reader.schema(_typed(reader.csv(path).columns, schema)).csv(path)
+
+
+def _typed(columns: Sequence[str], schema: T.StructType) -> T.StructType:
     declared = {f.name: f.dataType for f in schema.fields}
-    fields = [
-        T.StructField(c, declared.get(c, T.StringType())) for c in reader.csv(path).columns
+    return T.StructType([T.StructField(c, declared.get(c, T.StringType())) for c in columns])
+
+
+def _by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Folders or files by their header; one small read for each path."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        columns = spark.read.options(**CSV_OPTIONS).csv(path).columns
+        groups.setdefault(tuple(columns), []).append(path)
+    return groups
+
+
+def read_mixed_csv(
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType = FLIGHTS, **options: str | bool
+) -> DataFrame:
+    """CSV from several paths whose headers differ: columns go by name, missing ones are null.
+
+    Within one path (a file, or a folder of files) the header must be the same.
+    """
+    frames = [
+        read_csv(spark, group, schema, **options) for group in _by_header(spark, paths).values()
     ]
-    return reader.schema(T.StructType(fields)).csv(path)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def bad_values(
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType = FLIGHTS
+) -> DataFrame:
+    """How many values of each declared column its type cannot hold (column_name, bad_count)."""
+    rows = read_mixed_csv(spark, paths, T.StructType([]))
+    checked = [f for f in schema.fields if f.name in rows.columns]
+    wrong = [
+        F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name)
+        for f in checked
+    ]
+    pairs = [F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).alias("bad_count")) for f in checked]
+    return rows.agg(*wrong).select(F.inline(F.array(*pairs)))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -62,19 +103,26 @@ def ingest_years(
     fill_nulls: bool = False,
     committed_at: datetime | None = None,
 ) -> DataFrame:
-    """Writes the given years to bronze, partitioned by ``Year``, and reports each year.
+    """Writes years to bronze, partitioned by ``Year``, and reports each of them.
 
-    All years go in one job over the source, as one version. A year written before is
-    replaced, so a second run changes nothing. Years without rows are reported as empty.
-    Should the one job fail, the years are retried one by one, so that a year that cannot be
-    written is reported as failed and does not hold up the others.
+    ``years=None`` takes every year of the source, rows without one included. All years go in
+    one job over the source, as one version. A year written before is replaced, so a second run
+    changes nothing. A year without rows in the source is reported as empty, or as kept if the
+    table has it from before. Should the one job fail, the years are retried one by one, so
+    that a year that cannot be written is reported as failed and does not hold up the others.
     """
-    years = list(DEFAULT_YEARS if years is None else years)
     spark = source.sparkSession
     rows = fill_nulls_by_type(source) if fill_nulls else source
-
-    def write(batch: list[int]) -> int:
-        some = rows.where(F.col("Year").isin(*batch))
+    before = snapshots.current_version(spark, table)
+    had: set[int | None] = set()
+    if before is not None:
+        had = {r["Year"] for r in snapshots.read(spark, table).select("Year").distinct().collect()}
+
+    def write(batch: Sequence[int | None] | None) -> int:
+        some = rows
+        if batch is not None:
+            known = F.col("Year").isin(*[y for y in batch if y is not None])
+            some = rows.where(known | F.col("Year").isNull() if None in batch else known)
         return snapshots.commit(some, table, ["Year"], "replace", committed_at)
 
     failed = []
@@ -83,6 +131,8 @@ def ingest_years(
     except Exception:
         log.exception("ingesting %s in one job failed, retrying year by year", years)
         versions = []
+        if years is None:
+            years = [r["Year"] for r in rows.select("Year").distinct().collect()]
         for year in years:
             try:
                 versions.append(write([year]))
@@ -90,7 +140,6 @@ def ingest_years(
                 log.exception("ingesting %s failed", year)
                 failed.append(year)
 
-    report = spark.createDataFrame([(y, y in failed) for y in years], "Year int, failed boolean")
     try:
         written = (
             snapshots.read_versions(spark, table, versions)
@@ -99,11 +148,21 @@ def ingest_years(
         )
     except snapshots.VersionNotFound:
         written = spark.createDataFrame([], "Year int, row_count long")
-    return report.join(written, "Year", "left").select(
+    if years is None:
+        # One row for each partition folder just written.
+        years = [r["Year"] for r in written.select("Year").collect()]
+        years += sorted(had - set(years), key=str)
+    report = spark.createDataFrame(
+        [(y, y in failed, y in had) for y in years], "Year int, failed boolean, had boolean"
+    )
+    written = written.withColumnRenamed("Year", "_year")
+    same_year = F.col("Year").eqNullSafe(F.col("_year"))
+    return report.join(written, same_year, "left").select(
         "Year",
         F.coalesce("row_count", F.lit(0)).alias("row_count"),
         F.when(F.col("failed"), "failed")
         .when(F.col("row_count") > 0, "written")
+        .when(F.col("had"), "kept")
         .otherwise("empty")
         .alias("status"),
     )

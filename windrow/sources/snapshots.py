@@ -22,13 +22,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from windrow.session import written_once
+
 #: Operations that keep what earlier versions wrote.
 INCREMENTAL = ("append", "replace")
-#: Folder of a commit without rows; hidden from scans of the commit.
+#: Folder with the schema of a commit and no rows; hidden from scans of the commit.
 EMPTY = "_empty"
 STAMP = "%Y%m%dT%H%M%S.%fZ"
 VERSION_FIELDS = [
@@ -117,9 +119,8 @@ def commit(
         writer = writer.partitionBy(*partition_by)
     folder = f"{table}/_version={version}/_operation={operation}/_committed_at={stamp}"
     writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(folder)
-    if partition_by and not _has_data(spark, folder):
-        # A partitioned write of no rows leaves no file; keep the columns for readers.
-        spark.createDataFrame([], rows.schema).write.parquet(f"{folder}/{EMPTY}")
+    # The columns and types of this commit, those of the partitions too, for readers.
+    spark.createDataFrame([], rows.schema).write.parquet(f"{folder}/{EMPTY}")
     return version
 
 
@@ -181,16 +182,18 @@ def live_folders(spark: SparkSession, table: str, version: int | None = None) ->
     return [c.path + p for c, parts in live for p in ([""] if parts is None else parts)]
 
 
+def schema_of_commits(spark: SparkSession, steps: Sequence[Commit]) -> T.StructType:
+    """All columns the commits wrote, with the types they were written with: one footer each."""
+    folders = [f"{step.path}/{EMPTY}" for step in steps]
+    return spark.read.option("mergeSchema", True).parquet(*folders).schema
+
+
 def _load(
-    spark: SparkSession,
-    table: str,
-    folders: list[str],
-    merge_schema: bool = False,
-    schema: T.StructType | None = None,
+    spark: SparkSession, table: str, folders: list[str], schema: T.StructType
 ) -> DataFrame:
-    reader = spark.read.option("basePath", table).option("mergeSchema", merge_schema)
-    if schema is not None:
-        reader = reader.schema(T.StructType([*schema.fields, *VERSION_FIELDS]))
+    """Rows of the folders; nothing is inferred, neither columns nor partition values."""
+    reader = spark.read.option("basePath", table)
+    reader = reader.schema(T.StructType([*schema.fields, *VERSION_FIELDS]))
     stamp = F.to_timestamp("_committed_at", "yyyyMMdd'T'HHmmss.SSSSSSX")
     return reader.parquet(*folders).withColumn("_committed_at", stamp)
 
@@ -200,10 +203,10 @@ def read(
     table: str,
     version: int | None = None,
     timestamp: datetime | None = None,
-    merge_schema: bool = False,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Rows of a version (version 0 included), or of the newest one.
+    """Rows of a version (version 0 included), or of the newest one, with every column that a
+    commit it is made of has (null where another lacks it).
 
     ``timestamp`` picks the newest version committed at or before it. Version, operation and
     commit time of the write that brought each row are in ``_version``, ``_operation`` and
@@ -211,8 +214,14 @@ def read(
     """
     if timestamp is not None:
         version = version_at(spark, table, timestamp)
+    chain = _history_to(spark, table, version)
     folders = live_folders(spark, table, version)
-    return _load(spark, table, folders, merge_schema, schema)
+    return _load(spark, table, folders, schema or schema_of_commits(spark, chain))
+
+
+def read_folders(spark: SparkSession, table: str, folders: list[str]) -> DataFrame:
+    """Rows in some folders of the newest version, with all its columns."""
+    return _load(spark, table, folders, schema_of_commits(spark, _history_to(spark, table, None)))
 
 
 def time_travel(
@@ -229,11 +238,13 @@ def time_travel(
 
 def read_versions(spark: SparkSession, table: str, versions: Sequence[int]) -> DataFrame:
     """Just the rows the given commits wrote."""
-    wanted = [c.path for c in commits(spark, table) if c.version in versions]
+    steps = [c for c in commits(spark, table) if c.version in versions]
+    wanted = [c.path for c in steps]
     if not wanted:
         raise VersionNotFound(f"{table} has none of the versions {list(versions)}")
     full = [folder for folder in wanted if _has_data(spark, folder)]
-    return _load(spark, table, full or [f"{wanted[-1]}/{EMPTY}"])
+    folders = full or [f"{wanted[-1]}/{EMPTY}"]
+    return _load(spark, table, folders, schema_of_commits(spark, steps))
 
 
 def version_at(spark: SparkSession, table: str, timestamp: datetime) -> int:
@@ -269,17 +280,19 @@ def upsert(
 
     When the partition columns are part of the key, a key cannot sit in another partition:
     only partitions that ``new`` touches are read and replaced. Otherwise the whole table is
-    rewritten. Keys must be unique within ``new``.
+    rewritten. A key that comes twice in ``new`` is an error. Columns that only one side has
+    are kept, null on the other.
     """
     spark = new.sparkSession
+    new = written_once(new.drop(*VERSION_COLUMNS), "upsert")
+    if new.groupBy(*keys).count().where("count > 1").limit(1).count():
+        raise ValueError(f"the new rows repeat a key ({', '.join(keys)})")
     if current_version(spark, table) is None:
         return commit(new, table, partition_by, "overwrite", committed_at)
     existing = read(spark, table).drop(*VERSION_COLUMNS)
     operation = "upsert"
     if partition_by and set(partition_by) <= set(keys):
-        # At most one row per partition folder comes to the driver.
-        touched = new.select(*partition_by).distinct().collect()
-        existing, operation = existing.where(_any_of(touched, partition_by)), "replace"
+        existing, operation = _touched(existing, new, partition_by), "replace"
     incoming = new.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
     same_key = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys]
     kept = existing.join(incoming, same_key, "left_anti")
@@ -287,14 +300,21 @@ def upsert(
     return commit(merged, table, partition_by, operation, committed_at)
 
 
-def _any_of(rows: list, columns: Sequence[str]) -> Column:
-    condition = F.lit(False)
-    for row in rows:
-        same = F.lit(True)
-        for c in columns:
-            same = same & F.col(c).eqNullSafe(F.lit(row[c]))
-        condition = condition | same
-    return condition
+def _touched(existing: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of the partitions that ``new`` has rows in.
+
+    The least and greatest value of each partition column (one row) prune the folders; the
+    semi-join with the distinct partitions is exact.
+    """
+    ends = [f for c in columns for f in (F.min(c), F.max(c), F.count_if(F.col(c).isNull()))]
+    row = new.agg(*ends).first()
+    for place, c in enumerate(columns):
+        low, high, nulls = row[3 * place : 3 * place + 3]
+        inside = F.lit(False) if low is None else F.col(c).between(F.lit(low), F.lit(high))
+        existing = existing.where(inside | F.col(c).isNull() if nulls else inside)
+    wanted = new.select(*[F.col(c).alias(f"_in_{c}") for c in columns]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_in_{c}")) for c in columns]
+    return existing.join(wanted, same, "left_semi")
 
 
 def merge_with_existing(

@@ -23,9 +23,9 @@ from windrow.llm import frame_of_reference as pfor
 from windrow.llm.anchors import Fingerprints
 
 SEGMENT_IDS = 1 << 20
-#: Encoded chunks a worker keeps (about 40 bytes each) before it starts anew.
-CACHE_ENTRIES = 2_000_000
-#: New chunks that are kept apart until they are worth merging into the sorted table.
+#: Encoded chunks a worker keeps, about 40 bytes each. Frequent chunks come early.
+CACHE_ENTRIES = 700_000
+#: Newer chunks: they join the others while there is room, then make way for still newer ones.
 RECENT_ENTRIES = 100_000
 #: Documents encoded together.
 ENCODE_DOCS = 512
@@ -47,11 +47,8 @@ class _Chunks:
     """Ids of chunks by the chunks' 64-bit hashes, in two sorted tables."""
 
     def __init__(self) -> None:
-        self.clear()
-
-    def clear(self) -> None:
         self.pool = np.zeros(1 << 16, dtype=np.uint32)
-        self.used = 0
+        self.used = self.kept = 0
         nothing = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
         self.tables = [nothing, nothing]
 
@@ -78,8 +75,14 @@ class _Chunks:
         new = (hashes, self.used + np.cumsum(counts) - counts, counts)
         self.used += total
         self.tables[1] = _merged(self.tables[1], new)
+
+    def settle(self) -> None:
+        """Between batches: empties the table of newer chunks once it is full."""
         if len(self.tables[1][0]) > RECENT_ENTRIES:
-            self.tables = [_merged(*self.tables), tuple(c[:0] for c in new)]
+            if len(self.tables[0][0]) < CACHE_ENTRIES:
+                self.tables[0], self.kept = _merged(*self.tables), self.used
+            self.tables[1] = tuple(c[:0] for c in self.tables[1])
+            self.used = self.kept
 
 
 def _merged(a: tuple, b: tuple) -> tuple:
@@ -154,8 +157,7 @@ class ChunkEncoder:
         lengths = np.diff(np.append(starts, len(data)))
         hashes = Fingerprints(data).of(starts, lengths) + lengths.astype(np.uint64)
         distinct, example, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.chunks) > CACHE_ENTRIES:
-            self.chunks.clear()
+        self.chunks.settle()
         place, count = self.chunks.find(distinct)
         new = np.flatnonzero(place < 0)
         if len(new):

@@ -48,9 +48,11 @@ FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP
 
 OP3 = """
 WITH bytes AS (SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents),
+hashed AS (
+    SELECT doc_id, list_transform(range(0, CAST(len(h) // 2 AS BIGINT) - 99),
+        lambda i: hash(substr(h, 2 * i + 1, 200))) AS ws FROM bytes),
 windows AS MATERIALIZED (
-    SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS w
-    FROM bytes, unnest(range(0, CAST(len(h) // 2 AS BIGINT) - 99)) AS t(i)),
+    SELECT doc_id, unnest(range(0, len(ws))) AS i, unnest(ws) AS w FROM hashed),
 ranked AS (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS place FROM windows),
 gone AS MATERIALIZED (SELECT doc_id, i FROM ranked WHERE place > 1),
 starts AS (

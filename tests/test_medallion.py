@@ -100,3 +100,27 @@ def test_simple_tables_go_to_csv(spark, tmp_path, sf_dir):
 def test_explain_names_the_scan(spark, lake, reports):
     plan = maintenance.explain(silver(snapshots.read(spark, lake.bronze)))
     assert "PushedFilters" in plan and "EqualTo(Cancelled,0.0)" in plan
+
+
+def test_run_is_false_when_a_gold_table_fails(spark, lake, reports, monkeypatch):
+    whole = gold.gold_tables
+
+    def broken(silver_rows):
+        tables = whole(silver_rows)
+        bad = tables["airport_analytics"].withColumn("x", F.raise_error(F.lit("no")).cast("int"))
+        return {**tables, "airport_analytics": bad}
+
+    monkeypatch.setattr(gold, "gold_tables", broken)
+    assert medallion.run(spark, lake, "gold") is False
+    error = medallion.run_layers(spark, lake, ["gold"])["gold"]
+    assert isinstance(error, medallion.TablesFailed) and set(error.failed) == {"airport_analytics"}
+
+
+def test_gold_without_silver_and_the_simple_path(spark, lake, reports, tmp_path):
+    bare = medallion.Medallion(str(tmp_path / "bare"), lake.source_csv, trees=2, depth=2)
+    assert medallion.run(spark, bare, "gold") is True
+    rows = snapshots.read(spark, bare.features).count()
+    assert rows == snapshots.read(spark, lake.features).count()
+    sizes = {r["table_name"]: r["row_count"] for r in medallion.run_simple(spark, bare).collect()}
+    assert set(sizes) == {"airport_analytics", "airline_analytics", "temporal_analytics", "features"}
+    assert sizes["features"] > 0

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.llm import decontamination, jaccard_join, mixing, quality_crf, registry, token_files
-from windrow.llm.common import let_workers_import, new_path, stored, table
+from windrow.llm.common import let_workers_import, new_path, stored, table, without_ids
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     let_workers_import(spark)
     joined = stored(jaccard_join.join_documents(docs), "near-duplicates")
     gone = joined.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    kept = without_ids(docs, stored(gone, "near-duplicates-gone"), "doc_id")
     repeated = joined.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null")
     if repeated.isEmpty():
         return kept
@@ -54,15 +54,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     let_workers_import(spark)
     leaks = decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark"))
     leaks = stored(leaks.select("doc_id").distinct(), "leaks")
-    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    return without_ids(docs, leaks, "doc_id")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the mix draws."""
-    drawn = mixing.mix_documents(docs, registry.MIX_EXPONENTS, registry.MIX_RATE)
-    drawn = stored(drawn.select("doc_id").distinct(), "drawn")
-    # A null id is drawn like the empty text; all rows without an id share one fate.
-    return docs.join(drawn, docs["doc_id"].eqNullSafe(drawn["doc_id"]), "left_semi").select(docs.columns)
+    return mixing.keep_drawn(docs, registry.MIX_EXPONENTS, registry.MIX_RATE)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,10 +53,10 @@ def topic_of(text: Column, words: Column, topics: Mapping[str, str] = TOPICS) ->
 
 def label_documents(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-    source_column: str = "source", lang_column: str = "lang",
+    source_column: str = "source", lang_column: str = "lang", keep: str | None = None,
 ) -> DataFrame:
-    """doc_id, source, lang, topic, n_tokens of every row; null labels become UNKNOWN, a null
-    text counts as empty."""
+    """doc_id, source, lang, topic, n_tokens (and column ``keep``) of every row; null labels
+    become UNKNOWN, a null text counts as empty."""
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     labelled = docs.select(
         F.col(id_column).alias("doc_id"),
@@ -64,6 +64,7 @@ def label_documents(
         F.coalesce(F.col(lang_column), F.lit(UNKNOWN)).alias("lang"),
         topic_of(text, F.regexp_count(text, F.lit(WORD))).alias("topic"),
         n_tokens(text).alias("n_tokens"),
+        *([keep] if keep else []),
     )
     return labelled
 
@@ -109,6 +110,16 @@ def rake(
     return fitted.drop(*[f"_{margin}" for margin in targets])
 
 
+def _odds(fitted: DataFrame, rate: float) -> DataFrame:
+    total = fitted.agg(F.sum("n").alias("n")).first()["n"] or 1
+    odds = F.lit(rate) * F.col("w") * F.lit(float(total)) / F.col("n")
+    return fitted.select(*MARGINS, F.least(F.lit(1.0), odds).alias("probability"), "w")
+
+
+def _draw_number(key: Column, seed: int) -> Column:
+    return unit_hash(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f"/{seed}")))
+
+
 def draw(labelled: DataFrame, fitted: DataFrame, rate: float, seed: int = 0) -> DataFrame:
     """Draws documents by their cell's probability: min(1, rate * weight / share of tokens).
 
@@ -117,14 +128,38 @@ def draw(labelled: DataFrame, fitted: DataFrame, rate: float, seed: int = 0) ->
     is below the probability: the draw does not depend on the partitioning, repeats of an id
     share their fate, and a higher rate only adds documents. A null id counts as the empty text.
     """
-    total = fitted.agg(F.sum("n").alias("n")).first()["n"] or 1
-    odds = fitted.select(
-        *MARGINS,
-        F.least(F.lit(1.0), F.lit(rate) * F.col("w") * F.lit(float(total)) / F.col("n")).alias("probability"),
-        "w",
-    )
-    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f"/{seed}"))
-    return labelled.join(odds, list(MARGINS)).where(unit_hash(key) < F.col("probability"))
+    odds = _odds(fitted, rate)
+    number = _draw_number(F.col("doc_id"), seed)
+    return labelled.join(odds, list(MARGINS)).where(number < F.col("probability"))
+
+
+def _fit(labelled: DataFrame, exponents: Mapping[str, float], rounds: int) -> DataFrame:
+    cells = stored(labelled.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("n")), "cells")
+    targets = {m: stored(flattened_targets(cells, m, exponents[m]), "targets") for m in MARGINS}
+    return stored(rake(cells, targets, rounds), "fitted")
+
+
+def keep_drawn(
+    docs: DataFrame, exponents: Mapping[str, float], rate: float, rounds: int = ROUNDS, seed: int = 0,
+    id_column: str = "doc_id", **columns: str,
+) -> DataFrame:
+    """The drawn rows of ``docs`` with all their columns; see ``mix_documents``.
+
+    Texts are labelled twice, for the fit and for the draw, and not shuffled: they meet their
+    cell's probability in a join with the cells.
+    """
+    labelled = label_documents(docs, id_column=id_column, **columns)
+    fitted = _fit(stored(labelled, "labelled"), exponents, rounds)
+    whole = docs.select("*", F.struct(*docs.columns).alias(fresh := _unused(docs)))
+    rows = label_documents(whole, id_column=id_column, keep=fresh, **columns)
+    return draw(rows, fitted, rate, seed).select(f"{fresh}.*")
+
+
+def _unused(docs: DataFrame) -> str:
+    name = "row"
+    while name in docs.columns or name in (*MARGINS, "doc_id", "n_tokens", "probability", "w"):
+        name = f"_{name}"
+    return name
 
 
 def mix_documents(
@@ -140,9 +175,7 @@ def mix_documents(
     so a source with most of the rows is a few rows to each task.
     """
     labelled = stored(label_documents(docs, **columns), "labelled")
-    cells = stored(labelled.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("n")), "cells")
-    targets = {m: stored(flattened_targets(cells, m, exponents[m]), "targets") for m in MARGINS}
-    fitted = stored(rake(cells, targets, rounds), "fitted")
+    fitted = _fit(labelled, exponents, rounds)
     return draw(labelled, fitted, rate, seed).select(
         "doc_id", *MARGINS, "n_tokens", F.round("w", 9).alias("weight"),
         F.round("probability", 9).alias("probability"),

@@ -64,3 +64,11 @@ def test_null_labels(make_docs):
     docs = make_docs([(1, "a b", None, None, 0), (2, "a b", "en", None, 0)])
     rows = mixing.mix_documents(docs, {m: 1.0 for m in mixing.MARGINS}, 1.0).collect()
     assert {(r["source"], r["lang"]) for r in rows} == {("(none)", "(none)"), ("(none)", "en")}
+
+
+def test_kept_rows_are_the_drawn_ones(odd_docs, many):
+    for docs in (odd_docs, many):
+        drawn = sorted(str(r["doc_id"]) for r in mixing.mix_documents(docs, EXPONENTS, 0.4).collect())
+        kept = mixing.keep_drawn(docs, EXPONENTS, 0.4)
+        assert kept.columns == docs.columns and "Python" not in plan_of(kept)
+        assert sorted(str(r["doc_id"]) for r in kept.collect()) == drawn

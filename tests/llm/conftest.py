@@ -1,9 +1,7 @@
 from __future__ import annotations
 
-import random
-import re
-
 import pytest
+from made_up import prose
 from pyspark.sql import functions as F
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -15,19 +13,6 @@ CLASHING = [
 ]
 
 
-def words(seed: int, n: int) -> list[str]:
-    made = random.Random(seed)
-    return ["".join(made.choices("abcdefgh", k=made.randint(2, 7))) for _ in range(n)]
-
-
-def prose(seed: int, n: int = 60) -> str:
-    return " ".join(words(seed, n))
-
-
-def plain_words(text: str | None) -> list[str]:
-    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-
-
 @pytest.fixture(scope="session")
 def make_docs(spark):
     """Documents from (doc_id, text) or full rows."""
@@ -62,7 +47,3 @@ def odd_docs(make_docs, odd_rows):
 @pytest.fixture(scope="session")
 def no_docs(make_docs):
     return make_docs([])
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

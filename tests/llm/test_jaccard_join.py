@@ -4,7 +4,7 @@ import random
 from itertools import combinations
 
 import pytest
-from conftest import plain_words, prose, words
+from made_up import plain_words, prose, words
 
 from windrow.llm import jaccard_join
 from windrow.llm.components import connected_components

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import plan_of, prose
+from made_up import plan_of, prose
 
 from windrow.llm import licenses
 

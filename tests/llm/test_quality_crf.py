@@ -4,7 +4,7 @@ import itertools
 
 import numpy as np
 import pytest
-from conftest import prose
+from made_up import prose
 
 from windrow.llm import quality_crf as q
 

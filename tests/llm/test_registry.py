@@ -5,7 +5,7 @@ from __future__ import annotations
 import duckdb
 import pytest
 from compare import difference
-from conftest import prose
+from made_up import prose
 
 import corpus_pipeline
 from windrow.llm.registry import llm_oracles, llm_queries

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import sys
-from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -60,7 +59,3 @@ def flights(spark):
         return spark.createDataFrame(rows, FLIGHTS)
 
     return make
-
-
-def day(number: int) -> datetime:
-    return datetime(2024, 1, 1 + number)

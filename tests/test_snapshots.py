@@ -6,7 +6,7 @@ from collections import Counter
 from datetime import datetime
 
 import pytest
-from conftest import day
+from dates import day
 from pyspark.sql import functions as F
 
 from windrow.operators import maintenance

@@ -3,16 +3,6 @@ from __future__ import annotations
 from windrow.llm import common
 
 
-def test_without_ids(spark, odd_docs, odd_rows, no_docs):
-    gone = spark.createDataFrame([(3,), (11,), (11,), (None,), (77,)], "doc_id bigint")
-    left = common.without_ids(odd_docs, gone, "doc_id")
-    assert left.columns == odd_docs.columns
-    wanted = sorted(str(k) for k, _ in odd_rows if k not in (3, 11))
-    assert sorted(str(r["doc_id"]) for r in left.collect()) == wanted
-    assert common.without_ids(odd_docs, gone.limit(0), "doc_id").count() == len(odd_rows)
-    assert common.without_ids(no_docs, gone, "doc_id").count() == 0
-
-
 def test_the_filter_lets_every_id_pass(spark):
     ids = spark.range(0, 30_000, 7).withColumnRenamed("id", "doc_id")
     bits = common.id_filter(ids, "doc_id")

@@ -8,7 +8,6 @@ import uuid
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,19 +101,3 @@ def id_filter(ids: DataFrame, key: str) -> np.ndarray:
 
 def passes(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (bits[places // 64] >> (places % 64)) & 1 == 1
-
-
-def without_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """``rows`` whose ``key`` is not in ``ids``; null keys stay.
-
-    A filter of fixed size tells which rows may be in ``ids``; only these are shuffled.
-    """
-    bits = rows.sparkSession.sparkContext.broadcast(id_filter(ids, key))
-
-    @F.pandas_udf("boolean")
-    def may_be_in(places: pd.Series) -> pd.Series:
-        return pd.Series(passes(bits.value, places.to_numpy()))
-
-    may = may_be_in(filter_place(key))
-    doubtful = rows.where(may).join(ids.select(key), key, "left_anti").select(rows.columns)
-    return rows.where(~may).unionByName(doubtful)

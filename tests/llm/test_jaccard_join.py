@@ -62,6 +62,44 @@ def test_near_copies_in_small_and_large_regions(make_docs, monkeypatch, region_r
     assert found(make_docs(rows)) == brute(rows)
 
 
+def brute_counts(rows):
+    sets = []
+    for _, text in rows:
+        w = plain_words(text)
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()})
+    counts = [0] * len(rows)
+    for i, j in combinations(range(len(rows)), 2):
+        x, y = sets[i], sets[j]
+        if None not in (rows[i][0], rows[j][0]) and x and y and 100 * len(x & y) >= 75 * len(x | y):
+            counts[i] += 1
+            counts[j] += 1
+    return sorted(((k, n) for (k, _), n in zip(rows, counts, strict=True)), key=str)
+
+
+@pytest.mark.parametrize("region_rows", [5, 1500])
+def test_links_of_every_document(make_docs, monkeypatch, region_rows):
+    monkeypatch.setattr(jaccard_join, "REGION_ROWS", region_rows)
+    rows = near_copies(50, 5) + [(1000 + k, prose(k)) for k in range(10)]
+    rows += [(2000 + k, prose(99, 200) + " " + prose(k + 50, 30)) for k in range(15)]
+    rows += [(3, prose(1)), (3, prose(1)), (None, prose(1)), (4, None)]
+    counts = jaccard_join.join_documents(make_docs(rows), count_links=True).select("doc_id", "n_links")
+    assert sorted((tuple(r) for r in counts.collect()), key=str) == brute_counts(rows)
+
+
+@pytest.mark.parametrize("region_rows", [5, 1500])
+def test_every_link_is_listed_once(spark, monkeypatch, region_rows):
+    monkeypatch.setattr(jaccard_join, "REGION_ROWS", region_rows)
+    some = random.Random(0)
+    sets = {k: sorted({*range(40)} - {*some.sample(range(40), some.randint(1, 6))} | {100 + k}) for k in range(40)}
+    frame = spark.createDataFrame(list(sets.items()), "node bigint, hashes array<bigint>")
+    links = sorted(tuple(r) for r in jaccard_join.similar_links(frame, every=True).collect())
+    wanted = [
+        (a, b) for a, b in combinations(sets, 2)
+        if 100 * len({*sets[a]} & {*sets[b]}) >= 75 * len({*sets[a]} | {*sets[b]})
+    ]
+    assert links == wanted and len(wanted) > len(sets)
+
+
 def test_a_link_at_exactly_three_quarters(make_docs):
     base = words(8, 104)
     rows = [(1, " ".join(base)), (2, " ".join(base[:79])), (3, " ".join(base[:78]))]

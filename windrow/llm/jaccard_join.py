@@ -12,11 +12,15 @@ Distance 1 - Jaccard is a metric, so a pivot p proves |d(r, p) - d(s, p)| <= d(r
    pivots among its members and is cut into Voronoi cells; members that do not hang together
    with most of the region visit every cell whose pivot is at most two radii further away than
    their own, and cells are joined in turn, block by block, each by a pivot of its own.
+
+Step 4 finds components. Where all links are asked for (``every``, ``count_links``), no pair is
+left out because it is connected already: every window is verified whole, every member of a large
+region visits, and a pair that meets in several regions is taken in the first of them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +48,7 @@ _PACKED = "batch bigint, bucket int, payload binary"
 _DOCS = "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, may_link boolean"
 _SETS = "doc_id bigint, key_a bigint, key_b bigint, hashes array<bigint>"
 _LINKS = "a bigint, b bigint"
+_COUNTS = "node bigint, n bigint"
 
 
 def fewest_shared(n: int | np.ndarray) -> int | np.ndarray:
@@ -286,13 +291,16 @@ class _Region:
             np.uint64(1) << (self.columns & 63).astype(np.uint64),
         )
 
+    def shared(self, row: int, others: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(self.bits[others] & self.bits[row]).sum(axis=1, dtype=np.int64)
+
     def linked(self, row: int, others: np.ndarray) -> np.ndarray:
-        both = np.bitwise_count(self.bits[others] & self.bits[row]).sum(axis=1, dtype=np.int64)
+        both = self.shared(row, others)
         union = self.sizes[row] + self.sizes[others] - both
         return 100 * both >= PERCENT * union
 
     def distance(self, row: int, others: np.ndarray) -> np.ndarray:
-        both = np.bitwise_count(self.bits[others] & self.bits[row]).sum(axis=1, dtype=np.int64)
+        both = self.shared(row, others)
         return 1 - both / (self.sizes[row] + self.sizes[others] - both)
 
 
@@ -408,6 +416,61 @@ def _join_visitors(group: pa.Table) -> pa.Table:
     return _links_table(join_region(nodes, sets, visits, known, among_home=False))
 
 
+def every_pair(
+    nodes: np.ndarray, sets: list[np.ndarray], regions: list[np.ndarray], here: int,
+    visits: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of all linked pairs of the region ``here``, the smaller node first.
+
+    ``regions`` has the regions of each member; a pair that shares an earlier one is left to it.
+    With ``visits`` pairs are of a visitor and a resident.
+    """
+    region = _Region(sets)
+    earlier = _Region([r[r <= here] for r in regions])
+    away = region.distance(int(np.argmin(mix(nodes.view(np.uint64)))), np.arange(len(nodes)))
+    by_distance = np.argsort(away, kind="stable")
+    sorted_away = away[by_distance]
+    rows, partners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for row in range(len(nodes)) if visits is None else np.flatnonzero(visits).tolist():
+        lo = np.searchsorted(sorted_away, away[row] - _RADIUS - _ROOM)
+        hi = np.searchsorted(sorted_away, away[row] + _RADIUS + _ROOM, side="right")
+        others = by_distance[lo:hi]
+        sizes = region.sizes[others]
+        fits = (100 * np.minimum(sizes, region.sizes[row]) >= PERCENT * np.maximum(sizes, region.sizes[row]))
+        fits &= nodes[others] > nodes[row]
+        if visits is not None:
+            fits &= ~visits[others]
+        others = others[fits]
+        others = others[region.linked(row, others)]
+        # All share this region; one more is an earlier one.
+        others = others[earlier.shared(row, others) == 1]
+        rows.append(np.full(len(others), row))
+        partners.append(others)
+    return np.concatenate(rows), np.concatenate(partners)
+
+
+def _join_every(cells: bool, counted: bool) -> Callable[[pa.Table], pa.Table]:
+    """Joins a whole region (or a cell's blocks) to all its links, or to how many copies each
+    member's links lead to."""
+
+    def joined(group: pa.Table) -> pa.Table:
+        nodes, sets = _columns(group)
+        lists = pa.concat_arrays(group.column("regions").chunks)
+        ends = np.cumsum(lists.value_lengths().to_numpy())
+        regions = np.split(lists.flatten().to_numpy(), ends[:-1])
+        visits = group.column("visits").to_numpy() if cells else None
+        i, j = every_pair(nodes, sets, regions, group.column("region")[0].as_py(), visits)
+        if not counted:
+            return pa.table({"a": pa.array(nodes[i]), "b": pa.array(nodes[j])})
+        copies, total = group.column("copies").to_numpy(), np.zeros(len(nodes), dtype=np.int64)
+        np.add.at(total, i, copies[j])
+        np.add.at(total, j, copies[i])
+        some = total > 0
+        return pa.table({"node": pa.array(nodes[some]), "n": pa.array(total[some])})
+
+    return joined
+
+
 _CELLS = "region bigint, cell bigint, node bigint, home boolean, tied boolean"
 
 
@@ -471,6 +534,25 @@ def _draw(rows: DataFrame, salt: str) -> DataFrame:
     return rows.where(share < 2 * F.col("n") / REGION_ROWS + 16).select("region", "node")
 
 
+def _meetings(visitors: DataFrame, residents: DataFrame, more: list[str]) -> DataFrame:
+    """Blocks v of each cell's visitors with blocks r of its residents: one row for each member
+    and meeting, with the columns ``more``."""
+    visits = visitors.groupBy("region", "cell").agg(F.count("*").alias("n_visits"))
+    stays = residents.groupBy("region", "cell").agg(F.count("*").alias("n_stays"))
+    sizes = stored(visits.join(stays, ["region", "cell"]), "jaccard-sizes")
+    v_blocks, r_blocks = _blocks(F.col("n_visits")), _blocks(F.col("n_stays"))
+    first, last = F.lit(0), F.lit(1)
+    coming = visitors.join(sizes, ["region", "cell"]).select(
+        "region", "cell", "node", *more, F.lit(True).alias("visits"),
+        _block("visitor", v_blocks).alias("v"), F.explode(F.sequence(first, r_blocks - last)).alias("r"),
+    )
+    living = residents.join(sizes, ["region", "cell"]).select(
+        "region", "cell", "node", *more, F.lit(False).alias("visits"),
+        F.explode(F.sequence(first, v_blocks - last)).alias("v"), _block("resident", r_blocks).alias("r"),
+    )
+    return coming.unionByName(living.select(coming.columns))
+
+
 def _large_regions(members: DataFrame, sets: DataFrame) -> list[DataFrame]:
     """Links of regions (region, node, n) with more members than one task should join.
 
@@ -495,36 +577,56 @@ def _large_regions(members: DataFrame, sets: DataFrame) -> list[DataFrame]:
     outside = ~F.coalesce(F.col("component") == F.col("largest"), F.lit(False))
     visitors = cells.join(named.where(outside).select("region", "node", "component"), ["region", "node"])
     residents = cells.where("home").join(named.select("region", "node", "component"), ["region", "node"])
-    visits = visitors.groupBy("region", "cell").agg(F.count("*").alias("n_visits"))
-    stays = residents.groupBy("region", "cell").agg(F.count("*").alias("n_stays"))
-    sizes = stored(visits.join(stays, ["region", "cell"]), "jaccard-sizes")
-    v_blocks, r_blocks = _blocks(F.col("n_visits")), _blocks(F.col("n_stays"))
-    first, last = F.lit(0), F.lit(1)
-    coming = visitors.join(sizes, ["region", "cell"]).select(
-        "region", "cell", "node", "component", F.lit(True).alias("visits"),
-        _block("visitor", v_blocks).alias("v"), F.explode(F.sequence(first, r_blocks - last)).alias("r"),
-    )
-    living = residents.join(sizes, ["region", "cell"]).select(
-        "region", "cell", "node", "component", F.lit(False).alias("visits"),
-        F.explode(F.sequence(first, v_blocks - last)).alias("v"), _block("resident", r_blocks).alias("r"),
-    )
-    rows = coming.unionByName(living.select(coming.columns)).join(sets, "node")
+    rows = _meetings(visitors, residents, ["component"]).join(sets, "node")
     links = rows.groupBy("region", "cell", "v", "r").applyInArrow(_join_visitors, _LINKS)
     return [ties, stored(links, "jaccard-links")]
 
 
-def similar_links(sets: DataFrame) -> DataFrame:
-    """Links (a, b) that connect the same nodes as all pairs of at least 75 % similarity.
-
-    ``sets`` has node and hashes (sorted distinct 64-bit shingle hashes), distinct sets only.
-    """
+def _regions(sets: DataFrame) -> DataFrame:
+    """region, node, and the region's number of members n, for regions of two at least."""
     postings = stored(_rare_postings(sets), "jaccard-postings")
     first = F.min(F.struct(F.xxhash64("node").alias("priority"), F.col("node").alias("pivot")))
     pivots = postings.groupBy("hash").agg(first.alias("first"), F.count("*").alias("n"))
     pivots = pivots.where("n > 1").select("hash", F.col("first.pivot").alias("region"))
     members = stored(postings.join(pivots, "hash").select("region", "node").distinct(), "jaccard-regions")
     sizes = members.groupBy("region").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(members.join(sizes, "region"), "jaccard-members")
+    return stored(members.join(sizes, "region"), "jaccard-members")
+
+
+def _every_link(sets: DataFrame, counted: bool) -> DataFrame:
+    """All links once, or (node, n) with the copies that links lead to, in several rows a node.
+
+    In a large region each member resides in the cell of its nearest pivot and visits all cells
+    whose pivot is at most two radii further away, so each link's ends meet in either's cell; it
+    is taken in that of the larger end.
+    """
+    members = _regions(sets)
+    kind = _COUNTS if counted else _LINKS
+    sets = sets.join(members.groupBy("node").agg(F.collect_list("region").alias("regions")), "node")
+    small = members.where(F.col("n") <= REGION_ROWS).join(sets, "node")
+    found = stored(small.groupBy("region").applyInArrow(_join_every(False, counted), kind), "jaccard-links")
+    large = members.where(F.col("n") > REGION_ROWS)
+    if large.isEmpty():
+        return found
+    own = large.where("node = region").select("region", "node")
+    hashes = sets.select("node", "hashes")
+    cells = _measured(large, _draw(large, "first").unionByName(own).distinct(), hashes)
+    rows = _meetings(cells, cells.where("home"), []).join(sets, "node")
+    more = rows.groupBy("region", "cell", "v", "r").applyInArrow(_join_every(True, counted), kind)
+    return found.unionByName(stored(more, "jaccard-links"))
+
+
+def similar_links(sets: DataFrame, every: bool = False) -> DataFrame:
+    """Links (a, b) that connect the same nodes as all pairs of at least 75 % similarity; with
+    ``every`` all these pairs, each once with a < b.
+
+    ``sets`` has node and hashes (sorted distinct 64-bit shingle hashes), distinct sets only;
+    ``every`` wants a node of its own for each set. A group of n near copies has up to
+    n (n - 1) / 2 links; ``link_counts`` counts them without listing.
+    """
+    if every:
+        return _every_link(sets, counted=False)
+    members = _regions(sets)
     small = members.where(F.col("n") <= REGION_ROWS).join(sets, "node")
     found = stored(small.groupBy("region").applyInArrow(_join_group, _LINKS), "jaccard-links")
     large = members.where(F.col("n") > REGION_ROWS)
@@ -534,8 +636,17 @@ def similar_links(sets: DataFrame) -> DataFrame:
     return found
 
 
-def join_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id of every row.
+def link_counts(sets: DataFrame) -> DataFrame:
+    """node and n_links: how many copies the sets linked to the node's have together. Nodes
+    without links are left out. ``sets`` is that of ``similar_links`` with copies, for each set."""
+    return _every_link(sets, counted=True).groupBy("node").agg(F.sum("n").alias("n_links"))
+
+
+def join_documents(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", count_links: bool = False
+) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row, and n_links with ``count_links``: how
+    many other rows (with an id) hold a text that links to the row's.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z read as a-z; a set has the distinct five-word
     shingles of the whole text, or one shingle of all words if there are fewer. Sets link when
@@ -549,18 +660,32 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
     texts = _texts(docs, id_column, text_column)
     n_buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = stored(_count_shingles(texts, n_buckets), "jaccard-documents")
-    sets = _candidate_sets(texts, found).select(F.col("doc_id").alias("node"), "hashes")
-    sets = stored(sets, "jaccard-sets")
-    components = stored(connected_components(similar_links(sets)), "jaccard-components")
+    # A document with several texts has several sets.
+    set_id = F.xxhash64("key_a", "key_b").alias("set_id")
+    sets = stored(_candidate_sets(texts, found).select(F.col("doc_id").alias("node"), set_id, "hashes"), "jaccard-sets")
+    links = similar_links(sets.select("node", "hashes"))
+    components = stored(connected_components(links), "jaccard-components")
+    may_link = found.where("may_link")
     classes = (
-        found.where("may_link").groupBy("key_a", "key_b").agg(F.min("doc_id").alias("node"))
+        may_link.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
         .join(components, "node", "left")
-        .select("key_a", "key_b", F.coalesce("component", "node").alias("class_component"))
-    )
-    linked = found.where("may_link").join(classes, ["key_a", "key_b"], "left").select(
-        "doc_id", "n_shingles", F.col("class_component").alias("component_id")
+        .select("key_a", "key_b", "copies", F.coalesce("component", "node").alias("class_component"))
     )
+    columns = ["doc_id", "n_shingles", F.col("class_component").alias("component_id")]
+    if count_links:
+        copies = classes.select(set_id.alias("node"), "copies")
+        counts = stored(
+            link_counts(sets.select(F.col("set_id").alias("node"), "hashes").join(copies, "node")), "jaccard-counts"
+        )
+        counts = counts.select(F.col("node").alias("set_id"), "n_links")
+        classes = classes.withColumn("set_id", set_id).join(counts, "set_id", "left").withColumn(
+            "n_links", F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1
+        )
+        columns.append("n_links")
+    linked = may_link.join(classes, ["key_a", "key_b"], "left").select(*columns)
     alone = found.where(~F.col("may_link")).select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
     )
+    if count_links:
+        alone = alone.withColumn("n_links", F.lit(0).cast("long"))
     return linked.unionByName(alone)

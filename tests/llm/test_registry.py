@@ -10,8 +10,8 @@ from made_up import prose
 import corpus_pipeline
 from windrow.llm.registry import llm_oracles, llm_queries
 
-TABLES = "documents embeddings pages benchmark labels".split()
-NO_SQL = {"op1_token_files", "op4_decontamination", "op5_quality_crf", "op7_sharding"}
+TABLES = "documents embeddings pages benchmark labels conversations".split()
+NO_SQL = {"op1_token_files", "op4_decontamination", "op5_quality_crf", "op7_sharding", "op13_alignment"}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +23,7 @@ def oracle(sf_dir):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 14))
     assert set(llm_queries()) - set(llm_oracles()) == NO_SQL
 
 

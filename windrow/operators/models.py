@@ -16,7 +16,8 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.operators import metrics
+from windrow.operators import linear, metrics
+from windrow.operators.categories import dictionary, fit_bins
 from windrow.operators.selection import split_hash, split_stratified
 from windrow.schemas import CARRIER, SEED, TEST_SIZE
 
@@ -104,12 +105,8 @@ def scaled_numerics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def onehot_widths(df: DataFrame, features: FeatureSet = FULL) -> DataFrame:
     """Number of one-hot columns each categorical feature gets when fitted on ``df``."""
-    fitted = preprocessor(features).fit(df)
-    encoder = fitted.stages[3]
-    widths = [
-        (c, int(size) - 1) for c, size in zip(features.categorical, encoder.categorySizes)
-    ]
-    return df.sparkSession.createDataFrame(widths, "feature string, width int")
+    sizes = dictionary(df, features.categorical).sizes
+    return df.sparkSession.createDataFrame(list(sizes.items()), "feature string, width int")
 
 
 def feature_names(encoded: DataFrame, features: FeatureSet) -> list[str]:
@@ -174,6 +171,7 @@ class Trained:
     metrics: dict[str, float]
     params: dict[str, str] = field(default_factory=dict)
     importances: list[tuple[str, float]] = field(default_factory=list)
+    trivial: float = 0.0
 
 
 def _train(
@@ -186,53 +184,81 @@ def _train(
 ) -> list[Trained]:
     """Fits each model of a task on the training rows and measures it on the held-out ones.
 
-    The encoding is fitted once, on training rows only, and the encoded rows are kept for the
-    passes of all fits (spilling to disk; a lost block is recomputed).
+    Encodings are fitted on training rows only; rows are kept for the passes of all fits
+    (spilling to disk; a lost block is recomputed).
     """
     target = DELAY_TARGET if task == "regression" else CLASS_TARGET
     features = features.present(split)
-    encoding = preprocessor(features).fit(split.where(~F.col("is_test")))
-    encoded = encoding.transform(split).select(
-        "features", "indexed", "is_test", F.col(target).cast("double").alias(target)
-    )
+    rows = split.select(*features.columns, "is_test", F.col(target).cast("double").alias(target))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        train, held_out = rows.where(~F.col("is_test")), rows.where("is_test")
+        fitted = {}
+        name, model = _linear(task, train, features, target)
+        fitted[name] = (model, [])
+        fitted["random_forest"] = _forest(task, train, features, target, trees, depth, seed)
+        trivial = _trivial(task, held_out, target)
+        return [
+            Trained(
+                task, name, model, _evaluate(task, predict(model, held_out), target),
+                {"features": ",".join(features.columns), "random_state": str(seed)}, importances, trivial,
+            )
+            for name, (model, importances) in fitted.items()
+        ]
+    finally:
+        rows.unpersist()
+
+
+def _linear(task: str, train: DataFrame, features: FeatureSet, target: str) -> tuple[str, PipelineModel]:
+    """The linear model of a task, from its normal equations; of a one-hot design too wide for
+    these, from MLlib's iterative solvers."""
+    name = "linear_regression" if task == "regression" else "logistic_regression"
+    try:
+        if task == "regression":
+            return name, linear.least_squares(train, features.numeric, features.categorical, target).regressor()
+        return name, linear.logistic(train, features.numeric, features.categorical, target).classifier()
+    except linear.TooManyColumns:
+        encoding = preprocessor(features).fit(train)
+        estimators = regressors() if task == "regression" else classifiers(train.count())
+        return name, PipelineModel([*encoding.stages, estimators[name].fit(encoding.transform(train))])
+
+
+def _forest(
+    task: str, train: DataFrame, features: FeatureSet, target: str, trees: int, depth: int, seed: int
+) -> tuple[PipelineModel, list[tuple[str, float]]]:
+    """A forest over plain numbers and category bins, with its importances. The number of bins is
+    bounded, however many values a category has."""
+    bins, most = fit_bins(train, features.categorical, target)
+    assembler = VectorAssembler(inputCols=[*features.numeric, *bins.columns], outputCol="indexed")
+    encoded = assembler.transform(bins.transform(train)).select("indexed", target)
     encoded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        train = encoded.where(~F.col("is_test"))
-        names = [*features.numeric, *features.categorical]
-        # A bin for each category, the one for unseen values included.
-        arity = max((len(labels) + 1 for labels in encoding.stages[2].labelsArray), default=0)
-        bins = max(32, arity)
         if task == "regression":
-            estimators = regressors(trees, depth, seed, bins)
+            estimator = regressors(trees, depth, seed, max(32, most))["random_forest"]
         else:
-            estimators = classifiers(train.count(), trees, depth, seed, bins)
-        trained = []
-        for name, estimator in estimators.items():
-            model = estimator.fit(train)
-            scored = model.transform(encoded.where("is_test"))
-            importances = []
-            if hasattr(model, "featureImportances"):
-                values = model.featureImportances.toArray().tolist()
-                importances = sorted(zip(names, values), key=lambda p: p[1], reverse=True)
-            trained.append(
-                Trained(
-                    task,
-                    name,
-                    PipelineModel([*encoding.stages, model]),
-                    _evaluate(task, scored, target),
-                    {"features": ",".join(features.columns), "random_state": str(seed)},
-                    importances,
-                )
-            )
-        return trained
+            estimator = classifiers(0, trees, depth, seed, max(32, most))["random_forest"]
+        model = estimator.fit(encoded)
     finally:
         encoded.unpersist()
+    values = model.featureImportances.toArray().tolist()
+    names = [*features.numeric, *features.categorical]
+    importances = sorted(zip(names, values, strict=True), key=lambda p: p[1], reverse=True)
+    return PipelineModel([bins, assembler, model]), importances
+
+
+def _trivial(task: str, held_out: DataFrame, target: str) -> float:
+    """What the trivial model scores on the held-out rows: the squared error of their mean, or the
+    share of their larger class."""
+    if task == "regression":
+        return held_out.agg(F.var_pop(target)).first()[0] or 0.0
+    late = held_out.agg(F.avg(target)).first()[0] or 0.0
+    return max(late, 1 - late)
 
 
 def _evaluate(task: str, scored: DataFrame, target: str) -> dict[str, float]:
     if task == "regression":
         return metrics.regression_metrics(scored, target).first().asDict()
-    ranked = scored.withColumn("_score", class_probability())
+    ranked = scored.withColumn("_score", F.col("probability_1"))
     return {
         "accuracy": metrics.accuracy(scored, target).first()["accuracy"],
         "roc_auc": metrics.roc_auc(ranked, target, "_score"),
@@ -276,26 +302,26 @@ def metrics_table(spark: SparkSession, trained: Sequence[Trained]) -> DataFrame:
     return spark.createDataFrame(rows, "task string, model string, metric string, value double")
 
 
-def checks(prepared: DataFrame, trained: Sequence[Trained]) -> DataFrame:
-    """Whether each model beats the trivial one on held-out rows, and importances sum to 1.
+def checks(trained: Sequence[Trained], spark: SparkSession) -> DataFrame:
+    """Whether each model beats the trivial one on held-out rows, and importances sum to 1, with
+    the trivial model's score.
 
-    The trivial regression predicts the mean (R2 above 0), the trivial classification the
-    larger class.
+    The trivial regression predicts the mean (its squared error), the trivial classification the
+    larger class (its accuracy).
     """
-    late = prepared.agg(F.avg(CLASS_TARGET)).first()[0] or 0.0
     rows = []
     for t in trained:
+        trivial = round(t.trivial, 6)
         if t.task == "regression":
-            rows.append((t.task, t.name, "better than the mean", t.metrics["r2"] > 0))
+            rows.append((t.task, t.name, "better than the mean", t.metrics["mse"] < t.trivial, trivial))
         else:
-            # The split keeps the class shares up to one row of each class.
-            least = max(late, 1 - late) - 0.01
-            rows.append((t.task, t.name, "better than the larger class", t.metrics["accuracy"] > least))
+            better = t.metrics["accuracy"] > t.trivial - 0.01
+            rows.append((t.task, t.name, "better than the larger class", better, trivial))
         if t.importances:
             total = sum(v for _, v in t.importances)
-            rows.append((t.task, t.name, "importances sum to 1", abs(total - 1) < 1e-6))
-    schema = "task string, model string, check string, passed boolean"
-    return prepared.sparkSession.createDataFrame(rows, schema)
+            rows.append((t.task, t.name, "importances sum to 1", abs(total - 1) < 1e-6, trivial))
+    schema = "task string, model string, check string, passed boolean, trivial_score double"
+    return spark.createDataFrame(rows, schema)
 
 
 def fit_line(df: DataFrame, column: str):
@@ -352,6 +378,6 @@ def log_runs(
 def predict(model: Transformer, rows: DataFrame) -> DataFrame:
     """Rows with ``prediction`` and, for a classifier, ``probability_1``."""
     scored = model.transform(rows)
-    if "probability" in scored.columns:
+    if "probability" in scored.columns and "probability_1" not in scored.columns:
         scored = scored.withColumn("probability_1", class_probability())
     return scored

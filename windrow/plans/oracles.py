@@ -256,24 +256,68 @@ SELECT * FROM (SELECT 'best' AS rank, {columns} FROM ({table})
   ORDER BY avg_arrival_delay ASC NULLS FIRST, entity ASC, "Month" ASC LIMIT 1)"""
 
 
-def _checks(task: str, models: dict[str, list[str]]) -> str:
-    return " UNION ALL ".join(
-        f"SELECT '{task}' AS task, '{model}' AS model, '{check}' AS \"check\", true AS passed"
-        for model, checks in models.items() for check in checks
+def _checks(task: str, models: dict[str, list[str]], trivial: str) -> str:
+    """The checks of each model beside the trivial model's score on the held-out rows."""
+    rows = ", ".join(f"('{model}', '{check}')" for model, checks in models.items() for check in checks)
+    return (
+        f"SELECT '{task}' AS task, model, \"check\", trivial_score IS NOT NULL AS passed, trivial_score "
+        f"FROM (VALUES {rows}) AS t(model, \"check\"), ({trivial})"
     )
 
 
-MODEL_CHECKS_REGRESSION = _checks(
-    "regression",
-    {"linear_regression": ["better than the mean"], "random_forest": ["better than the mean", "importances sum to 1"]},
-)
-MODEL_CHECKS_CLASSIFICATION = _checks(
-    "classification",
-    {
-        "logistic_regression": ["better than the larger class"],
-        "random_forest": ["better than the larger class", "importances sum to 1"],
-    },
-)
+def _model_checks(rows: str) -> tuple[str, str]:
+    """Of regressors and classifiers trained on ``rows``, each with its own split."""
+    regression = _checks(
+        "regression",
+        {"linear_regression": ["better than the mean"], "random_forest": ["better than the mean", "importances sum to 1"]},
+        f"SELECT round(var_pop(target_arrival_delay), 6) AS trivial_score FROM {rows} "
+        "WHERE right(md5(flight_id), 8) < '33333333'",
+    )
+    classification = _checks(
+        "classification",
+        {
+            "logistic_regression": ["better than the larger class"],
+            "random_forest": ["better than the larger class", "importances sum to 1"],
+        },
+        "SELECT round(greatest(avg(target_is_delayed), 1 - avg(target_is_delayed)), 6) AS trivial_score "
+        f"FROM ({_stratified(rows)}) WHERE is_test",
+    )
+    return regression, classification
+
+
+def _stratified(rows: str) -> str:
+    return (
+        "SELECT *, row_number() OVER (PARTITION BY target_is_delayed ORDER BY md5(flight_id), flight_id) "
+        "<= round(count(*) OVER (PARTITION BY target_is_delayed) * CAST(0.2 AS DOUBLE)) "
+        f"AS is_test FROM {rows}"
+    )
+
+
+NUMERIC = ["Distance", "AirTime", "DepDelay", "Month", "DayofMonth"]
+CATEGORICAL = ["AIRLINE", "Origin", "Dest", "DAY_OF_WEEK", "DEP_HOUR"]
+SIMPLE_MODEL = [
+    "IATA_Code_Marketing_Airline", "Origin", "Dest", "SEASON", "Month", "DayofMonth", "DayOfWeek",
+    "DEP_HOUR", "Distance", "DepDelay", "target_arrival_delay", "target_is_delayed",
+]
+
+
+def _moments(rows: str, target: str, moment: str) -> str:
+    """What ``target`` adds up to over each column of the one-hot design: ``moment`` makes of
+    ``total`` and ``row_count`` what is returned."""
+    parts = [f"SELECT '(intercept)' AS feature, CAST(NULL AS VARCHAR) AS value, count(*) AS row_count, sum({target}) AS total FROM t"]
+    parts += [
+        f"SELECT '{c}', NULL, count(*), sum({target} * (\"{c}\" - m) / s) FROM t, "
+        f"(SELECT avg(\"{c}\") AS m, stddev_pop(\"{c}\") AS s FROM t)"
+        for c in NUMERIC
+    ]
+    parts += [
+        f"SELECT '{c}', CAST(\"{c}\" AS VARCHAR), count(*), sum({target}) FROM t GROUP BY \"{c}\"" for c in CATEGORICAL
+    ]
+    return (
+        f"SELECT feature, value, row_count, {moment} AS moment "
+        f"FROM (WITH t AS ({rows}) {' UNION ALL '.join(parts)})"
+    )
+
 
 SCALED = ["Distance", "AirTime", "DepDelay", "Month", "DayofMonth"]
 LATE_CARRIERS = "\"Year\" = 2023 AND \"AIRLINE\" IN ('BRAND#1', 'BRAND#2', 'BRAND#3')"
@@ -286,6 +330,12 @@ def all_oracles() -> dict[str, str]:
         "FROM features"
     )
     train = "FROM features WHERE NOT right(md5(flight_id), 8) < '33333333'"
+    regression, classification = _model_checks("features")
+    known = " AND ".join(f'"{c}" IS NOT NULL' for c in SIMPLE_MODEL)
+    carrier_means = (
+        f"(SELECT \"AIRLINE\", avg(target_arrival_delay) AS p {train} GROUP BY \"AIRLINE\") JOIN "
+        "(SELECT * FROM features WHERE right(md5(flight_id), 8) < '33333333') USING (\"AIRLINE\")"
+    )
     return {
         "flights": on_raw("SELECT * FROM flights"),
         "csv_scan": on_raw("SELECT * FROM raw"),
@@ -546,7 +596,29 @@ def all_oracles() -> dict[str, str]:
             "false AS missing FROM upserted UNION ALL SELECT 'missing', NULL, NULL, true",
             changes("bronze"),
         ),
-        "ml_regression": MODEL_CHECKS_REGRESSION,
-        "ml_classification": MODEL_CHECKS_CLASSIFICATION,
-        "ml_metrics": f"{MODEL_CHECKS_REGRESSION} UNION ALL {MODEL_CHECKS_CLASSIFICATION}",
+        "ml_regression": on_features(regression),
+        "ml_classification": on_features(classification),
+        "ml_metrics": on_raw(" UNION ALL ".join(_model_checks(f"(SELECT * FROM features_simple WHERE {known})")), FEATURES_SIMPLE),
+        "ml_category_index": on_features(
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS feature, CAST(\"{c}\" AS VARCHAR) AS value, "
+                f"dense_rank() OVER (ORDER BY CAST(\"{c}\" AS VARCHAR)) - 1 AS value_index "
+                f"FROM (SELECT DISTINCT \"{c}\" FROM features)"
+                for c in [*CATEGORICAL, "flight_id"]
+            )
+        ),
+        "ml_normal_equations": on_features(
+            _moments(f"SELECT * {train}", "target_arrival_delay", "round(total / row_count, 6)")
+        ),
+        "ml_logistic_equations": on_features(
+            _moments(
+                f"SELECT * FROM ({_stratified('features')}) WHERE NOT is_test", "target_is_delayed", "round(CAST(total AS DOUBLE), 5)"
+            )
+        ),
+        "ml_predictions": on_features(f"SELECT flight_id, \"AIRLINE\", round(p, 6) AS prediction FROM {carrier_means}"),
+        "ml_run_log": on_features(
+            "SELECT 'regression_carrier_means' AS run_name, 3 AS feature_version, "
+            "unnest(['mse', 'rmse', 'r2']) AS metric, unnest([round(m, 6), round(sqrt(m), 6), round(1 - m / v, 6)]) AS value "
+            f"FROM (SELECT avg(pow(target_arrival_delay - p, 2)) AS m, var_pop(target_arrival_delay) AS v FROM {carrier_means})"
+        ),
     }

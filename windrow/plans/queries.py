@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.operators import (
-    cleaning, features, kpis, maintenance, metrics, models, reports, selection,
+    cleaning, features, kpis, linear, maintenance, metrics, models, reports, selection,
 )
+from windrow.operators.categories import dictionary
 from windrow.plans import gold
 from windrow.plans.silver import silver
 from windrow.schemas import CARRIER, DEFAULT_YEARS, FLIGHTS, SILVER_COLUMNS
@@ -566,13 +567,13 @@ def ml_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ml_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = models.prepare(_features(spark, sf_dir))
-    return models.checks(prepared, models.train_regression(prepared))
+    return models.checks(models.train_regression(prepared), spark)
 
 
 @query
 def ml_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = models.prepare(_features(spark, sf_dir))
-    return models.checks(prepared, models.train_classification(prepared))
+    return models.checks(models.train_classification(prepared), spark)
 
 
 @query
@@ -584,4 +585,62 @@ def ml_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         *models.train_classification(rows, models.SIMPLE),
     ]
     models.log_runs(spark, trained, scratch_path(spark, "runs"))
-    return models.checks(rows, trained)
+    return models.checks(trained, spark)
+
+
+@query
+def ml_category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value of every category, numbered; the row key is one with as many values as rows."""
+    rows = models.prepare(_features(spark, sf_dir))
+    found = dictionary(rows, [*models.FULL.categorical, "flight_id"])
+    return found.table.select("feature", "value", F.col("index").alias("value_index"))
+
+
+@query
+def ml_normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the least-squares predictions add up to over each column of the design. The equations
+    hold if that is what the target adds up to, and only the least-squares fit does that."""
+    rows = models.prepare(_features(spark, sf_dir))
+    train = selection.split_hash(rows).where(~F.col("is_test"))
+    fit = linear.least_squares(train, models.FULL.numeric, models.FULL.categorical, models.DELAY_TARGET)
+    found = linear.column_sums(models.predict(fit.regressor(), train), fit.design, "prediction")
+    return found.select("feature", "value", "row_count", F.round(F.col("total") / F.col("row_count"), 6).alias("moment"))
+
+
+@query
+def ml_logistic_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for the penalised logistic fit: the predicted probabilities and the coefficient
+    add up to what the classes add up to."""
+    rows = models.prepare(_features(spark, sf_dir))
+    train = selection.split_stratified(rows, models.CLASS_TARGET).where(~F.col("is_test"))
+    fit = linear.logistic(train, models.FULL.numeric, models.FULL.categorical, models.CLASS_TARGET)
+    found = linear.column_sums(models.predict(fit.classifier(), train), fit.design, "probability_1")
+    pulled = F.when(F.col("a.feature") == linear.INTERCEPT, 0.0).otherwise(F.col("coefficient"))
+    same = (F.col("a.feature") == F.col("b.feature")) & F.col("a.value").eqNullSafe(F.col("b.value"))
+    joined = found.alias("a").join(fit.table(spark).alias("b"), same)
+    return joined.select("a.feature", "a.value", "row_count", F.round(F.col("total") + pulled, 5).alias("moment"))
+
+
+def _carrier_model(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, models.Trained]:
+    """Least squares on the carrier alone, whose predictions are the carriers' means."""
+    rows = selection.split_hash(models.prepare(_features(spark, sf_dir)))
+    train, held_out = rows.where(~F.col("is_test")), rows.where("is_test")
+    model = linear.least_squares(train, [], ["AIRLINE"], models.DELAY_TARGET).regressor()
+    scored = models.predict(model, held_out)
+    found = metrics.regression_metrics(scored, models.DELAY_TARGET).first().asDict()
+    return scored, models.Trained("regression", "carrier_means", model, found)
+
+
+@query
+def ml_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored, _ = _carrier_model(spark, sf_dir)
+    return scored.select("flight_id", "AIRLINE", F.round("prediction", 6).alias("prediction"))
+
+
+@query
+def ml_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model's holdout metrics as the run table has them."""
+    _, trained = _carrier_model(spark, sf_dir)
+    runs = models.log_runs(spark, [trained], scratch_path(spark, "runs"), feature_version=3)
+    metric, value = F.explode("metrics").alias("metric", "value"), F.round("value", 6).alias("value")
+    return runs.select("run_name", "feature_version", metric).select("run_name", "feature_version", "metric", value)

@@ -9,6 +9,7 @@ combine; the driver solves equations whose size is the number of columns, not of
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import combinations, combinations_with_replacement
@@ -124,8 +125,9 @@ def _text(value: str) -> str:
 
 
 class _Rows:
-    """The rows of a fit, encoded: ``_y``, ``_x0``… (scaled numbers) and ``_c0``… (numbers of the
-    values). They are kept for the passes of the fit; a lost block is worked out again."""
+    """The rows of a fit, encoded: ``_y``, ``_x0``… (scaled numbers), ``_c0``… (numbers of the
+    values), ``_own`` (the design's columns that these are) and ``_pairs`` (a number for each pair of
+    them). They are kept for the passes of the fit; a lost block is worked out again."""
 
     def __init__(self, df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, max_columns: int):
         found = dictionary(df, categorical)
@@ -143,9 +145,17 @@ class _Rows:
         names = {c: f"_c{i}" for i, c in enumerate(categorical)}
         self.x = [f"_x{i}" for i in range(len(numeric))]
         self.c = list(names.values())
+        self.sizes = sizes = [len(v) for v in values.values()]
+        own = [F.col(c) + start for c, start in zip(self.c, self.design.starts, strict=True)]
+        pairs, self.pair_cells, cells = [], [], self.design.width
+        for i, j in combinations(range(len(sizes)), 2):
+            pairs.append(F.col(self.c[i]) * sizes[j] + F.col(self.c[j]) + cells)
+            self.pair_cells.append((cells, i, j))
+            cells += sizes[i] * sizes[j]
         encoded = with_indexes(df, found, names).select(
             F.col(target).cast("double").alias("_y"), *self.c,
             *[self.design.scaled(i).alias(x) for i, x in enumerate(self.x)],
+            F.array(*own).cast("array<bigint>").alias("_own"), F.array(*pairs).cast("array<bigint>").alias("_pairs"),
         )
         self.df = encoded.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -161,51 +171,50 @@ class _Rows:
 
     def sums(self, df: DataFrame, *of: str) -> list[np.ndarray]:
         """For each column ``of``: its sums times each column of the design, and its own sum last."""
-        out = [np.zeros(self.design.width + 1) for _ in of]
-        totals = [F.sum(o).alias(o) for o in of]
-        numbers = [F.sum(F.col(o) * F.col(x)).alias(f"{o}{x}") for o in of for x in self.x]
-        first = df.agg(*totals, *numbers).first()
-        for o, sums in zip(of, out, strict=True):
-            sums[: len(self.x)] = [first[f"{o}{x}"] for x in self.x]
-            sums[-1] = first[o]
-        if self.c:
-            for row in df.groupingSets([[c] for c in self.c], *self.c).agg(*totals).collect():
-                for c, start in zip(self.c, self.design.starts, strict=True):
-                    if row[c] is not None:
-                        for o, sums in zip(of, out, strict=True):
-                            sums[start + row[c]] = row[o]
-        return out
-
-    def products(self, df: DataFrame, weight: str) -> np.ndarray:
-        """Weighted products of all columns by all columns, without those that ``sums`` has: the
-        constant one and, on the diagonal, a category's values by themselves. At most the square
-        of the design's width comes to the driver."""
-        k, w = len(self.x), F.col(weight)
-        out = np.zeros((self.design.width, self.design.width))
-        numbers = list(combinations_with_replacement(range(k), 2))
-        if numbers:
-            first = df.agg(*[F.sum(w * F.col(self.x[i]) * F.col(self.x[j])).alias(f"_{i}_{j}") for i, j in numbers]).first()
-            for i, j in numbers:
-                out[i, j] = out[j, i] = first[f"_{i}_{j}"]
-        starts = dict(zip(self.c, self.design.starts, strict=True))
-        if self.c:
-            pairs = [list(p) for p in combinations(self.c, 2)]
-            sets = df.groupingSets([*([c] for c in self.c), *pairs], *self.c)
-            by_value = [F.sum(w * F.col(x)).alias(x) for x in self.x]
-            for row in sets.agg(F.sum(w).alias("_total"), *by_value).collect():
-                at = [start + row[c] for c, start in starts.items() if row[c] is not None]
-                if len(at) == 1:
-                    out[at[0], :k] = out[:k, at[0]] = [row[x] for x in self.x]
-                elif len(at) == 2:
-                    out[at[0], at[1]] = out[at[1], at[0]] = row["_total"]
-        return out
-
-    def information(self, products: np.ndarray, sums: np.ndarray) -> np.ndarray:
-        """The whole matrix, the constant last."""
-        out = np.block([[products, sums[:-1, None]], [sums[None, :]]])
+        return self._totals(df, of, None)[0]
+
+    def products(self, df: DataFrame, weight: str, *of: str) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Weighted products of all columns by all columns, the constant last, and the sums of
+        ``of``. At most the square of the design's width comes to the driver."""
+        sums, products = self._totals(df, (weight, *of), weight)
+        products[-1, :] = products[:, -1] = sums[0]
         own = np.arange(len(self.x), self.design.width)
-        out[own, own] = sums[own]
-        return out
+        products[own, own] = sums[0][own]
+        return products, sums[1:]
+
+    def _totals(self, df: DataFrame, of: Sequence[str], weight: str | None) -> tuple[list[np.ndarray], np.ndarray]:
+        k, width = len(self.x), self.design.width
+        sums, products = [np.zeros(width + 1) for _ in of], np.zeros((width + 1, width + 1))
+        totals = [F.sum(o).alias(o) for o in of]
+        numbers = list(combinations_with_replacement(range(k), 2)) if weight else []
+        first = df.agg(
+            *totals, *[F.sum(F.col(o) * F.col(x)).alias(f"{o}{x}") for o in of for x in self.x],
+            *[F.sum(F.col(weight) * F.col(self.x[i]) * F.col(self.x[j])).alias(f"_{i}_{j}") for i, j in numbers],
+        ).first()
+        for o, found in zip(of, sums, strict=True):
+            found[:k], found[-1] = [first[f"{o}{x}"] for x in self.x], first[o]
+        for i, j in numbers:
+            products[i, j] = products[j, i] = first[f"_{i}_{j}"]
+        if not self.c:
+            return sums, products
+        # Grouping by one number is several times as fast as grouping sets over the categories.
+        cells = F.concat("_own", "_pairs") if weight else F.col("_own")
+        by_x = [F.sum(F.col(weight) * F.col(x)).alias(x) for x in self.x] if weight else []
+        per_cell = df.select(F.explode(cells).alias("_cell"), *of, *self.x).where("_cell is not null")
+        bases = [base for base, _, _ in self.pair_cells]
+        for row in per_cell.groupBy("_cell").agg(*totals, *by_x).collect():
+            at = row["_cell"]
+            if at < width:
+                for o, found in zip(of, sums, strict=True):
+                    found[at] = row[o]
+                if weight:
+                    products[at, :k] = products[:k, at] = [row[x] for x in self.x]
+            else:
+                base, i, j = self.pair_cells[bisect_right(bases, at) - 1]
+                first_value, second_value = divmod(at - base, self.sizes[j])
+                one, two = self.design.starts[i] + first_value, self.design.starts[j] + second_value
+                products[one, two] = products[two, one] = row[weight]
+        return sums, products
 
 
 def least_squares(
@@ -221,8 +230,8 @@ def least_squares(
     rows = _Rows(df, numeric, categorical, target, max_columns)
     try:
         ones = rows.df.withColumn("_w", F.lit(1.0))
-        (sums,) = rows.sums(ones, "_w")
-        whole, mean = rows.information(rows.products(ones, "_w"), sums), sums[:-1] / rows.n
+        whole, _ = rows.products(ones, "_w")
+        mean = whole[-1, :-1] / rows.n
         solve = _solver(whole[:-1, :-1] - rows.n * np.outer(mean, mean))
         coefficients, intercept = np.zeros(rows.design.width), 0.0
         for _ in range(2):
@@ -251,7 +260,7 @@ def logistic(
     """Logistic regression of a 0/1 ``target`` by reweighted least squares.
 
     It minimises the summed loss and half of ``penalty`` times the squares of the coefficients (not
-    of the intercept) until no gradient exceeds 1e-12 a row. Each round takes four aggregations; one
+    of the intercept) until no gradient exceeds 1e-12 a row. Each round takes two aggregations; one
     that makes things worse is halved. Standard errors are those of the penalised
     information; the intercept's comes last.
     """
@@ -266,14 +275,14 @@ def logistic(
             scored = scored.withColumn("_p", 1 / (1 + F.exp(-F.col("_z"))))
             scored = scored.withColumns({"_r": F.col("_y") - F.col("_p"), "_w": F.col("_p") * (1 - F.col("_p"))})
             loss = F.log1p(F.exp(-F.abs("_z"))) + F.greatest("_z", F.lit(0.0)) - F.col("_y") * F.col("_z")
-            residuals, sums, losses = rows.sums(scored.withColumn("_l", loss), "_r", "_w", "_l")
+            information, (residuals, losses) = rows.products(scored.withColumn("_l", loss), "_w", "_r", "_l")
             total = losses[-1] + float(pull @ beta**2) / 2
             if total > least * (1 + 1e-12) + 1e-12 and done < max_rounds:
                 beta = (beta + before) / 2
                 continue
             least = min(least, total)
             gradient = residuals - pull * beta
-            information = rows.information(rows.products(scored, "_w"), sums) + np.diag(pull)
+            information = information + np.diag(pull)
             if np.abs(gradient).max() <= limit:
                 break
             before, beta = beta, beta + _solver(information)(gradient)

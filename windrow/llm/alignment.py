@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm.common import stored
+from windrow.llm.common import CACHES, released, stored
 from windrow.llm.token_files import ChunkEncoder
 
 #: Characters of texts aligned together, and ids turned into Python objects at once.
@@ -198,6 +198,9 @@ def _aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
+CACHES["alignment"] = _aligner.cache_clear
+
+
 def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     ends = np.append(0, np.cumsum([len(a) for a in arrays])).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays), kind))
@@ -229,7 +232,7 @@ def align_texts(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 )
                 at = end
 
-    return texts.select("text_key", "copies", "text").mapInArrow(aligned, _ALIGNED)
+    return texts.select("text_key", "copies", "text").mapInArrow(released(aligned, "alignment"), _ALIGNED)
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:

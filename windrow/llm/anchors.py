@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
+from windrow.llm.common import SCRATCH
 from windrow.llm.shingles import mix
 
 LENGTH, HEAD = 100, 40
@@ -18,6 +19,7 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE_VALUES = np.random.default_rng(7).integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
 _powers: list[np.ndarray] = []
+SCRATCH.append(_powers.clear)
 
 
 def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +21,48 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _own_folders: dict[str, str] = {}
+#: What empties a worker's tables that outlive a task, by the operator they serve.
+CACHES: dict[str, Callable[[], object]] = {}
+#: What empties tables that are cheap to build again.
+SCRATCH: list[Callable[[], object]] = []
+#: Rows of an Arrow batch that become Python objects together.
+ROWS_AT_ONCE = 256
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def release_memory() -> None:
+    """Gives memory that is no longer in use back to the machine: workers are used again by later
+    stages, and what an allocator keeps counts against the executor all the while."""
+    for clear in SCRATCH:
+        clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def released(task: Callable[[Batches], Batches], keeps: str = "") -> Callable[[Batches], Batches]:
+    """A task over Arrow batches that first drops other operators' tables from its worker and
+    releases memory when it ends."""
+
+    @wraps(task)
+    def run(batches: Batches) -> Batches:
+        for name, clear in CACHES.items():
+            if name != keeps:
+                clear()
+        try:
+            yield from task(batches)
+        finally:
+            release_memory()
+
+    return run
+
+
+def in_slices(batches: Batches, rows: int = ROWS_AT_ONCE) -> Batches:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def let_workers_import(spark: SparkSession) -> None:

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm.common import stored
+from windrow.llm.common import release_memory, released, stored
 from windrow.llm.components import connected_components
 from windrow.llm.shingles import mix, shingle_sets
 
@@ -36,7 +36,9 @@ WORDS, PERCENT = 5, 75
 #: Shingles whose hash is below this share of all hashes are counted over the corpus.
 COUNTED_SHARE = 0.5
 #: Counted shingles that one batch of documents sends on together, and its documents at most.
-BATCH_SHINGLES, BATCH_DOCS = 2_000_000, 60_000
+BATCH_SHINGLES, BATCH_DOCS = 400_000, 60_000
+#: Counted shingles that one bucket should have, and bytes of text that hold one of them or so.
+BUCKET_SHINGLES, BYTES_PER_SHINGLE = 2_000_000, 12
 _DOCS_AT_ONCE = 256
 #: Bits of the filter that lets through the documents which may have partners. Its size is
 #: fixed; once it is full it only lets more through.
@@ -166,6 +168,8 @@ def _count_shingles(texts: DataFrame, n_buckets: int) -> DataFrame:
             if len(found):
                 out.append((name, found.astype("<u2").tobytes() + counts.astype("<u4").tobytes()))
         bucket = key[0].as_py()
+        del hashes, docs, order, ordered, same, twice, payloads
+        release_memory()
         return pa.table(
             {
                 "batch": pa.array([n for n, _ in out], pa.int64()),
@@ -198,7 +202,7 @@ def _count_shingles(texts: DataFrame, n_buckets: int) -> DataFrame:
             }
         )
 
-    rows = texts.mapInArrow(packed, _PACKED)
+    rows = texts.mapInArrow(released(packed), _PACKED)
     # The rows with the documents' own numbers pass through, each batch's in a group of its own.
     spread = F.when(F.col("bucket") == _INFO, -1 - F.pmod(F.xxhash64("batch"), F.lit(n_buckets))).otherwise(
         F.col("bucket")
@@ -246,7 +250,7 @@ def _candidate_sets(texts: DataFrame, docs: DataFrame) -> DataFrame:
                 )
 
     placed = texts.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)))
-    found = placed.mapInArrow(sets, _SETS)
+    found = placed.mapInArrow(released(sets), _SETS)
     # Only the smallest document of each set stands for it.
     first = docs.where("may_link").groupBy("key_a", "key_b").agg(F.min("doc_id").alias("doc_id"))
     return found.join(first, ["doc_id", "key_a", "key_b"], "left_semi").dropDuplicates(["key_a", "key_b"])
@@ -658,7 +662,10 @@ def join_documents(
     """
     spark = docs.sparkSession
     texts = _texts(docs, id_column, text_column)
-    n_buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_buckets = max(
+        4 * int(spark.conf.get("spark.sql.shuffle.partitions")), n_bytes // (BYTES_PER_SHINGLE * BUCKET_SHINGLES) + 1
+    )
     found = stored(_count_shingles(texts, n_buckets), "jaccard-documents")
     # A document with several texts has several sets.
     set_id = F.xxhash64("key_a", "key_b").alias("set_id")

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from windrow.llm.common import released
+
 #: Bounds of the rows the model is fitted on (on the driver): documents, and lines of them.
 MAX_TRAIN_DOCS, MAX_TRAIN_LINES = 3000, 150_000
 #: Chains longer than this are cut for the fit; scoring uses whole documents.
@@ -297,4 +299,4 @@ def score_documents(
                 columns = [*batch.columns[:-1], pa.array(np.clip(score, 0.0, 1.0))]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.mapInArrow(scored, schema)
+    return rows.mapInArrow(released(scored), schema)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from windrow.llm import frame_of_reference as pfor
 from windrow.llm.anchors import Fingerprints
+from windrow.llm.common import CACHES, released
 
 SEGMENT_IDS = 1 << 20
 #: Encoded chunks a worker keeps, about 40 bytes each. Frequent chunks come early.
@@ -179,6 +180,9 @@ def _encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
+CACHES["token_files"] = _encoder.cache_clear
+
+
 def write_token_file(
     docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
     id_column: str = "doc_id", text_column: str = "text", percentile: float = 0.95,
@@ -233,7 +237,7 @@ def write_token_file(
         if keys:
             yield flush()
 
-    made = ordered.drop("_tie").mapInArrow(segments, _SEGMENTS)
+    made = ordered.drop("_tie").mapInArrow(released(segments, "token_files"), _SEGMENTS)
     made.write.option("compression", "none").parquet(path)
 
 
@@ -266,7 +270,7 @@ def _read(spark: SparkSession, path: str, digest: bool) -> DataFrame:
     bases = totals.select("part", F.coalesce(F.sum("_ids").over(before), F.lit(0)).alias("_base"))
     segments = file.select("part", "first", "segment")
     found = segments.mapInArrow(
-        lambda batches: _documents(batches, digest), _DIGESTS if digest else _IDS
+        released(lambda batches: _documents(batches, digest), "token_files"), _DIGESTS if digest else _IDS
     )
     start = (F.col("_base") + F.col("in_part")).alias("start")
     rest = ["n_tokens", "ids_crc32"] if digest else ["ids"]

@@ -11,11 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrow.functions import columns as fn
+from windrow.operators.quantiles import group_quantiles
 from windrow.operators.selection import key_hash
 from windrow.schemas import CARRIER, DELAY_THRESHOLD_MINUTES
 
@@ -84,10 +87,17 @@ def kpi(
     measures: Sequence[str],
     min_flights: int = 0,
     threshold: float = DELAY_THRESHOLD_MINUTES,
+    fractional: bool = False,
 ) -> DataFrame:
-    """One row per key combination with the named measures; groups below ``min_flights`` go."""
+    """One row per key combination with the named measures; groups below ``min_flights`` go.
+
+    With ``fractional`` the delays may be any numbers: their quantiles are then found by radix
+    selection instead of by ranking a group's distinct delays. The result is the same.
+    """
     partials = _partials(measures, threshold, "flight_id" in df.columns)
-    if any(m in QUANTILES for m in measures):
+    if fractional and any(m in QUANTILES for m in measures):
+        table = _selected(df, keys, measures, partials)
+    elif any(m in QUANTILES for m in measures):
         table = _ranked(df, keys, measures, partials, threshold)
     else:
         table = df.groupBy(*keys).agg(*[c.alias(n) for n, c in partials.items()])
@@ -118,6 +128,27 @@ def _partials(measures: Sequence[str], threshold: float, keyed: bool) -> dict[st
     return partials
 
 
+def _selected(
+    df: DataFrame, keys: Sequence[str], measures: Sequence[str], partials: dict[str, Column]
+) -> DataFrame:
+    """Partials per group with a column ``_<name>`` per quantile, from radix selection."""
+    aggregates = [c.alias(n) for n, c in partials.items()]
+    if "unique_routes" in measures:
+        # A null route counts once, as in the grouping sets of ``_ranked``.
+        by_route = df.groupBy(*keys, "ROUTE").agg(F.lit(1).alias("_one")).groupBy(*keys).agg(F.count("*").alias("_routes"))
+        table = _with(df.groupBy(*keys).agg(*aggregates), by_route, keys, ["_routes"])
+    else:
+        table = df.groupBy(*keys).agg(*aggregates)
+    wanted = {f"_{m}": (QUANTILES[m].q, QUANTILES[m].method) for m in measures if m in QUANTILES}
+    return _with(table, group_quantiles(df, keys, DELAY, wanted), keys, list(wanted))
+
+
+def _with(table: DataFrame, more: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Both have one row for each group; null keys are equal."""
+    same = reduce(and_, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys], F.lit(True))
+    return table.alias("a").join(more.alias("b"), same).select("a.*", *[f"b.{c}" for c in columns])
+
+
 def _ranked(
     df: DataFrame,
     keys: Sequence[str],
@@ -186,12 +217,14 @@ def _finish(measure: str) -> Column:
     }[measure]
 
 
-def airport_kpis(silver: DataFrame) -> DataFrame:
-    return kpi(silver, ["Origin", "Year", "Month"], AIRPORT).orderBy("Year", "Month", "Origin")
+def airport_kpis(silver: DataFrame, fractional: bool = False) -> DataFrame:
+    table = kpi(silver, ["Origin", "Year", "Month"], AIRPORT, fractional=fractional)
+    return table.orderBy("Year", "Month", "Origin")
 
 
-def airline_kpis(silver: DataFrame) -> DataFrame:
-    return kpi(silver, ["AIRLINE", "Year", "Month"], AIRLINE).orderBy("Year", "Month", "AIRLINE")
+def airline_kpis(silver: DataFrame, fractional: bool = False) -> DataFrame:
+    table = kpi(silver, ["AIRLINE", "Year", "Month"], AIRLINE, fractional=fractional)
+    return table.orderBy("Year", "Month", "AIRLINE")
 
 
 def temporal_kpis(silver: DataFrame) -> DataFrame:

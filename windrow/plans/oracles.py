@@ -124,6 +124,14 @@ MILES = 'avg("Distance") AS avg_distance'
 MINUTES = 'avg("AirTime") AS avg_air_time'
 
 
+FRACTIONAL = {
+    "total_flights": "count(*)", "avg_arrival_delay": 'avg("ArrDelay")', "avg_departure_delay": 'avg("DepDelay")',
+    "median_arrival_delay": 'median("ArrDelay")', "delayed_flights": 'count(*) FILTER ("ArrDelay" > 15)',
+    "delay_rate": 'avg(CAST("ArrDelay" > 15 AS DOUBLE))', "avg_distance": 'avg("Distance")',
+    "avg_air_time": 'avg("AirTime")',
+}
+
+
 def nearest(column: str, q: float) -> str:
     known = f"{column} IS NOT NULL"
     return (
@@ -200,6 +208,23 @@ def on_features(select: str, *more: str) -> str:
     return on_silver(select, FEATURES, *more)
 
 
+SECONDS = """
+seconds AS (
+  SELECT * REPLACE (
+    "ArrDelay" + CAST(CAST('0x' || substr(md5(flight_id), 1, 4) AS INTEGER) AS DOUBLE) / 65536 AS "ArrDelay",
+    CASE WHEN substr(md5(flight_id), 5, 1) < '8' THEN 'HUB' ELSE "Origin" END AS "Origin")
+  FROM silver
+)"""
+
+
+def on_seconds(keys: list[str], measures: dict[str, str]) -> str:
+    """Measures over delays to the second, rounded; half of the rows belong to one airport."""
+    rounded = ", ".join(f"round({name}, 6) AS {name}" for name in measures)
+    names = ", ".join(f'"{k}"' for k in keys)
+    table = grouped("seconds", keys, [f"{sql} AS {name}" for name, sql in measures.items()])
+    return on_silver(f"SELECT {names}, {rounded} FROM ({table})", SECONDS)
+
+
 RULES = [
     ("not_cancelled", '"Cancelled" = 0'),
     (
@@ -407,6 +432,12 @@ def all_oracles() -> dict[str, str]:
                 ],
             )
         ),
+        "airport_kpis_fractional": on_seconds(["Origin", "Year", "Month"], {
+            **FRACTIONAL, "p95_arrival_delay": nearest('"ArrDelay"', 0.95),
+        }),
+        "airline_kpis_fractional": on_seconds(["AIRLINE", "Year", "Month"], {
+            **FRACTIONAL, "unique_routes": 'count(DISTINCT "ROUTE")',
+        }),
         "temporal_kpis": on_silver(TEMPORAL),
         "route_kpis": on_silver(
             grouped(

@@ -344,6 +344,64 @@ def _moments(rows: str, target: str, moment: str) -> str:
     )
 
 
+def _importance(features: list[str]) -> str:
+    score = (
+        "{DepDelay} * CAST(0.9 AS DOUBLE) + {Distance} * CAST(0.002 AS DOUBLE) - {AirTime} * CAST(0.01 AS DOUBLE) "
+        "+ CASE WHEN {AIRLINE} < 'BRAND#3' THEN CAST(2 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END"
+    )
+    used = {c: f'"{c}"' for c in ["DepDelay", "Distance", "AirTime", "AIRLINE"]}
+    parts = []
+    for c in features:
+        order = f"ORDER BY md5('42|{c}|' || flight_id), flight_id"
+        moved = (
+            f'SELECT *, coalesce(lag("{c}") OVER ({order}), '
+            f'last_value("{c}") OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS moved FROM features'
+        )
+        parts.append(
+            f"SELECT '{c}' AS feature, avg(pow(target_arrival_delay - ({score.format(**used)}), 2)) AS score, "
+            f"avg(pow(target_arrival_delay - ({score.format(**{**used, c: 'moved'})}), 2)) AS worse FROM ({moved})"
+        )
+    return (
+        "SELECT feature, round(score, 6) AS score, round(worse, 6) AS shuffled_score, "
+        f"round(worse - score, 6) AS importance FROM ({' UNION ALL '.join(parts)})"
+    )
+
+
+Z_COLUMNS = [
+    "Year", "Month", "DayofMonth", "AIRLINE", "Origin", "Dest", "DEP_HOUR", "DepDelay", "Distance", "flight_id",
+]
+
+
+def _z_ranks() -> str:
+    """Bits by need below the largest cap that fits 63, ranks by dense rank or its share, and the
+    bits of all ranks from the highest of each down."""
+    n = len(Z_COLUMNS)
+    dense = ", ".join(f'dense_rank() OVER (ORDER BY "{c}") - 1 AS d{i}' for i, c in enumerate(Z_COLUMNS))
+    sizes = " UNION ALL ".join(f'SELECT {i} AS i, count(DISTINCT "{c}") AS n FROM silver' for i, c in enumerate(Z_COLUMNS))
+    rank = (
+        "CASE WHEN n{i} <= (1::BIGINT << b{i}) THEN d{i} "
+        "ELSE CAST(floor(d{i} * CAST(1::BIGINT << b{i} AS DOUBLE) / n{i}) AS BIGINT) END AS r{i}"
+    )
+    wide = ", ".join(f"max(n) FILTER (i = {i}) AS n{i}, max(b) FILTER (i = {i}) AS b{i}" for i in range(n))
+    unpivoted = " UNION ALL ".join(f"SELECT flight_id, {i} AS i, r{i} AS r FROM ranked" for i in range(n))
+    return f"""
+SELECT flight_id, {", ".join(f"r{i}" for i in range(n))}, z FROM (
+  WITH sizes AS MATERIALIZED ({sizes}),
+  need AS (SELECT i, n, CASE WHEN n > 1 THEN length(bin(n - 1)) ELSE 0 END AS need FROM sizes),
+  cap AS (SELECT max(c) AS cap FROM range(0, 64) t(c) WHERE (SELECT sum(least(need, c)) FROM need) <= 63),
+  bits AS MATERIALIZED (SELECT i, n, CAST(least(need, cap) AS INTEGER) AS b FROM need, cap),
+  places AS (
+    SELECT i, b - 1 - t AS bit, count(*) OVER () - row_number() OVER (ORDER BY t, i) AS place
+    FROM (SELECT i, b, unnest(range(0, b)) AS t FROM bits)),
+  ranked AS MATERIALIZED (
+    SELECT flight_id, {", ".join(rank.format(i=i) for i in range(n))}
+    FROM (SELECT flight_id, {dense} FROM silver), (SELECT {wide} FROM bits)),
+  z AS (
+    SELECT flight_id, CAST(sum(((r >> bit) & 1) << place) AS BIGINT) AS z
+    FROM ({unpivoted}) JOIN places USING (i) GROUP BY flight_id)
+  SELECT * FROM ranked JOIN z USING (flight_id))"""
+
+
 SCALED = ["Distance", "AirTime", "DepDelay", "Month", "DayofMonth"]
 LATE_CARRIERS = "\"Year\" = 2023 AND \"AIRLINE\" IN ('BRAND#1', 'BRAND#2', 'BRAND#3')"
 
@@ -630,6 +688,10 @@ def all_oracles() -> dict[str, str]:
         "ml_regression": on_features(regression),
         "ml_classification": on_features(classification),
         "ml_metrics": on_raw(" UNION ALL ".join(_model_checks(f"(SELECT * FROM features_simple WHERE {known})")), FEATURES_SIMPLE),
+        "compact_packed": on_silver("SELECT * FROM silver"),
+        "clustered_rows": on_silver("SELECT * FROM silver"),
+        "z_ranks_ten": on_silver(_z_ranks()),
+        "ml_permutation_importance": on_features(_importance(["DepDelay", "Distance", "AirTime", "AIRLINE"])),
         "ml_category_index": on_features(
             " UNION ALL ".join(
                 f"SELECT '{c}' AS feature, CAST(\"{c}\" AS VARCHAR) AS value, "

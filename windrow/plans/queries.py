@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.operators import (
-    cleaning, features, kpis, linear, maintenance, metrics, models, reports, selection,
+    cleaning, features, importance, kpis, linear, maintenance, metrics, models, packing, reports,
+    selection, zorder,
 )
 from windrow.operators.categories import dictionary
 from windrow.plans import gold
@@ -25,6 +26,11 @@ MIN_AIRPORT, MIN_AIRLINE, MIN_TEMPORAL = 20, 20, 5
 CARRIERS = ["BRAND#1", "BRAND#2", "BRAND#3"]
 FIRST_COMMIT = datetime(2024, 1, 1)
 
+#: Columns of different types, from seven values to one for each row.
+Z_COLUMNS = [
+    "Year", "Month", "DayofMonth", "AIRLINE", "Origin", "Dest", "DEP_HOUR", "DepDelay", "Distance", "flight_id",
+]
+
 _queries: dict[str, Query] = {}
 _histories: dict[tuple[str, str], str] = {}
 
@@ -512,6 +518,32 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.select("table_name", "version", "row_count", F.col("error").isNotNull().alias("missing"))
 
 
+@query
+def compact_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver in many small files, packed into few without a shuffle."""
+    source, target = scratch_path(spark, "small"), scratch_path(spark, "packed")
+    _silver(spark, sf_dir).repartition(8).write.partitionBy("Year").parquet(source)
+    packing.compact_folder(spark, source, target, ["Year"])
+    return cleaning.select_available(spark.read.parquet(target))
+
+
+@query
+def z_ranks_ten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten columns, one of them with as many values as rows: their ranks and the Z-value."""
+    ranked, bits = zorder.with_ranks(_silver(spark, sf_dir), Z_COLUMNS)
+    names = {f"_rank_{c}": b for c, b in bits.items()}
+    ranks = [F.col(n).alias(f"r{i}") for i, n in enumerate(names)]
+    return ranked.select("flight_id", *ranks, zorder.interleaved(names).alias("z"))
+
+
+@query
+def clustered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder clustered by ten columns has the rows it was made from."""
+    path = scratch_path(spark, "clustered")
+    zorder.write_clustered(_silver(spark, sf_dir), path, Z_COLUMNS, files=8)
+    return cleaning.select_available(spark.read.parquet(path))
+
+
 # --- Models
 
 
@@ -664,3 +696,15 @@ def ml_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = models.log_runs(spark, [trained], scratch_path(spark, "runs"), feature_version=3)
     metric, value = F.explode("metrics").alias("metric", "value"), F.round("value", 6).alias("value")
     return runs.select("run_name", "feature_version", metric).select("run_name", "feature_version", "metric", value)
+
+
+@query
+def ml_permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a fixed linear score, by the squared error of the arrival delay."""
+    rows = models.prepare(_features(spark, sf_dir))
+    score = F.col("DepDelay") * 0.9 + F.col("Distance") * 0.002 - F.col("AirTime") * 0.01 + F.when(F.col("AIRLINE") < "BRAND#3", 2.0).otherwise(0.0)
+    loss = F.avg(F.pow(F.col(models.DELAY_TARGET) - F.col("prediction"), 2))
+    found = importance.permutation_importance(
+        rows, ["DepDelay", "Distance", "AirTime", "AIRLINE"], lambda df: df.withColumn("prediction", score), loss
+    )
+    return found.select("feature", *[F.round(c, 6).alias(c) for c in found.columns[1:]])

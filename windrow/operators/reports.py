@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrow.functions import columns as fn
+from windrow.functions.exact import exact_mean
 from windrow.operators.kpis import kpi
 from windrow.operators.ranks import with_running_total
 from windrow.operators.selection import top_k
@@ -39,6 +40,11 @@ def _carrier_months(rows: DataFrame, with_median: bool) -> DataFrame:
     return kpi(rows, ["AIRLINE", "Month"], list(names)).withColumnsRenamed(names)
 
 
+def exact_means(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Means per group, equal to the last bit however the rows are partitioned."""
+    return df.groupBy(*keys).agg(*[exact_mean(c).alias(c) for c in columns])
+
+
 def hourly_profile(temporal: DataFrame) -> DataFrame:
     """Unweighted mean of the average delays per departure hour."""
     return temporal.groupBy("DEP_HOUR").agg(

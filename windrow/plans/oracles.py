@@ -344,6 +344,16 @@ def _moments(rows: str, target: str, moment: str) -> str:
     )
 
 
+def _exact_mean(column: str) -> str:
+    """A double in four limbs of 32 bits, each added up as a whole number."""
+    rest, sums = f"x.{column} / 4294967296", []
+    for _ in range(4):
+        sums.append(f"CAST(sum(CAST(trunc({rest}) AS HUGEINT)) AS DOUBLE)")
+        rest = f"(({rest}) - trunc({rest})) * 4294967296"
+    total = f"(({sums[3]} / 4294967296 + {sums[2]}) / 4294967296 + {sums[1]}) + {sums[0]} * 4294967296"
+    return f'({total}) / count(x.{column}) AS "{column}"'
+
+
 def _importance(features: list[str]) -> str:
     score = (
         "{DepDelay} * CAST(0.9 AS DOUBLE) + {Distance} * CAST(0.002 AS DOUBLE) - {AirTime} * CAST(0.01 AS DOUBLE) "
@@ -667,6 +677,19 @@ def all_oracles() -> dict[str, str]:
             "SELECT 'Month' AS column_name, CAST(count(*) FILTER (\"Month\" = 2) AS BIGINT) AS bad_count "
             "FROM flights UNION ALL SELECT 'Year', CAST(0 AS BIGINT)"
         ),
+        "csv_inferred": on_raw(
+            'SELECT flight_id, "Year", "Month", CASE WHEN "Year" % 3 < 2 THEN "Origin" END AS "Origin", '
+            'CAST("CRSDepTime" AS INTEGER) AS "CRSDepTime", "ArrDelay", "Distance" FROM flights'
+        ),
+        "reingest_unchanged": on_raw(
+            'SELECT "Year", CASE WHEN "Year" = 2021 THEN count(*) ELSE 0 END AS row_count, '
+            "CASE WHEN \"Year\" = 2021 THEN 'written' ELSE 'unchanged' END AS status FROM flights GROUP BY \"Year\""
+        ),
+        "hourly_means_exact": on_silver(
+            f'SELECT "DEP_HOUR", {", ".join(map(_exact_mean, ["ArrDelay", "DepDelay", "Distance"]))} FROM ('
+            'SELECT "DEP_HOUR", "ArrDelay" / 3 AS "ArrDelay", "DepDelay" / 3 AS "DepDelay", "Distance" / 3 AS "Distance" '
+            'FROM silver) x GROUP BY "DEP_HOUR"'
+        ),
         "reingest_counts": on_raw(
             "SELECT \"Year\", CASE WHEN \"Year\" = 2020 THEN CAST(0 AS BIGINT) ELSE count(*) END AS row_count, "
             "CASE WHEN \"Year\" = 2020 THEN 'kept' ELSE 'written' END AS status FROM flights GROUP BY \"Year\""

@@ -501,6 +501,34 @@ def csv_bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.bad_values(spark, [path])
 
 
+@query
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with three headers, types inferred over all of them."""
+    rows, paths = _raw(spark, sf_dir), [scratch_path(spark, "csv") for _ in range(3)]
+    columns = ["flight_id", "Year", "Month", "Origin", "CRSDepTime", "ArrDelay", "Distance"]
+    for i, path in enumerate(paths):
+        some = rows.where(F.col("Year") % 3 == i).select(*columns[i:], *columns[:i])
+        ingest.write_csv(some.drop("Origin") if i == 2 else some, path)
+    return ingest.read_untyped_csv(spark, paths)
+
+
+@query
+def reingest_unchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run over a source with one changed year writes that year alone."""
+    table, rows = scratch_path(spark, "unchanged"), _bronze(spark, sf_dir)
+    ingest.ingest_years(rows, table)
+    changed = F.when(F.col("Year") == 2021, F.col("DepDelay") + 1).otherwise(F.col("DepDelay"))
+    again = rows.repartition(5).withColumn("DepDelay", changed)
+    return ingest.ingest_years(again, table, skip_unchanged=True)
+
+
+@query
+def hourly_means_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means over departure hours that are equal to the last bit on any cluster."""
+    thirds = _silver(spark, sf_dir).select("DEP_HOUR", *[(F.col(c) / 3).alias(c) for c in ("ArrDelay", "DepDelay", "Distance")])
+    return reports.exact_means(thirds, ["DEP_HOUR"], ["ArrDelay", "DepDelay", "Distance"])
+
+
 @query
 def reingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second source that lacks a year: its rows stay, and the report says so."""

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from windrow.operators.cleaning import fill_nulls_by_type, filter_year
 from windrow.schemas import FLIGHTS
 from windrow.sources import snapshots
+from windrow.sources.headers import files_by_header, read_inferred_csv
 
 log = logging.getLogger(__name__)
 
@@ -50,28 +51,22 @@ def _typed(columns: Sequence[str], schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(c, declared.get(c, T.StringType())) for c in columns])
 
 
-def _by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Folders or files by their header; one small read for each path."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        columns = spark.read.options(**CSV_OPTIONS).csv(path).columns
-        groups.setdefault(tuple(columns), []).append(path)
-    return groups
-
-
 def read_mixed_csv(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType = FLIGHTS, **options: str | bool
 ) -> DataFrame:
-    """CSV from several paths whose headers differ: columns go by name, missing ones are null.
-
-    Within one path (a file, or a folder of files) the header must be the same.
-    """
+    """CSV files whose headers differ, from files and folders: columns go by name, missing ones
+    are null. One job finds the headers of all files."""
     frames = [
-        read_csv(spark, group, schema, **options) for group in _by_header(spark, paths).values()
+        read_csv(spark, group, schema, **options) for group in files_by_header(spark, paths).values()
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def read_untyped_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """CSV files whose headers differ, each column with the narrowest type of all its values."""
+    return read_inferred_csv(spark, paths, CSV_OPTIONS)
+
+
 def bad_values(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType = FLIGHTS
 ) -> DataFrame:
@@ -102,6 +97,7 @@ def ingest_years(
     years: Sequence[int] | None = None,
     fill_nulls: bool = False,
     committed_at: datetime | None = None,
+    skip_unchanged: bool = False,
 ) -> DataFrame:
     """Writes years to bronze, partitioned by ``Year``, and reports each of them.
 
@@ -110,6 +106,9 @@ def ingest_years(
     changes nothing. A year without rows in the source is reported as empty, or as kept if the
     table has it from before. Should the one job fail, the years are retried one by one, so
     that a year that cannot be written is reported as failed and does not hold up the others.
+
+    With ``skip_unchanged`` a year whose rows are those the table already has, in any order and
+    apart from the time of ingestion, is reported as unchanged and not written again.
     """
     spark = source.sparkSession
     rows = fill_nulls_by_type(source) if fill_nulls else source
@@ -118,6 +117,13 @@ def ingest_years(
     if before is not None:
         had = {r["Year"] for r in snapshots.read(spark, table).select("Year").distinct().collect()}
 
+    same: set[int | None] = set()
+    if skip_unchanged and before is not None:
+        same = unchanged_years(rows, snapshots.read(spark, table).drop(*snapshots.VERSION_COLUMNS))
+        asked = [r["Year"] for r in rows.select("Year").distinct().collect()] if years is None else list(years)
+        reported, years = asked, [y for y in asked if y not in same]
+        same &= set(reported)
+
     def write(batch: Sequence[int | None] | None) -> int:
         some = rows
         if batch is not None:
@@ -127,7 +133,7 @@ def ingest_years(
 
     failed = []
     try:
-        versions = [write(years)]
+        versions = [write(years)] if years or not same else []
     except Exception:
         log.exception("ingesting %s in one job failed, retrying year by year", years)
         versions = []
@@ -153,14 +159,16 @@ def ingest_years(
         years = [r["Year"] for r in written.select("Year").collect()]
         years += sorted(had - set(years), key=str)
     report = spark.createDataFrame(
-        [(y, y in failed, y in had) for y in years], "Year int, failed boolean, had boolean"
+        [(y, y in failed, y in had, y in same) for y in [*years, *sorted(same, key=str)]],
+        "Year int, failed boolean, had boolean, same boolean",
     )
     written = written.withColumnRenamed("Year", "_year")
     same_year = F.col("Year").eqNullSafe(F.col("_year"))
     return report.join(written, same_year, "left").select(
         "Year",
         F.coalesce("row_count", F.lit(0)).alias("row_count"),
-        F.when(F.col("failed"), "failed")
+        F.when(F.col("same"), "unchanged")
+        .when(F.col("failed"), "failed")
         .when(F.col("row_count") > 0, "written")
         .when(F.col("had"), "kept")
         .otherwise("empty")
@@ -168,6 +176,26 @@ def ingest_years(
     )
 
 
+def year_digests(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Year, and a digest of its rows that does not depend on their order: how many they are, and
+    the sums of two hashes of each. Repeated rows count as often as they stand there."""
+    sums = [
+        F.sum(F.xxhash64(*columns, F.lit(salt)).cast("decimal(20,0)")).alias(f"_sum{salt}") for salt in (1, 2)
+    ]
+    return rows.groupBy("Year").agg(F.count("*").alias("_rows"), *sums)
+
+
+def unchanged_years(rows: DataFrame, table: DataFrame) -> set[int | None]:
+    """Years of ``rows`` that ``table`` has just so. Tables with other columns or types have none."""
+    compared = sorted(set(rows.columns) - {"ingested_at"})
+    if dict(rows.select(compared).dtypes) != dict(table.drop("ingested_at").dtypes):
+        return set()
+    new, old = year_digests(rows, compared).alias("n"), year_digests(table, compared).alias("o")
+    equal = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in ("Year", "_rows", "_sum1", "_sum2")]
+    # One row for each year.
+    return {r["Year"] for r in new.join(old, reduce(lambda a, b: a & b, equal)).select("n.Year").collect()}
+
+
 def table_or_csv(
     spark: SparkSession, table: str, csv: str, year: int | None = 2024
 ) -> DataFrame:

@@ -50,11 +50,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops documents that hold a benchmark item; rows without an id as well, and of rows that
+    share one only those whose text holds an item."""
     let_workers_import(spark)
-    leaks = decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    leaks = stored(leaks.select("doc_id").distinct(), "leaks")
-    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    key = "row_key"
+    while key in docs.columns:
+        key = f"_{key}"
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    leaks = decontamination.find_leaks(keyed, table(spark, sf_dir, "benchmark"), id_column=key)
+    leaks = stored(leaks.select(F.col("doc_id").alias(key)).distinct(), "leaks")
+    return keyed.join(leaks, key, "left_anti").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

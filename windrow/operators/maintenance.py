@@ -11,7 +11,9 @@ from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from windrow.operators import packing
 from windrow.operators.ranks import with_running_total
 from windrow.schemas import RETENTION_HOURS, TARGET_FILE_BYTES
 from windrow.sources import snapshots
@@ -68,7 +70,7 @@ def _files(spark: SparkSession, table: str) -> DataFrame:
     """Folder, partition (as in the folder's name) and bytes of every file of the newest version."""
     files = table_files(spark, snapshots.live_folders(spark, table))
     return files.select(
-        F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"),
+        "path",
         F.regexp_extract("path", "/_committed_at=[^/]*/(.*?)[^/]*$", 1).alias("partition"),
         "length",
     )
@@ -83,8 +85,9 @@ def compact(
 ) -> int:
     """Merges small files into files of about ``target_bytes``; returns the newest version.
 
-    Only partitions with at least two files below half the target are rewritten; if there are
-    none, nothing is written. ``everything`` rewrites the whole table.
+    Only partitions with at least two files below half the target are rewritten, each pack of
+    files by one task and without a shuffle; if there are none, nothing is written. ``everything``
+    lays the whole table out anew.
     """
     files = _files(spark, table)
     if everything or not snapshots.partition_columns(spark, table):
@@ -96,17 +99,15 @@ def compact(
         return _rewrite(spark, table, "compact", [], rows, total, target_bytes, committed_at)
     small = F.count_if(F.col("length") < target_bytes / 2)
     needy = files.groupBy("partition").agg(small.alias("small")).where("small > 1")
-    # One row for each folder to rewrite, of those the driver listed to find the files.
-    folders = (
-        files.join(needy, "partition").groupBy("folder").agg(F.sum("length").alias("bytes")).collect()
-    )
-    if not folders:
+    packed = packing.packs(files.join(needy, "partition"), target_bytes, F.col("partition"))
+    if not packed:
         return snapshots.current_version(spark, table)
-    rows = snapshots.read_folders(spark, table, [r["folder"] for r in folders])
-    total = sum(r["bytes"] for r in folders)
-    return _rewrite(
-        spark, table, "replace", [], rows.drop(*snapshots.VERSION_COLUMNS), total, target_bytes, committed_at
-    )
+    fields = [f for f in snapshots.read(spark, table).schema if f.name not in snapshots.VERSION_COLUMNS]
+    reader = spark.read.option("basePath", table).schema(T.StructType(fields))
+    rows = packing.read_packed(packed, lambda paths: reader.parquet(*paths).drop(*snapshots.VERSION_COLUMNS))
+    partition_by = snapshots.partition_columns(spark, table)
+    with packing.one_task_a_pack(spark):
+        return snapshots.commit(rows, table, partition_by, "replace", committed_at, layout=False)
 
 
 def rank_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from windrow.schemas import TARGET_FILE_BYTES
@@ -27,13 +27,17 @@ def data_files(spark: SparkSession, folders: str | Sequence[str]) -> DataFrame:
     return reader.load(folders).select("path", "length")
 
 
-def packs(files: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> list[list[str]]:
-    """Paths of files to be written as one, from ``path`` and ``length``; the folder a file stands
-    in is its partition. Files of a folder are laid end to end and cut every ``target_bytes``.
+def packs(
+    files: DataFrame, target_bytes: int = TARGET_FILE_BYTES, partition: Column | None = None
+) -> list[list[str]]:
+    """Paths of files to be written as one, from ``path`` and ``length``. A file's ``partition`` is
+    the folder it stands in unless given. Files of a partition are laid end to end and cut every
+    ``target_bytes``.
 
     The driver gets the paths, which it listed to begin with.
     """
-    placed = files.withColumn("_folder", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1) if partition is None else partition
+    placed = files.withColumn("_folder", folder)
     before = Window.partitionBy("_folder").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("_pack", F.floor(F.coalesce(F.sum("length").over(before), F.lit(0)) / target_bytes))
     grouped = placed.groupBy("_folder", "_pack").agg(F.sort_array(F.collect_list("path")).alias("paths"))

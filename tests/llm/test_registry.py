@@ -6,6 +6,7 @@ import duckdb
 import pytest
 from compare import difference
 from made_up import prose
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from windrow.llm.registry import llm_oracles, llm_queries
@@ -57,6 +58,17 @@ def test_near_duplicates_keep_one_row_of_a_repeated_id(spark, make_docs, sf_dir)
     assert sorted((r["doc_id"] for r in kept), key=str) == [1, 3, None, None]
 
 
+def test_decontamination_judges_each_row(spark, make_docs, sf_dir):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
+    leak = f"{prose(7)} {item}"
+    rows = [(None, leak), (None, prose(8)), (None, None), (5, prose(9)), (5, leak), (6, ""), (7, leak), (8, prose(8))]
+    docs = make_docs(rows).withColumn("row_key", F.lit("kept"))
+    kept = corpus_pipeline.decontaminate(spark, docs, sf_dir)
+    assert kept.columns == docs.columns
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert found == sorted([(None, prose(8)), (None, None), (5, prose(9)), (6, ""), (8, prose(8))], key=str)
+
+
 def test_pipeline_runs(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir)
     assert 50 < rows.count() < 200

@@ -580,6 +580,22 @@ def all_oracles() -> dict[str, str]:
             RAW_2024,
             FEATURES_SIMPLE,
         ),
+        "lake_tables": on_silver(
+            "SELECT 'bronze' AS table_name, count(*) AS row_count FROM raw UNION ALL "
+            "SELECT 'silver', count(*) FROM silver UNION ALL "
+            'SELECT \'airport_analytics\', count(*) FROM (SELECT DISTINCT "Origin", "Year", "Month" FROM silver) UNION ALL '
+            'SELECT \'airline_analytics\', count(*) FROM (SELECT DISTINCT "AIRLINE", "Year", "Month" FROM silver) UNION ALL '
+            f"SELECT 'temporal_analytics', count(*) FROM ({TEMPORAL}) UNION ALL "
+            "SELECT 'route_analytics', count(*) FROM "
+            '(SELECT 1 FROM silver GROUP BY "ROUTE", "Year", "Month" HAVING count(*) >= 10) UNION ALL '
+            "SELECT 'features', count(*) FROM features",
+            FEATURES,
+        ),
+        "lake_features": on_features(prepared),
+        "table_else_csv": on_raw(
+            'SELECT flight_id, "Year", "Month", \'csv\' AS origin FROM raw WHERE "Year" = 2023 UNION ALL '
+            'SELECT flight_id, "Year", "Month", \'table\' FROM raw WHERE "Month" <= 6'
+        ),
         "compact_rows": on_silver("SELECT * FROM silver"),
         "z_value": on_silver(_z_value()),
         "vacuum_candidates": on_raw(

@@ -14,6 +14,7 @@ from windrow.operators import (
 )
 from windrow.operators.categories import dictionary
 from windrow.plans import gold
+from windrow.plans.medallion import Medallion, run_layers
 from windrow.plans.silver import silver
 from windrow.schemas import CARRIER, DEFAULT_YEARS, FLIGHTS, SILVER_COLUMNS
 from windrow.session import scratch_path
@@ -373,6 +374,46 @@ def result_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.result_sizes(tables)
 
 
+def _lake(spark: SparkSession, sf_dir: str) -> Medallion:
+    """A lake over a CSV source of all records, nothing in it yet."""
+    lake = Medallion(scratch_path(spark, "lake"), scratch_path(spark, "source"))
+    ingest.write_csv(_raw(spark, sf_dir), lake.source_csv)
+    return lake
+
+
+@query
+def lake_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layers from CSV to gold, run one after another: rows of every table they wrote."""
+    lake = _lake(spark, sf_dir)
+    for layer, report in run_layers(spark, lake, ["bronze", "silver", "gold"]).items():
+        if isinstance(report, Exception):
+            raise RuntimeError(f"layer {layer} failed") from report
+    written = {name: snapshots.read(spark, path) for name, path in lake.tables().items()}
+    return reports.result_sizes(written).select("table_name", "row_count")
+
+
+@query
+def lake_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table as the models load it, written from silver."""
+    lake = _lake(spark, sf_dir)
+    gold.write_features(_silver(spark, sf_dir), lake.features)
+    return models.prepare(snapshots.read(spark, lake.features))
+
+
+@query
+def table_else_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One year of the CSV source where there is no table, the whole table where there is one."""
+    lake = _lake(spark, sf_dir)
+    missing = ingest.table_or_csv(spark, lake.bronze, lake.source_csv, 2023)
+    table = scratch_path(spark, "bronze")
+    snapshots.commit(_bronze(spark, sf_dir).where("Month <= 6"), table, ["Year"])
+    there = ingest.table_or_csv(spark, table, lake.source_csv, 2023)
+    columns = ["flight_id", "Year", "Month"]
+    return missing.select(*columns, F.lit("csv").alias("origin")).unionByName(
+        there.select(*columns, F.lit("table").alias("origin"))
+    )
+
+
 # --- Table maintenance
 
 

@@ -82,6 +82,24 @@ def test_the_sample_is_bounded(spark, make_docs, monkeypatch):
     assert len(seen[0]) == 10 and seen[1].sum() <= 7
 
 
+def test_one_very_long_text_does_not_void_the_model(spark, make_docs):
+    docs, labels = labelled(make_docs, spark)
+    for extra in (7001, 7002, 7003):
+        docs = docs.unionByName(make_docs([(extra, "x y\n" * 200_000)], extra=True))
+        labels = labels.union(spark.createDataFrame([(extra, 1)], labels.schema))
+    model = q.train(docs, labels)
+    assert np.abs(model.weights).max() > 0
+    plain = labelled(make_docs, spark)
+    assert np.array_equal(model.weights, q.train(*plain).weights)
+
+
+def test_a_sample_of_one_label_is_an_error(spark, make_docs):
+    docs = make_docs([(k, "a line\n" * (1 if k % 2 else 30)) for k in range(60)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id bigint, quality int")
+    with pytest.raises(ValueError, match="both labels"):
+        q.train(docs, labels, max_lines=5)
+
+
 def test_odd_documents(spark, odd_docs, odd_rows, no_docs):
     labels = spark.createDataFrame(
         [(3, 1), (4, 0), (4, 1), (None, 1), (5, None), (6, 0), (11, 1)], "doc_id bigint, quality int"

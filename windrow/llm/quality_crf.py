@@ -228,9 +228,11 @@ def train(
 ) -> LineModel:
     """Fits the model on labelled rows that are not held out.
 
-    At most ``max_docs`` documents, taken by a hash of the id, and of them as many as have
-    ``max_lines`` lines together, so what the driver holds is bounded. Null labels and labels
-    other than 0 and 1 are left out; an id labelled twice counts by its smallest label.
+    At most ``max_docs`` documents, taken by a hash of the id, and of them, shortest first, as many
+    as have ``max_lines`` lines together, so what the driver holds is bounded and a very long
+    document costs no other its place. Null labels and labels other than 0 and 1 are left out; an
+    id labelled twice counts by its smallest label, a repeated row once. An error if the bound on
+    lines leaves one label of two.
     """
     marked = (
         labels.where(F.col(label_column).isin(0, 1) & ~in_held_out(id_column))
@@ -241,9 +243,10 @@ def train(
     chosen = marked.orderBy(*by_hash).limit(max_docs)
     rows = _rows(docs, id_column, text_column)
     n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-    rows = rows.join(chosen, "doc_id").withColumn("_lines", n_lines)
-    # At most max_docs rows (and copies of them) reach this window.
-    so_far = F.sum("_lines").over(Window.orderBy(*by_hash, F.xxhash64("text")))
+    joined = rows.join(chosen, "doc_id")
+    # At most max_docs rows (more only where ids have several texts) reach this window.
+    rows = joined.dropDuplicates(["doc_id", "text"]).withColumn("_lines", n_lines)
+    so_far = F.sum("_lines").over(Window.orderBy("_lines", *by_hash, F.xxhash64("text")))
     rows = rows.withColumn("_so_far", so_far).where(F.col("_so_far") <= max_lines)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +269,10 @@ def train(
     own = np.frombuffer(b"".join(bytes(r["features"]) for r in sample), dtype="<f4")
     own = own.reshape(-1, len(FEATURES)).astype(np.float64)
     inputs = with_neighbours(own, counts) if len(own) else np.zeros((0, 3 * len(FEATURES)))
-    return fit(inputs, counts, np.array([r["label"] for r in sample], dtype=int))
+    found = np.array([r["label"] for r in sample], dtype=int)
+    if len(set(found.tolist())) < 2 and joined.select("_label").distinct().count() == 2:
+        raise ValueError(f"{max_lines} lines do not hold documents of both labels")
+    return fit(inputs, counts, found)
 
 
 def score_documents(

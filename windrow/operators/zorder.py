@@ -1,12 +1,14 @@
 """Z-values over any number of columns with any number of values.
 
 63 bits are shared out: every column gets the bits its distinct values need, up to a cap that is
-the same for all. Values are numbered by running totals over ranges and their ranks joined to the
-rows; neither values nor bounds come to the driver.
+the same for all. Values are numbered range by range. The ranks of a column with few values are
+joined to the rows; for one with many, the least value of each rank comes to the driver
+(MAX_BOUNDS at most) and rows look theirs up, so they are not dealt out for it.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,9 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from windrow.operators.quantiles import order_key
-from windrow.operators.ranks import with_running_total
+from windrow.operators.ranks import numbered
+from windrow.session import COMPRESSION
 
 Z_BITS = 63
+#: About as many values are numbered together with other columns'.
+FEW_VALUES = 50_000
+#: Ranks of a column with more values that rows look up by binary search; of more, they are joined.
+MAX_BOUNDS = 8_192
+#: Rows of a range of a clustered folder at most: what a task sorts.
+RANGE_ROWS = 2_000_000
 
 
 def shared_bits(distinct: Sequence[int], budget: int = Z_BITS) -> list[int]:
@@ -51,28 +60,62 @@ def with_ranks(df: DataFrame, columns: Sequence[str], budget: int = Z_BITS) -> t
     than the bits can tell, the share of it: ranks have about as many values each. Null ranks 0.
     """
     keys = {c: _sortable(df, c) for c in columns}
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("at"), number.alias("number"), text.alias("text"))
-        for i, (number, text) in enumerate(keys.values())
-    ]))
-    values = df.select(pairs.alias("_pair")).where("_pair.number is not null").distinct()
-    numbered = with_running_total(values.withColumn("_one", F.lit(1)), "_pair", "_one", "_upto")
-    # One row for each column.
-    known = {r["at"]: r["n"] for r in numbered.groupBy("_pair.at").agg(F.count("*").alias("n")).collect()}
-    distinct = [known.get(i, 0) for i in range(len(columns))]
-    bits = shared_bits(distinct, budget)
     # As columns: a key made by calling Java cannot stand in a join's condition.
     df = df.withColumns({f"_{part}{i}": k for i, pair in enumerate(keys.values()) for part, k in zip("nt", pair, strict=True)})
+    own = [F.struct(F.col(f"_n{i}").alias("number"), F.col(f"_t{i}").alias("text")) for i in range(len(columns))]
+    # One row: columns with few values are numbered together, any other by itself.
+    about = df.agg(*[F.approx_count_distinct(o).alias(f"a{i}") for i, o in enumerate(own)]).first()
+    few = [i for i in range(len(columns)) if about[f"a{i}"] <= FEW_VALUES]
+    tables, distinct = {}, [0] * len(columns)
+    if few:
+        pairs = F.explode(F.array(*[
+            F.struct(F.lit(i).alias("at"), own[i]["number"].alias("number"), own[i]["text"].alias("text")) for i in few
+        ]))
+        values = df.select(pairs.alias("_pair")).where("_pair.number is not null").distinct()
+        values, _ = numbered(values.select("_pair.*"), ["at", "number", "text"], "_place")
+        # One row for each column.
+        known = {r["at"]: r["n"] for r in values.groupBy("at").agg(F.count("*").alias("n")).collect()}
+        so_far = 0
+        for i in few:
+            distinct[i] = known.get(i, 0)
+            tables[i] = values.where(F.col("at") == i).select("number", "text", (F.col("_place") - so_far).alias("_place"))
+            so_far += distinct[i]
+    for i in set(range(len(columns))) - set(few):
+        values = df.select(F.col(f"_n{i}").alias("number"), F.col(f"_t{i}").alias("text")).where("number is not null")
+        # Equal values meet in one range, so they are made one there.
+        values = values.repartitionByRange("number", "text").dropDuplicates()
+        tables[i], distinct[i] = numbered(values, ["number", "text"], "_place")
+    bits = shared_bits(distinct, budget)
     for i, c in enumerate(columns):
-        place = F.col("_upto") - 1 - sum(distinct[:i])
-        rank = place if distinct[i] <= 2 ** bits[i] else F.floor(place * F.lit(float(2 ** bits[i])) / distinct[i])
-        own = numbered.where(F.col("_pair.at") == i).select(
-            F.col("_pair.number").alias("_number"), F.col("_pair.text").alias("_text"), rank.cast("long").alias(f"_rank_{c}")
-        )
-        same = (F.col(f"_n{i}") == F.col("_number")) & F.col(f"_t{i}").eqNullSafe(F.col("_text"))
-        df = df.join(own, same, "left").drop("_number", "_text", f"_n{i}", f"_t{i}")
+        ranks = 2 ** bits[i]
+        rank = F.col("_place") if distinct[i] <= ranks else F.floor(F.col("_place") * F.lit(float(ranks)) / distinct[i])
+        ranked = tables[i].select(F.col("number").alias("_number"), F.col("text").alias("_text"), rank.cast("long").alias("_rank"))
+        if i not in few and ranks <= MAX_BOUNDS:
+            part, given = ("_text", f"_t{i}") if isinstance(df.schema[c].dataType, T.StringType) else ("_number", f"_n{i}")
+            starts = ranked.groupBy("_rank").agg(F.min(part).alias("start")).orderBy("_rank").collect()
+            df = df.withColumn(f"_rank_{c}", _bound_at_or_below(given, [r["start"] for r in starts]))
+        else:
+            same = (F.col(f"_n{i}") == F.col("_number")) & F.col(f"_t{i}").eqNullSafe(F.col("_text"))
+            df = df.join(ranked, same, "left").withColumnRenamed("_rank", f"_rank_{c}").drop("_number", "_text")
         df = df.withColumn(f"_rank_{c}", F.coalesce(f"_rank_{c}", F.lit(0).cast("long")))
-    return df, dict(zip(columns, bits, strict=True))
+    return df.drop(*[f"_{part}{i}" for i in range(len(columns)) for part in "nt"]), dict(zip(columns, bits, strict=True))
+
+
+def _bound_at_or_below(value: str, bounds: list) -> Column:
+    """The place of the last of the ascending bounds at or below the value, by binary search."""
+    steps = [1 << b for b in reversed(range((len(bounds) - 1).bit_length()))]
+    if not steps:
+        return F.when(F.col(value).isNotNull(), F.lit(0).cast("long"))
+    # One literal, however many bounds.
+    kind = "array<string>" if isinstance(bounds[0], str) else "array<bigint>"
+    listed = F.from_json(F.lit(json.dumps(bounds)), kind)
+
+    def further(low: Column, step: Column) -> Column:
+        inside = low + step < F.lit(len(bounds))
+        return F.when(inside & (F.element_at(listed, low + step + 1) <= F.col(value)), low + step).otherwise(low)
+
+    found = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), further)
+    return F.when(F.col(value).isNotNull(), found.cast("long"))
 
 
 def interleaved(ranks: dict[str, int]) -> Column:
@@ -97,8 +140,10 @@ def with_z(df: DataFrame, columns: Sequence[str], budget: int = Z_BITS) -> DataF
 def write_clustered(
     df: DataFrame, path: str, columns: Sequence[str], files: int, partition_by: Sequence[str] = ()
 ) -> None:
-    """Writes ``df`` as Parquet in ``files`` ranges of the Z-value. A hash of the row comes last in
-    the order, so that one Z-value that holds most of the rows is cut too."""
+    """Writes ``df`` as Parquet in ``files`` ranges of the Z-value, more if these would have more
+    than RANGE_ROWS rows. A hash of the row comes last in the order, so that one Z-value that holds
+    most of the rows is cut too."""
+    files = max(files, -(-df.count() // RANGE_ROWS))
     spread = F.xxhash64(*df.columns)
     ordered = with_z(df, columns).withColumn("_spread", spread).repartitionByRange(files, *partition_by, "_z", "_spread")
-    ordered.sortWithinPartitions(*partition_by, "_z").drop("_z", "_spread").write.partitionBy(*partition_by).parquet(path)
+    ordered.sortWithinPartitions(*partition_by, "_z").drop("_z", "_spread").write.option("compression", COMPRESSION).partitionBy(*partition_by).parquet(path)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrow.schemas import SEED, TEST_SIZE
+from windrow.session import written_once
 
 #: Leading hex digits of the key's hash that form the histogram of ``_boundary``: 16**4 buckets.
 PREFIX_DIGITS = 4
@@ -86,17 +87,18 @@ def split_stratified(
 
     Ranking a whole class would put it in one task. Instead the prefix histogram finds each
     class's boundary bucket (about one row in 65,536), only that bucket is ranked, and the
-    resulting cut-off (one row per class) is joined back, broadcast where Spark finds it small.
+    resulting cut-off (one row per class) is written and joined back: Spark finds it small from
+    its files before it plans the join, and does not deal the rows out by class.
     Rows of one class that share a key share their side unless the cut falls among them.
     """
     target = F.round(F.col("_total") * F.lit(test_size)).cast("long")
     boundary = _boundary(df, key, [label], target)
     hashed = key_hash(key).alias("_hash")
     near = df.select(label, key, hashed, F.substring(key_hash(key), 1, PREFIX_DIGITS).alias("_prefix"))
-    near = near.join(boundary, [label, "_prefix"])
+    near = near.join(written_once(boundary, "boundary"), [label, "_prefix"])
     rank = F.row_number().over(Window.partitionBy(label).orderBy("_hash", key))
     cut = near.withColumn("_rank", rank).where(F.col("_rank") == F.col("_need"))
-    cut = cut.select(label, F.struct("_hash", F.col(key).alias("_key")).alias("_cut"))
+    cut = written_once(cut.select(label, F.struct("_hash", F.col(key).alias("_key")).alias("_cut")), "cuts")
     below = F.struct(key_hash(key).alias("_hash"), F.col(key).alias("_key")) <= F.col("_cut")
     return (
         df.join(cut, label, "left").withColumn("is_test", F.coalesce(below, F.lit(False))).drop("_cut")

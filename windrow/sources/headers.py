@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Types a column may turn out to have, narrowest first; text holds everything else.
 NARROWEST = ["int", "bigint", "double", "boolean", "timestamp"]
+#: Rows that rule types out before all rows are looked at.
+FIRST_ROWS = 100
 
 
 def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -43,16 +45,27 @@ def _holds(column: str, kind: str) -> Column:
     return F.col(f"`{column}`").isNull() | F.col(f"`{column}`").try_cast(kind).isNotNull()
 
 
+def _kinds_that_hold(df: DataFrame, kinds: dict[str, list[str]]) -> tuple[dict[str, list[str]], list[int]]:
+    """For each column those of its kinds that hold all of its values, and how many values it has."""
+    names = list(kinds)
+    checks = [F.every(_holds(c, k)).alias(f"{i}_{k}") for i, c in enumerate(names) for k in kinds[c]]
+    known = [F.count(F.col(f"`{c}`")).alias(f"{i}_n") for i, c in enumerate(names)]
+    found = df.agg(*checks, *known).first()
+    # Of no rows at all nothing is ruled out.
+    hold = {c: [k for k in kinds[c] if found[f"{i}_{k}"] is not False] for i, c in enumerate(names)}
+    return hold, [found[f"{i}_n"] for i in range(len(names))]
+
+
 def narrowest_types(df: DataFrame) -> dict[str, str]:
     """For each text column the narrowest type that holds all of its values; text for a column of
-    nulls. One pass over the rows, whose result is one row."""
-    checks = [F.every(_holds(c, k)).alias(f"{i}_{k}") for i, c in enumerate(df.columns) for k in NARROWEST]
-    known = [F.count(F.col(f"`{c}`")).alias(f"{i}_n") for i, c in enumerate(df.columns)]
-    found = df.agg(*checks, *known).first()
-    return {
-        c: next((k for k in NARROWEST if found[f"{i}_n"] and found[f"{i}_{k}"]), "string")
-        for i, c in enumerate(df.columns)
-    }
+    nulls.
+
+    One value rules a type out, so a few rows first spare all others the types that cannot be; the
+    types that remain are tried on every row, in one pass whose result is one row.
+    """
+    kinds, _ = _kinds_that_hold(df.limit(FIRST_ROWS), dict.fromkeys(df.columns, NARROWEST))
+    kinds, known = _kinds_that_hold(df, kinds)
+    return {c: kinds[c][0] if n and kinds[c] else "string" for c, n in zip(df.columns, known, strict=True)}
 
 
 def read_inferred_csv(spark: SparkSession, paths: Sequence[str], options: dict[str, str | bool]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from windrow.operators import packing
 from windrow.operators.ranks import with_running_total
 from windrow.schemas import RETENTION_HOURS, TARGET_FILE_BYTES
+from windrow.session import written_once
 from windrow.sources import snapshots
 
 log = logging.getLogger(__name__)
@@ -87,10 +88,18 @@ def compact(
 
     Only partitions with at least two files below half the target are rewritten, each pack of
     files by one task and without a shuffle; if there are none, nothing is written. ``everything``
-    lays the whole table out anew.
+    writes the whole table anew, in packs as well; with a file of more than twice the target, or of
+    too many packs for one plan, its rows are dealt out by ranges.
     """
     files = _files(spark, table)
-    if everything or not snapshots.partition_columns(spark, table):
+    partition_by = snapshots.partition_columns(spark, table)
+    if everything and partition_by:
+        sizes = files.agg(F.coalesce(F.max("length"), F.lit(0)), F.coalesce(F.sum("length"), F.lit(0))).first()
+        if sizes[0] <= 2 * target_bytes and sizes[1] <= target_bytes * packing.PACKS_AT_ONCE:
+            packed = packing.packs(files, target_bytes, F.col("partition"))
+            if packed and len(packed) <= packing.PACKS_AT_ONCE:
+                return _write_packed(spark, table, packed, "compact", committed_at)
+    if everything or not partition_by:
         small = files.where(F.col("length") < target_bytes / 2).count()
         if small < 2 and not everything:
             return snapshots.current_version(spark, table)
@@ -102,12 +111,19 @@ def compact(
     packed = packing.packs(files.join(needy, "partition"), target_bytes, F.col("partition"))
     if not packed:
         return snapshots.current_version(spark, table)
+    return _write_packed(spark, table, packed, "replace", committed_at)
+
+
+def _write_packed(
+    spark: SparkSession, table: str, packed: list[list[str]], operation: str, committed_at: datetime | None
+) -> int:
+    """Writes the rows of the packs as a version, each pack by one task."""
     fields = [f for f in snapshots.read(spark, table).schema if f.name not in snapshots.VERSION_COLUMNS]
     reader = spark.read.option("basePath", table).schema(T.StructType(fields))
     rows = packing.read_packed(packed, lambda paths: reader.parquet(*paths).drop(*snapshots.VERSION_COLUMNS))
     partition_by = snapshots.partition_columns(spark, table)
     with packing.one_task_a_pack(spark):
-        return snapshots.commit(rows, table, partition_by, "replace", committed_at, layout=False)
+        return snapshots.commit(rows, table, partition_by, operation, committed_at, layout=False)
 
 
 def rank_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
@@ -293,32 +309,39 @@ def compare_versions(
 ) -> DataFrame:
     """Row counts of two versions (the newest two by default), one row each.
 
-    With ``keys``, also how many keys the newer version added and removed; both versions go
-    through one aggregation by key.
+    With ``keys``, also how many keys the newer version added and removed. Only partitions that one
+    version alone has go through an aggregation by key; the others are looked up for the keys that
+    this finds on one side.
     """
     known = [c.version for c in snapshots.commits(spark, table)]
     if old is None or new is None:
         if len(known) < 2:
             raise snapshots.VersionNotFound(f"{table} has fewer than two versions")
         old, new = known[-2], known[-1]
-    sides = [
-        snapshots.read(spark, table, v).select(
-            *(keys or []), F.lit(v).alias("version"), F.lit(v == new).alias("_newer")
-        )
+    if keys is None:
+        sides = [snapshots.read(spark, table, v).select(F.lit(v).alias("version")) for v in (old, new)]
+        return sides[0].unionByName(sides[1]).groupBy("version").agg(F.count(F.lit(1)).alias("row_count"))
+    folders = {v: set(snapshots.leaf_folders(spark, table, v)) for v in (old, new)}
+    shared = folders[old] & folders[new]
+    own = [
+        snapshots.read_leaves(spark, table, sorted(folders[v] - shared), v).select(*keys, F.lit(v == new).alias("_newer"))
         for v in (old, new)
     ]
-    both = sides[0].unionByName(sides[1])
-    if keys is None:
-        return both.groupBy("version").agg(F.count(F.lit(1)).alias("row_count"))
-    present = both.groupBy(*keys).agg(
+    both = snapshots.read_leaves(spark, table, sorted(shared), new).select(*keys)
+    rows = [both.count() + side.count() for side in own]
+    present = own[0].unionByName(own[1]).groupBy(*keys).agg(
         F.count_if(~F.col("_newer")).alias("_old"), F.count_if("_newer").alias("_new")
     )
-    totals = present.agg(
-        F.coalesce(F.sum("_old"), F.lit(0)).alias("_old_rows"),
-        F.coalesce(F.sum("_new"), F.lit(0)).alias("_new_rows"),
-        F.count_if((F.col("_old") == 0)).alias("_added"),
-        F.count_if((F.col("_new") == 0)).alias("_removed"),
-    )
+    changed = present.where("_old = 0 or _new = 0")
+    if shared:
+        # A key that also stands in a folder of both versions is in both.
+        changed = written_once(changed, "changed-keys")
+        other = changed.select(*[F.col(k).alias(f"_other_{k}") for k in keys])
+        found = both.join(other, [F.col(k).eqNullSafe(F.col(f"_other_{k}")) for k in keys], "left_semi")
+        found = found.select(*[F.col(k).alias(f"_other_{k}") for k in keys])
+        changed = changed.join(found, [F.col(k).eqNullSafe(F.col(f"_other_{k}")) for k in keys], "left_anti")
+    totals = changed.agg(F.count_if(F.col("_old") == 0).alias("_added"), F.count_if(F.col("_new") == 0).alias("_removed"))
+    totals = totals.withColumns({"_old_rows": F.lit(rows[0]).cast("long"), "_new_rows": F.lit(rows[1]).cast("long")})
     nothing = F.lit(0).cast("long")
     return totals.select(
         F.inline(

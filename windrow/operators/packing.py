@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from windrow.schemas import TARGET_FILE_BYTES
+from windrow.session import COMPRESSION, unsorted_writes
 
 #: Packs that one job reads: each is a scan of its own in the plan.
 PACKS_AT_ONCE = 500
@@ -46,11 +47,13 @@ def packs(
 
 @contextmanager
 def one_task_a_pack(spark: SparkSession) -> Iterator[None]:
-    """Within it, a union of packs that is run keeps one task for each of them."""
+    """Within it, a union of packs that is run keeps one task for each of them, and a pack, which
+    is of one partition, is written as it is read, without a sort."""
     before = spark.conf.get(_UNION, None)
     spark.conf.set(_UNION, "false")
     try:
-        yield
+        with unsorted_writes(spark):
+            yield
     finally:
         spark.conf.unset(_UNION) if before is None else spark.conf.set(_UNION, before)
 
@@ -86,5 +89,5 @@ def compact_folder(
     for at in range(0, len(packed), packs_at_once):
         rows = read_packed(packed[at : at + packs_at_once], lambda paths: reader.parquet(*paths))
         with one_task_a_pack(spark):
-            rows.write.mode("append").partitionBy(*partition_by).parquet(target)
+            rows.write.mode("append").option("compression", COMPRESSION).partitionBy(*partition_by).parquet(target)
     return len(packed)

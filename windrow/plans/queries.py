@@ -85,7 +85,7 @@ def history_table(spark: SparkSession, sf_dir: str) -> str:
         rows = _bronze(spark, sf_dir)
         for version, year in enumerate(DEFAULT_YEARS):
             batch = cleaning.filter_year(rows, year)
-            snapshots.commit(batch, table, ["Year"], "append", _commit_time(version))
+            snapshots.commit(batch, table, ["Year"], "append", _commit_time(version), layout=False)
         maintenance.compact(spark, table, committed_at=_commit_time(7), everything=True)
         snapshots.upsert(
             _changes(rows), table, ["Year", "flight_id"], ["Year"], _commit_time(8)
@@ -467,14 +467,20 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("flight_id", "Year", "FL_DATE")
 
 
+def _small_file_rows(rows: DataFrame) -> int:
+    """Rows for each of many small files: three files a year at least, and more with the input."""
+    return min(50_000, max(1, rows.count() // (3 * len(DEFAULT_YEARS))))
+
+
 def _evolving(spark: SparkSession, sf_dir: str) -> str:
     """A table whose second batch brought a column; both batches in many small files."""
     table = scratch_path(spark, "evolving")
     rows = _raw(spark, sf_dir)
     late = F.col("Year") >= 2021
-    snapshots.commit(rows.where(~late).repartition(3), table, ["Year"], layout=False)
-    extra = rows.where(late).withColumn("extra", F.md5("flight_id")).repartition(3)
-    snapshots.commit(extra, table, ["Year"], layout=False)
+    few = _small_file_rows(rows)
+    snapshots.commit(rows.where(~late), table, ["Year"], layout=False, rows_per_file=few)
+    extra = rows.where(late).withColumn("extra", F.md5("flight_id"))
+    snapshots.commit(extra, table, ["Year"], layout=False, rows_per_file=few)
     return table
 
 
@@ -559,7 +565,7 @@ def reingest_unchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, rows = scratch_path(spark, "unchanged"), _bronze(spark, sf_dir)
     ingest.ingest_years(rows, table)
     changed = F.when(F.col("Year") == 2021, F.col("DepDelay") + 1).otherwise(F.col("DepDelay"))
-    again = rows.repartition(5).withColumn("DepDelay", changed)
+    again = rows.repartition(max(5, rows.count() // 1_000_000)).withColumn("DepDelay", changed)
     return ingest.ingest_years(again, table, skip_unchanged=True)
 
 
@@ -591,7 +597,8 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compact_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver in many small files, packed into few without a shuffle."""
     source, target = scratch_path(spark, "small"), scratch_path(spark, "packed")
-    _silver(spark, sf_dir).repartition(8).write.partitionBy("Year").parquet(source)
+    few = _small_file_rows(_raw(spark, sf_dir))
+    _silver(spark, sf_dir).write.option("maxRecordsPerFile", few).partitionBy("Year").parquet(source)
     packing.compact_folder(spark, source, target, ["Year"])
     return cleaning.select_available(spark.read.parquet(target))
 

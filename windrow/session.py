@@ -5,11 +5,19 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_roots: dict[str, str] = {}
 
+#: How tables are compressed: texts like hashes take half the room that they take by default.
+COMPRESSION = "zstd"
+#: Partition folders a task writes to side by side. A task with rows of more sorts them first.
+OPEN_FOLDERS = 16
+_OPEN_FOLDERS = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def local_session(cpus: str | int = "*", app: str = "windrow", **conf: str) -> SparkSession:
     """A local session for tests and the bench. Clusters bring their own."""
@@ -52,10 +60,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Within it, rows that go to few partition folders are not sorted by these to be written, so
+    a large task does not spill."""
+    before = spark.conf.get(_OPEN_FOLDERS, None)
+    spark.conf.set(_OPEN_FOLDERS, str(OPEN_FOLDERS))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_OPEN_FOLDERS) if before is None else spark.conf.set(_OPEN_FOLDERS, before)
+
+
 def written_once(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to scratch and reads it back: it is worked out once, and is the same
     wherever it is used."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", COMPRESSION).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

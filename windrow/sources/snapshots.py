@@ -21,17 +21,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from windrow.session import written_once
+from windrow.session import COMPRESSION, unsorted_writes, written_once
 
 #: Operations that keep what earlier versions wrote.
 INCREMENTAL = ("append", "replace")
 #: Folder with the schema of a commit and no rows; hidden from scans of the commit.
 EMPTY = "_empty"
+#: Partitions of an upsert that are named in its filter.
+MAX_TOUCHED = 500
 STAMP = "%Y%m%dT%H%M%S.%fZ"
 VERSION_FIELDS = [
     T.StructField("_version", T.IntegerType()),
@@ -101,12 +105,14 @@ def commit(
     operation: str = "append",
     committed_at: datetime | None = None,
     layout: bool = True,
+    rows_per_file: int | None = None,
 ) -> int:
     """Writes ``df`` as the next version and returns its number.
 
     Rows are rebalanced by partition on the way: Spark merges small partitions and splits one
     that holds most of the rows, so file sizes follow the advisory partition size whatever
-    the skew. ``layout=False`` keeps the row order and partitioning of ``df``.
+    the skew. ``layout=False`` keeps the row order and partitioning of ``df``. ``rows_per_file``
+    cuts files at that many rows.
     """
     spark = df.sparkSession
     version = next_version(spark, table)
@@ -114,11 +120,14 @@ def commit(
     rows = df.drop(*VERSION_COLUMNS)
     if layout:
         rows = rows.hint("rebalance", *partition_by)
-    writer = rows.write.mode("errorifexists")
+    writer = rows.write.mode("errorifexists").option("compression", COMPRESSION)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     folder = f"{table}/_version={version}/_operation={operation}/_committed_at={stamp}"
-    writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(folder)
+    with unsorted_writes(spark):
+        writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(folder)
     # The columns and types of this commit, those of the partitions too, for readers.
     spark.createDataFrame([], rows.schema).write.parquet(f"{folder}/{EMPTY}")
     return version
@@ -182,6 +191,19 @@ def live_folders(spark: SparkSession, table: str, version: int | None = None) ->
     return [c.path + p for c, parts in live for p in ([""] if parts is None else parts)]
 
 
+def leaf_folders(spark: SparkSession, table: str, version: int) -> list[str]:
+    """The partition folders that hold the rows of a version."""
+    whole = {c.path: c for c in commits(spark, table)}
+    live = live_folders(spark, table, version)
+    return [f + p for f in live for p in (_partitions(spark, whole[f]) if f in whole else [""])]
+
+
+def read_leaves(spark: SparkSession, table: str, folders: list[str], version: int) -> DataFrame:
+    """Rows of some folders of a version, with the columns of the version; no folders, no rows."""
+    steps = _history_to(spark, table, version)
+    return _load(spark, table, folders or [f"{steps[-1].path}/{EMPTY}"], schema_of_commits(spark, steps))
+
+
 def schema_of_commits(spark: SparkSession, steps: Sequence[Commit]) -> T.StructType:
     """All columns the commits wrote, with the types they were written with: one footer each."""
     folders = [f"{step.path}/{EMPTY}" for step in steps]
@@ -303,16 +325,22 @@ def upsert(
 def _touched(existing: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows of the partitions that ``new`` has rows in.
 
-    The least and greatest value of each partition column (one row) prune the folders; the
-    semi-join with the distinct partitions is exact.
+    The driver gets the distinct partitions, as it does the folders of any table, and only these
+    folders are read. Of more than MAX_TOUCHED, the least and greatest value of each partition
+    column (one row) prune the folders, and a semi-join is exact.
     """
+    touched = written_once(new.select(*columns).distinct(), "touched")
+    some = touched.limit(MAX_TOUCHED + 1).collect()
+    if len(some) <= MAX_TOUCHED:
+        same = [reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in columns]) for row in some]
+        return existing.where(reduce(or_, same, F.lit(False)))
     ends = [f for c in columns for f in (F.min(c), F.max(c), F.count_if(F.col(c).isNull()))]
     row = new.agg(*ends).first()
     for place, c in enumerate(columns):
         low, high, nulls = row[3 * place : 3 * place + 3]
         inside = F.lit(False) if low is None else F.col(c).between(F.lit(low), F.lit(high))
         existing = existing.where(inside | F.col(c).isNull() if nulls else inside)
-    wanted = new.select(*[F.col(c).alias(f"_in_{c}") for c in columns]).distinct()
+    wanted = touched.select(*[F.col(c).alias(f"_in_{c}") for c in columns])
     same = [F.col(c).eqNullSafe(F.col(f"_in_{c}")) for c in columns]
     return existing.join(wanted, same, "left_semi")
 

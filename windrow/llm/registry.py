@@ -76,7 +76,7 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_family.remove_repeats(table(spark, sf_dir, "documents"), cuts=(0.25,))
+    return suffix_family.remove_repeats(table(spark, sf_dir, "documents"), cuts=(0.125, 0.25))
 
 
 @query

@@ -2,19 +2,21 @@
 
 The design has standardised numbers and one column for each value of each category. What a fit
 needs of the rows is the matrix of the columns' products, and that is a handful of grouped sums:
-numbers by numbers in one row, numbers by categories in one row for each value, categories by
-categories in one row for each pair of values that occurs. Spark adds them up with map-side
-combine; the driver solves equations whose size is the number of columns, not of rows.
+numbers by numbers, numbers by each value of a category, and each pair of values that occurs. A
+task adds them up over its Arrow batches and hands on one number for each product, so rows are
+neither multiplied nor moved; the driver solves equations whose size is the number of columns, not
+of rows.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import combinations, combinations_with_replacement
+from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
@@ -25,6 +27,8 @@ from windrow.operators.categories import dictionary, with_indexes
 
 #: Columns of a design at most: the driver holds their square (32 MB).
 MAX_COLUMNS = 2_000
+#: Sums that a task hands on in one Arrow batch.
+SUMS_AT_ONCE = 100_000
 #: Directions of the design below this share of the largest are taken as dependent columns.
 RANK_TOLERANCE = 1e-11
 INTERCEPT = "(intercept)"
@@ -125,9 +129,8 @@ def _text(value: str) -> str:
 
 
 class _Rows:
-    """The rows of a fit, encoded: ``_y``, ``_x0``… (scaled numbers), ``_c0``… (numbers of the
-    values), ``_own`` (the design's columns that these are) and ``_pairs`` (a number for each pair of
-    them). They are kept for the passes of the fit; a lost block is worked out again."""
+    """The rows of a fit, encoded: ``_y``, ``_x0``… (scaled numbers) and ``_c0``… (numbers of the
+    values). They are kept for the passes of the fit; a lost block is worked out again."""
 
     def __init__(self, df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, max_columns: int):
         found = dictionary(df, categorical)
@@ -145,17 +148,10 @@ class _Rows:
         names = {c: f"_c{i}" for i, c in enumerate(categorical)}
         self.x = [f"_x{i}" for i in range(len(numeric))]
         self.c = list(names.values())
-        self.sizes = sizes = [len(v) for v in values.values()]
-        own = [F.col(c) + start for c, start in zip(self.c, self.design.starts, strict=True)]
-        pairs, self.pair_cells, cells = [], [], self.design.width
-        for i, j in combinations(range(len(sizes)), 2):
-            pairs.append(F.col(self.c[i]) * sizes[j] + F.col(self.c[j]) + cells)
-            self.pair_cells.append((cells, i, j))
-            cells += sizes[i] * sizes[j]
+        self.sizes = [len(v) for v in values.values()]
         encoded = with_indexes(df, found, names).select(
-            F.col(target).cast("double").alias("_y"), *self.c,
+            F.col(target).cast("double").alias("_y"), *[F.col(c).cast("int").alias(c) for c in self.c],
             *[self.design.scaled(i).alias(x) for i, x in enumerate(self.x)],
-            F.array(*own).cast("array<bigint>").alias("_own"), F.array(*pairs).cast("array<bigint>").alias("_pairs"),
         )
         self.df = encoded.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -183,38 +179,46 @@ class _Rows:
         return products, sums[1:]
 
     def _totals(self, df: DataFrame, of: Sequence[str], weight: str | None) -> tuple[list[np.ndarray], np.ndarray]:
-        k, width = len(self.x), self.design.width
-        sums, products = [np.zeros(width + 1) for _ in of], np.zeros((width + 1, width + 1))
-        totals = [F.sum(o).alias(o) for o in of]
-        numbers = list(combinations_with_replacement(range(k), 2)) if weight else []
-        first = df.agg(
-            *totals, *[F.sum(F.col(o) * F.col(x)).alias(f"{o}{x}") for o in of for x in self.x],
-            *[F.sum(F.col(weight) * F.col(self.x[i]) * F.col(self.x[j])).alias(f"_{i}_{j}") for i, j in numbers],
-        ).first()
-        for o, found in zip(of, sums, strict=True):
-            found[:k], found[-1] = [first[f"{o}{x}"] for x in self.x], first[o]
-        for i, j in numbers:
-            products[i, j] = products[j, i] = first[f"_{i}_{j}"]
-        if not self.c:
-            return sums, products
-        # Grouping by one number is several times as fast as grouping sets over the categories.
-        cells = F.concat("_own", "_pairs") if weight else F.col("_own")
-        by_x = [F.sum(F.col(weight) * F.col(x)).alias(x) for x in self.x] if weight else []
-        per_cell = df.select(F.explode(cells).alias("_cell"), *of, *self.x).where("_cell is not null")
-        bases = [base for base, _, _ in self.pair_cells]
-        for row in per_cell.groupBy("_cell").agg(*totals, *by_x).collect():
-            at = row["_cell"]
-            if at < width:
-                for o, found in zip(of, sums, strict=True):
-                    found[at] = row[o]
-                if weight:
-                    products[at, :k] = products[:k, at] = [row[x] for x in self.x]
-            else:
-                base, i, j = self.pair_cells[bisect_right(bases, at) - 1]
-                first_value, second_value = divmod(at - base, self.sizes[j])
-                one, two = self.design.starts[i] + first_value, self.design.starts[j] + second_value
-                products[one, two] = products[two, one] = row[weight]
-        return sums, products
+        k, m, size = len(self.x), len(of), self.design.width + 1
+        starts, sizes, at_once = self.design.starts, self.sizes, SUMS_AT_ONCE
+
+        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums, products = np.zeros((m, size)), np.zeros((size, size) if weight else (0, 0))
+            for batch in batches:
+                columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+                values, x, codes = columns[:m], columns[m : m + k], columns[m + k :]
+                categories = list(zip(starts, sizes, codes, strict=True))
+                for total, v in zip(sums, values, strict=True):
+                    total[:k] += [v @ one for one in x]
+                    total[-1] += v.sum()
+                    # A row without a value of a category counts in a place after the last.
+                    for start, n, code in categories:
+                        total[start : start + n] += np.bincount(code, v, n + 1)[:n]
+                if not weight:
+                    continue
+                weighted = [values[0] * one for one in x]
+                for i, one in enumerate(weighted):
+                    products[i, : i + 1] += [one @ other for other in x[: i + 1]]
+                    for start, n, code in categories:
+                        products[start : start + n, i] += np.bincount(code, one, n + 1)[:n]
+                for (start, n, code), (start_2, n_2, code_2) in combinations(categories, 2):
+                    pairs = np.bincount(code * (n_2 + 1) + code_2, values[0], (n + 1) * (n_2 + 1))
+                    products[start_2 : start_2 + n_2, start : start + n] += pairs.reshape(n + 1, n_2 + 1)[:n, :n_2].T
+            found = np.concatenate([sums.ravel(), products.ravel()])
+            cells = np.flatnonzero(found)
+            for at in range(0, len(cells), at_once):
+                some = cells[at : at + at_once]
+                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[some])], names=["cell", "total"])
+
+        # What is null adds nothing, as in any sum.
+        numbers = [F.coalesce(F.col(c), F.lit(0.0)).alias(f"_n{i}") for i, c in enumerate([*of, *self.x])]
+        codes = [F.coalesce(F.col(c), F.lit(n)).cast("bigint").alias(c) for c, n in zip(self.c, sizes, strict=True)]
+        added = df.select(*numbers, *codes).mapInArrow(partial, "cell bigint, total double")
+        found = added.groupBy("cell").agg(F.sum("total").alias("total")).toArrow()
+        whole = np.zeros(m * size + (size * size if weight else 0))
+        whole[found["cell"].to_numpy()] = found["total"].to_numpy()
+        lower = whole[m * size :].reshape(size, size) if weight else np.zeros((size, size))
+        return list(whole[: m * size].reshape(m, size)), lower + np.tril(lower, -1).T
 
 
 def least_squares(
@@ -295,16 +299,31 @@ def logistic(
 def column_sums(df: DataFrame, design: Design, of: str) -> DataFrame:
     """feature, value, row_count, total: sums of ``of`` times each column of the design over
     ``df``, which has the features' own columns. A value the design lacks has a row too."""
-    single = [F.struct(F.lit(INTERCEPT).alias("feature"), F.lit(None).cast("string").alias("value"), F.col(of).alias("part"))]
-    single += [
-        F.struct(F.lit(name).alias("feature"), F.lit(None).cast("string").alias("value"), (design.scaled(i) * F.col(of)).alias("part"))
-        for i, (name, _, _) in enumerate(design.numeric)
-    ]
-    single += [
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"), F.col(of).alias("part"))
-        for c in design.values
-    ]
-    parts = df.select(F.explode(F.array(*single)).alias("_part"))
-    return parts.groupBy("_part.feature", "_part.value").agg(
-        F.count("*").alias("row_count"), F.sum("_part.part").alias("total")
+    numbers = [(INTERCEPT, F.col(of)), *[(name, design.scaled(i) * F.col(of)) for i, (name, _, _) in enumerate(design.numeric)]]
+    names, categories = [name for name, _ in numbers], list(design.values)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sums = [pc.sum(batch.column(i)).as_py() for i in range(len(names))]
+            parts = [pa.table({
+                "feature": pa.array(names, pa.string()), "value": pa.nulls(len(names), pa.string()),
+                "row_count": pa.array([batch.num_rows] * len(names), pa.int64()), "total": pa.array(sums, pa.float64()),
+            })]
+            for i, name in enumerate(categories, len(names)):
+                rows = pa.table({"value": batch.column(i), "total": batch.column(0)})
+                found = rows.group_by("value", use_threads=False).aggregate([([], "count_all"), ("total", "sum")])
+                parts.append(pa.table({
+                    "feature": pa.array([name] * len(found), pa.string()), "value": found["value"],
+                    "row_count": found["count_all"], "total": found["total_sum"],
+                }))
+            yield from pa.concat_tables(parts).combine_chunks().to_batches()
+
+    given = df.select(
+        *[part.cast("double").alias(f"_n{i}") for i, (_, part) in enumerate(numbers)],
+        *[F.col(c).cast("string").alias(f"_c{i}") for i, c in enumerate(categories)],
     )
+    # A batch gives a row for each of its values.
+    parts = given.mapInArrow(partial, "feature string, value string, row_count bigint, total double")
+    return parts.groupBy("feature", "value").agg(F.sum("row_count").alias("row_count"), F.sum("total").alias("total"))

@@ -17,7 +17,7 @@ from windrow.plans import gold
 from windrow.plans.medallion import Medallion, run_layers
 from windrow.plans.silver import silver
 from windrow.schemas import CARRIER, DEFAULT_YEARS, FLIGHTS, SILVER_COLUMNS
-from windrow.session import scratch_path
+from windrow.session import scratch_path, written_once
 from windrow.sources import fixture, ingest, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -728,7 +728,7 @@ def ml_category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ml_normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the least-squares predictions add up to over each column of the design. The equations
     hold if that is what the target adds up to, and only the least-squares fit does that."""
-    rows = models.prepare(_features(spark, sf_dir))
+    rows = written_once(models.prepare(_features(spark, sf_dir)), "prepared")
     train = selection.split_hash(rows).where(~F.col("is_test"))
     fit = linear.least_squares(train, models.FULL.numeric, models.FULL.categorical, models.DELAY_TARGET)
     found = linear.column_sums(models.predict(fit.regressor(), train), fit.design, "prediction")
@@ -739,7 +739,7 @@ def ml_normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ml_logistic_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for the penalised logistic fit: the predicted probabilities and the coefficient
     add up to what the classes add up to."""
-    rows = models.prepare(_features(spark, sf_dir))
+    rows = written_once(models.prepare(_features(spark, sf_dir)), "prepared")
     train = selection.split_stratified(rows, models.CLASS_TARGET).where(~F.col("is_test"))
     fit = linear.logistic(train, models.FULL.numeric, models.FULL.categorical, models.CLASS_TARGET)
     found = linear.column_sums(models.predict(fit.classifier(), train), fit.design, "probability_1")

@@ -127,3 +127,25 @@ def test_simple_feature_set_trains(spark, sf_dir):
     trained = models.train_regression(rows, models.SIMPLE, trees=2, depth=3)
     table = models.metrics_table(spark, trained)
     assert {r["metric"] for r in table.collect()} == {"mse", "rmse", "r2"}
+
+
+@pytest.mark.parametrize("task", ["regression", "classification"])
+def test_a_forest_grown_in_parts_is_their_mean(spark, prepared, tmp_path, monkeypatch, task):
+    monkeypatch.setattr(models, "TREES_AT_ONCE", 2)
+    few = models.FeatureSet(["AIRLINE"], ["DepDelay", "Distance"])
+    target = models.DELAY_TARGET if task == "regression" else models.CLASS_TARGET
+    rows = prepared.select(*few.columns, F.col(target).cast("double").alias(target))
+    model, importances = models._forest(task, rows, few, target, 5, 3, 7)
+    parts = model.stages[2:-1]
+    assert [p.getNumTrees for p in parts] == [2, 2, 1]
+    assert sum(v for _, v in importances) == pytest.approx(1.0) and importances[0][0] == "DepDelay"
+    model.write().overwrite().save(str(tmp_path / "forest"))
+    again = models.PipelineModel.load(str(tmp_path / "forest"))
+    encoded = models.PipelineModel(model.stages[:2]).transform(rows)
+    scored = models.predict(again, rows)
+    column = "prediction" if task == "regression" else "probability_1"
+    for row, found in zip(encoded.limit(20).collect(), scored.limit(20).collect(), strict=True):
+        x = row["indexed"]
+        each = [p.predict(x) if task == "regression" else p.predictProbability(x)[1] for p in parts]
+        assert found[column] == pytest.approx(sum(e * p.getNumTrees for e, p in zip(each, parts)) / 5)
+    assert set(scored.columns) - set(encoded.columns) <= {"prediction", "probability_1"}

@@ -12,7 +12,9 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +22,13 @@ from windrow.operators import linear, metrics
 from windrow.operators.categories import dictionary, fit_bins
 from windrow.operators.selection import split_hash, split_stratified
 from windrow.schemas import CARRIER, SEED, TEST_SIZE
+from windrow.session import written_once
 
 DELAY_TARGET = "target_arrival_delay"
 CLASS_TARGET = "target_is_delayed"
+#: Trees of a forest that are grown together. MLlib keeps a number for each of them with every row,
+#: and the sums of their open nodes side by side.
+TREES_AT_ONCE = 20
 
 
 @dataclass(frozen=True)
@@ -223,27 +229,58 @@ def _linear(task: str, train: DataFrame, features: FeatureSet, target: str) -> t
         return name, PipelineModel([*encoding.stages, estimators[name].fit(encoding.transform(train))])
 
 
+class ForestMean(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Joins the forests of which each ``<prefix><n>`` column comes, by the numbers of their trees:
+    ``prediction`` is the mean of their predictions or, of class probabilities, ``probability_1`` is
+    their mean and ``prediction`` 1.0 where that is above one half. It is what one forest of all
+    the trees gives."""
+
+    weights = Param(Params._dummy(), "weights", "trees of each forest", TypeConverters.toListFloat)
+    prefix = Param(Params._dummy(), "prefix", "columns to join", TypeConverters.toString)
+    classes = Param(Params._dummy(), "classes", "whether they are class probabilities", TypeConverters.toBoolean)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        weights, classes = self.getOrDefault("weights"), self.getOrDefault("classes")
+        names = [f"{self.getOrDefault('prefix')}{i}" for i in range(len(weights))]
+        mean = F.lit(0.0)
+        for name, weight in zip(names, weights, strict=True):
+            mean = mean + F.lit(weight / sum(weights)) * (class_probability(name) if classes else F.col(name))
+        if not classes:
+            return dataset.withColumn("prediction", mean).drop(*names)
+        joined = dataset.withColumn("probability_1", mean).drop(*names)
+        return joined.withColumn("prediction", (F.col("probability_1") > 0.5).cast("double"))
+
+
 def _forest(
     task: str, train: DataFrame, features: FeatureSet, target: str, trees: int, depth: int, seed: int
 ) -> tuple[PipelineModel, list[tuple[str, float]]]:
     """A forest over plain numbers and category bins, with its importances. The number of bins is
-    bounded, however many values a category has."""
+    bounded, however many values a category has. It is grown TREES_AT_ONCE trees at a time, each
+    on all rows."""
     bins, most = fit_bins(train, features.categorical, target)
     assembler = VectorAssembler(inputCols=[*features.numeric, *bins.columns], outputCol="indexed")
     encoded = assembler.transform(bins.transform(train)).select("indexed", target)
     encoded.persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = [min(TREES_AT_ONCE, trees - at) for at in range(0, trees, TREES_AT_ONCE)]
+    grown, values, classes = [], 0.0, task != "regression"
     try:
-        if task == "regression":
-            estimator = regressors(trees, depth, seed, max(32, most))["random_forest"]
-        else:
-            estimator = classifiers(0, trees, depth, seed, max(32, most))["random_forest"]
-        model = estimator.fit(encoded)
+        for i, size in enumerate(sizes):
+            made = classifiers(0, size, depth, seed + i, max(32, most)) if classes else regressors(size, depth, seed + i, max(32, most))
+            model = made["random_forest"].fit(encoded)
+            model.setPredictionCol("" if classes else f"_forest_{i}")
+            if classes:
+                model.setRawPredictionCol("").setProbabilityCol(f"_forest_{i}")
+            grown.append(model)
+            # A tree's importances sum to 1, so a forest's count as often as it has trees.
+            values = values + model.featureImportances.toArray() * size / trees
     finally:
         encoded.unpersist()
-    values = model.featureImportances.toArray().tolist()
+    joined = ForestMean()
+    joined._set(weights=[float(size) for size in sizes], prefix="_forest_", classes=classes)
+    total = values.sum() or 1.0
     names = [*features.numeric, *features.categorical]
-    importances = sorted(zip(names, values, strict=True), key=lambda p: p[1], reverse=True)
-    return PipelineModel([bins, assembler, model]), importances
+    importances = sorted(zip(names, (values / total).tolist(), strict=True), key=lambda p: p[1], reverse=True)
+    return PipelineModel([bins, assembler, *grown, joined]), importances
 
 
 def _trivial(task: str, held_out: DataFrame, target: str) -> float:
@@ -278,8 +315,8 @@ def train_regression(
     depth: int = 5,
     seed: int = SEED,
 ) -> list[Trained]:
-    """Linear regression and random forest on a hash split."""
-    split = split_hash(prepared, test_size)
+    """Linear regression and random forest on a hash split. ``prepared`` is worked out once."""
+    split = split_hash(written_once(prepared, "prepared"), test_size)
     return _train("regression", split, features, trees, depth, seed)
 
 
@@ -291,8 +328,9 @@ def train_classification(
     depth: int = 5,
     seed: int = SEED,
 ) -> list[Trained]:
-    """Logistic regression and random forest on a split that keeps the class shares."""
-    split = split_stratified(prepared, CLASS_TARGET, test_size)
+    """Logistic regression and random forest on a split that keeps the class shares. ``prepared``
+    is read several times to split it, so it is worked out once."""
+    split = split_stratified(written_once(prepared, "prepared"), CLASS_TARGET, test_size)
     return _train("classification", split, features, trees, depth, seed)
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
+from made_up import prose
 
 from windrow.llm import anchors, common, token_files
 from windrow.llm.registry import tokenizer_path
@@ -37,3 +40,14 @@ def test_power_tables_go_with_the_task():
     assert not anchors._powers
     prints = anchors.Fingerprints(np.arange(50, dtype=np.uint8) % 7)
     assert prints.of(np.array([0, 7]), 5)[0] == prints.of(np.array([0, 7]), 5)[1]
+
+
+def test_a_batch_of_texts_is_encoded_in_little_memory():
+    texts = [prose(k, 400) for k in range(token_files.ENCODE_DOCS)]
+    encoder = token_files.ChunkEncoder(tokenizer_path())
+    encoder.encode(texts)
+    tracemalloc.start()
+    encoder.encode(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 12_000_000

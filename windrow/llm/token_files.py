@@ -29,7 +29,7 @@ CACHE_ENTRIES = 700_000
 #: Newer chunks: they join the others while there is room, then make way for still newer ones.
 RECENT_ENTRIES = 100_000
 #: Documents encoded together.
-ENCODE_DOCS = 512
+ENCODE_DOCS = 128
 _SEGMENTS = "part int, seq int, first bigint, n_docs bigint, n_ids bigint, segment binary"
 _DIGESTS = "part int, in_part bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint"
 _IDS = "part int, in_part bigint, doc_id bigint, ids array<bigint>"

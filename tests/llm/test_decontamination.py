@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 from made_up import prose, words
 
@@ -97,6 +99,80 @@ def test_latent_space_spans_the_matrix(spark):
     assert np.allclose(matrix @ space @ space.T, matrix, atol=1e-6)
 
 
+def test_candidates_come_from_the_latent_space(spark, make_docs, monkeypatch):
+    docs = make_docs([(k, f"{prose(k)} {text} {prose(k + 50)}") for k, text in ITEMS])
+    benchmark = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    assert d.find_leaks(docs, benchmark).count() == len(ITEMS)
+    whole = d.latent_space
+
+    def without_last(*given):
+        return whole(*given) * (np.arange(len(ITEMS)) < len(ITEMS) - 1)
+
+    monkeypatch.setattr(d, "latent_space", lambda *given: np.zeros_like(whole(*given)))
+    assert d.find_leaks(docs, benchmark).count() == 0
+    # A space that lacks a direction finds some, but not what lies mostly along it.
+    monkeypatch.setattr(d, "latent_space", without_last)
+    assert 0 < d.find_leaks(docs, benchmark).count() < len(ITEMS)
+
+
+def test_latent_search_loses_no_match_of_all_pairs():
+    some = random.Random(5)
+    known = [f"w{i}" for i in range(120)]
+    sizes = [some.choice([1, 2, 5, 12, 18, 30, 40, 70]) for _ in range(60)]
+    texts = [" ".join(some.choices(known, weights=range(1, 121), k=k)) for k in sizes]
+    items = d.load_items([(i, text, None) for i, text in enumerate(texts)])
+    docs = [None, ""]
+    for text in texts:
+        parts = text.split()
+        for share in (0.1, 0.25, 0.35, 0.5):
+            changed = [some.choice(["gap", *known]) if some.random() < share else w for w in parts]
+            around = [" ".join(some.choices([*known, "gap", "hole"], k=some.randrange(90))) for _ in range(2)]
+            docs.append(f"{around[0]} {' '.join(changed)} {around[1]}")
+    docs = [text or "" for text in docs]
+    weights = np.array([np.log1p(len(docs) / (1 + k)) for k in range(len(items.vocabulary))])
+    matrix = np.zeros((len(texts), len(weights)))
+    for i in range(len(texts)):
+        matrix[i, items.columns(i)] = weights[items.columns(i)]
+    _, values, space = np.linalg.svd(matrix, full_matrices=False)
+    found = d.search_texts(docs, d.build_index(items, weights, space[values > 1e-6].T))
+
+    expected = {}
+    for at, text in enumerate(docs):
+        passage = d._words([text])[0]
+        for i, (wanted, answer) in enumerate(zip(items.words, items.answers, strict=True)):
+            half = max(16, 1 << (len(wanted) - 1).bit_length()) // 2
+            for start in range(0, len(passage), half):
+                part = passage[start : start + 3 * half]
+                lcs = d.common_subsequence(wanted, part) / len(wanted)
+                told = d.common_subsequence(answer, part) / len(answer)
+                if lcs >= d.VERBATIM_SHARE or (lcs >= d.PARAPHRASE_SHARE and told >= d.ANSWER_SHARE):
+                    expected[at, i] = max(lcs, expected.get((at, i), 0))
+    assert {(at, i): lcs for at, i, _, _, _, lcs, _ in found} == expected
+    assert len(expected) > 200 and min(expected.values()) < 0.7
+
+
+def test_passages_are_folded_alike_in_any_chunks(monkeypatch):
+    items = d.load_items([(k, text, None) for k, text in [*ITEMS, (12, "alone"), (13, prose(7, 100))]])
+    texts = ["", *(f"{prose(k, 41 * k)} {text} {prose(k + 50, 90)}" for k, text in ITEMS), "alone", prose(7, 130)]
+    weights = np.ones(len(items.vocabulary))
+    index = d.build_index(items, weights, np.eye(len(weights)))
+    once = d.search_texts(texts, index)
+    assert {row[1] for row in once} == set(range(14))
+    for words_at_once in (1, 50, 200):
+        monkeypatch.setattr(d, "_WORDS_AT_ONCE", words_at_once)
+        assert d.search_texts(texts, index) == once
+
+
+def test_least_product_bounds_every_choice_of_missing_words():
+    some = np.random.default_rng(2)
+    for _ in range(40):
+        squares, times = some.random(6) * 9, some.integers(1, 4, 6)
+        for missing in range(int(times.sum()) + 1):
+            gone = [np.array([(k >> i) & 1 for i in range(6)], bool) for k in range(64)]
+            least = min(squares[~g].sum() for g in gone if times[g].sum() <= missing)
+            assert d._least_product(squares, times, missing) <= least + 1e-9
+
+
 def test_common_subsequence_against_a_table():
     some = np.random.default_rng(1)
     for _ in range(50):

@@ -1,12 +1,12 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Benchmark items are TF-IDF vectors (presence times inverse document frequency in the corpus)
-over the items' words. Passages of documents that hold enough of an item's words to pass are
-candidates, found by the item's rarest words, and are verified on the word sequences: by the longest common subsequence and, for
-paraphrases, by whether the item's answer is there as well. A distributed randomised SVD gives
-the items' latent space; passages are folded into it for the cosine that is reported and that
-orders equal passages. It drops none, as an item beyond the leading RANK directions all but
-vanishes there.
+over the items' words. A distributed randomised SVD gives the latent space of a block of items;
+every passage of the documents is folded into it and compared with the items there. Candidates
+are those whose inner product (the cosine times both lengths) reaches the item's bound: the least
+that a passage with enough of the item's words can have. They are verified on the word sequences:
+by the longest common subsequence and, for paraphrases, by whether the item's answer is there as
+well. Blocks are so small that their space spans each item, so no match is lost.
 """
 
 from __future__ import annotations
@@ -25,19 +25,20 @@ from windrow.llm.shingles import word_hashes
 
 #: Bytes beside white space that part words here.
 PUNCTUATION = b".,;:!?\"'()[]"
+#: A space has more directions than RANK only if its block by chance has more items.
 RANK, OVERSAMPLING, POWER_ROUNDS = 256, 8, 2
-#: Items searched in one scan of the corpus. It bounds what is broadcast.
-ITEMS_AT_ONCE = 1000
-#: Share of an item's words (the most common ones) that do not help to find it. It is less than
-#: PARAPHRASE_SHARE, so no passage can pass on these alone.
-OTHER_SHARE = 0.4
-#: Passages that a text may have in a packed key.
-SPAN = 1 << 40
+#: Directions with less than this share of the strongest one's square are rounding.
+LEAST_SQUARE = 1e-13
+#: Items of a block on average, searched in one scan of the corpus: fewer than RANK, as rows are
+#: dealt to blocks by their hash.
+ITEMS_AT_ONCE = 224
 #: Share of the item's words in the longest common subsequence: enough alone, and with answer.
 VERBATIM_SHARE, PARAPHRASE_SHARE = 0.8, 0.6
 #: Share of the answer's words in the longest common subsequence with it.
 ANSWER_SHARE = 0.5
 _DOCS_AT_ONCE = 256
+#: Words whose passages are folded together.
+_WORDS_AT_ONCE = 1 << 14
 _FOUND = (
     "doc_id bigint, item_id bigint, first_word bigint, cosine double, coverage double, "
     "lcs double, answer double"
@@ -166,7 +167,7 @@ def latent_space(passages: DataFrame, size: int, rank: int = RANK, seed: int = 0
     inner = basis.T @ product(basis)
     values, vectors = np.linalg.eigh((inner + inner.T) / 2)
     kept = np.argsort(-values)[: min(rank, width)]
-    kept = kept[values[kept] > 1e-9 * max(values.max(), 1e-300)]
+    kept = kept[values[kept] > LEAST_SQUARE * max(values.max(), 1e-300)]
     return basis @ vectors[:, kept]
 
 
@@ -198,20 +199,35 @@ class Index:
     columns: list[np.ndarray]
     #: Length class of each item: the next power of two of its words.
     sizes: np.ndarray
-    #: For each word of the vocabulary, the items it anchors: ``anchored[starts[w]:starts[w + 1]]``.
-    starts: np.ndarray
-    anchored: np.ndarray
-    #: How often each word of the vocabulary that is in an item stands there, by its columns.
-    times: list[np.ndarray]
-    #: Words that a passage must have in common with the item, and of these, anchors.
+    #: Words that a passage must have in common with the item.
     least: np.ndarray
-    needs: np.ndarray
+    #: Each item's words, as sorted keys: the item times all words, and the word.
+    pairs: np.ndarray
+    #: How often the word stands in the item.
+    times: np.ndarray
+    #: What an occurrence of a word adds to its passage: its weighted row of the space and, last,
+    #: its weight. Words that no item has come first and add nothing.
+    folds: np.ndarray
+    #: The items in latent space and, last, what rounding may cost for each unit of weight.
+    probes: np.ndarray
+    #: Least product of a row of ``probes`` and a passage that may pass.
+    bounds: np.ndarray
+
+
+def _least_product(squares: np.ndarray, times: np.ndarray, missing: int) -> float:
+    """The least sum of squares that is left if words that stand ``missing`` times in the item, or
+    less, are not in the passage. The last one is taken in part, so it is never too high."""
+    order = np.argsort(-squares / times, kind="stable")
+    before = np.cumsum(times[order]) - times[order]
+    part = np.clip((missing - before) / times[order], 0, 1)
+    return float((squares[order] * (1 - part)).sum())
 
 
 def build_index(items: Items, weights: np.ndarray, space: np.ndarray) -> Index:
-    """An item's anchors are its rarest words, down to where the other words are at most
-    OTHER_SHARE of it, repeated ones counted. A passage passes only if it has PARAPHRASE_SHARE of
-    the item's words, so it holds the anchors that are missing from the others to that."""
+    """A passage passes only if it has PARAPHRASE_SHARE of the item's words. With the dearest words
+    missing to that, its product with the item, which repeated words only raise, is the item's
+    bound. The space holds the items but for directions below LEAST_SQUARE, and products are
+    summed in single precision; ``probes`` makes good for both."""
     n = len(items.ids)
     columns = [items.columns(i) for i in range(n)]
     times = [np.unique(w, return_counts=True)[1] for w in items.words]
@@ -219,50 +235,84 @@ def build_index(items: Items, weights: np.ndarray, space: np.ndarray) -> Index:
     squares = np.array([(weights[c] ** 2).sum() for c in columns])
     lengths = np.array([len(w) for w in items.words])
     least = np.ceil(PARAPHRASE_SHARE * lengths - 1e-9).astype(np.int64)
-    words, owners, needs = [], [], np.empty(n, np.int64)
-    for item, own in enumerate(columns):
-        order = np.argsort(weights[own], kind="stable")
-        other = np.cumsum(times[item][order]) <= OTHER_SHARE * lengths[item]
-        words.append(own[order][~other])
-        owners.append(np.full((~other).sum(), item))
-        needs[item] = least[item] - times[item][order][other].sum()
-    word, owner = np.concatenate(words), np.concatenate(owners)
-    order = np.argsort(word, kind="stable")
-    starts = np.searchsorted(word[order], np.arange(len(weights) + 1))
+    bounds = [_least_product(weights[c] ** 2, t, m) for c, t, m in zip(columns, times, lengths - least, strict=True)]
     sizes = np.array([max(16, 1 << (len(w) - 1).bit_length()) for w in items.words])
-    return Index(items, weights, space, latent, squares, columns, sizes, starts, owner[order], times, least, needs)
+    dropped = math.sqrt(n * LEAST_SQUARE * squares.sum())
+    rounding = np.finfo(np.float32).eps * (1.5 * sizes + space.shape[1]) * np.sqrt(squares)
+    pairs = np.concatenate([item * len(weights) + c for item, c in enumerate(columns)])
+    folds = np.zeros((len(weights) + 1, space.shape[1] + 1), np.float32)
+    folds[1:, :-1], folds[1:, -1] = weights[:, None] * space, weights
+    probes = np.column_stack([latent, dropped + rounding]).astype(np.float32)
+    return Index(
+        items, weights, space, latent, squares, columns, sizes, least, pairs, np.concatenate(times), folds, probes,
+        np.array(bounds) * (1 - 1e-6),
+    )
 
 
-def _likely(found: np.ndarray, counts: np.ndarray, index: Index) -> list[tuple[int, int, int]]:
-    """(text, item, start) of the passages that hold enough of the item's anchors.
+def _folded(found: np.ndarray, begins: np.ndarray, ends: np.ndarray, half: int, index: Index) -> np.ndarray:
+    """The sum of ``folds`` over each run of up to ``half`` words."""
+    place = begins + np.arange(half)[:, None]
+    words = np.where(place < ends, found[np.minimum(place, len(found) - 1)], -1)
+    sums = np.zeros((len(begins), index.folds.shape[1]), np.float32)
+    row = np.empty_like(sums)
+    for word in words:
+        np.take(index.folds, word + 1, axis=0, out=row, mode="clip")
+        sums += row
+    return sums
+
+
+def _enough(found: np.ndarray, begins: np.ndarray, ends: np.ndarray, item: np.ndarray, index: Index) -> np.ndarray:
+    """Whether passages have as many words in common with their items as a match needs. A word
+    counts as often as it stands in both."""
+    place = begins[:, None] + np.arange(int((ends - begins).max()))
+    words = found[np.minimum(place, len(found) - 1)]
+    keys = item[:, None] * len(index.weights) + words
+    at = np.minimum(np.searchsorted(index.pairs, keys), len(index.pairs) - 1)
+    own = (index.pairs[at] == keys) & (words >= 0) & (place < ends[:, None])
+    at = np.sort(np.where(own, at, -1), axis=1)
+    column = np.broadcast_to(np.arange(at.shape[1]), at.shape)
+    fresh = np.ones(at.shape, bool)
+    fresh[:, 1:] = at[:, 1:] != at[:, :-1]
+    before = column - np.maximum.accumulate(np.where(fresh, column, 0), axis=1)
+    return ((at >= 0) & (before < index.times[at])).sum(axis=1) >= index.least[item]
+
+
+def _near(found: np.ndarray, counts: np.ndarray, index: Index) -> Iterator[tuple[int, int, int]]:
+    """(text, item, start) of the passages that reach an item's bound in latent space, and have
+    words enough.
 
     A passage of an item starts at multiples of half its size and is 1.5 sizes long, so any run
     of ``size`` words lies within one. Repeated words count again, so none is left out that
     could pass.
     """
-    at = np.flatnonzero(found >= 0)
-    word = found[at]
-    times = index.starts[word + 1] - index.starts[word]
-    at, word, times = at[times > 0], word[times > 0], times[times > 0]
-    if len(at) == 0:
-        return []
-    into = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-    item = index.anchored[np.repeat(index.starts[word], times) + into]
-    place = np.repeat(at, times)
-    text = np.searchsorted(np.cumsum(counts), place, side="right")
-    place = place - (np.cumsum(counts) - counts)[text]
-    half = index.sizes[item] // 2
-    # Each occurrence belongs to the passages that start up to 1.5 sizes (three halves) before.
-    step = place // half
-    key = np.concatenate([(text * len(index.sizes) + item) * SPAN + np.maximum(step - k, 0) for k in range(3)])
-    fresh = np.concatenate([np.ones(len(step), bool), step >= 1, step >= 2])
-    keys, where = np.unique(key[fresh], return_inverse=True)
-    held = np.bincount(where)
-    pair, step = np.divmod(keys, SPAN)
-    text, item = np.divmod(pair, len(index.sizes))
-    enough = held >= index.needs[item]
-    start = step * (index.sizes[item] // 2)
-    return list(zip(text[enough].tolist(), item[enough].tolist(), start[enough].tolist(), strict=True))
+    ends = np.cumsum(counts)
+    for size in np.unique(index.sizes).tolist():
+        members, half = np.flatnonzero(index.sizes == size), size // 2
+        probes, bounds = index.probes[members].T, index.bounds[members]
+        halves = -(-counts // half)
+        text = np.repeat(np.arange(len(counts)), halves)
+        step = np.arange(len(text)) - np.repeat(np.cumsum(halves) - halves, halves)
+        begin = (ends - counts)[text] + step * half
+        end = np.minimum(begin + half, ends[text])
+        at_once = max(1, _WORDS_AT_ONCE // half)
+        for at in range(0, len(text), at_once):
+            # A passage is its half and the next two of the same text.
+            here = slice(at, at + at_once + 2)
+            parts, owner = _folded(found, begin[here], end[here], half, index), text[here]
+            passages = parts[:at_once].copy()
+            for k in (1, 2):
+                follows = owner[k : at_once + k] == owner[: max(0, min(at_once, len(owner) - k))]
+                passages[: len(follows)] += parts[k : at_once + k] * follows[:, None]
+            near, place = np.nonzero(passages @ probes >= bounds)
+            near, item = at + near, members[place]
+            last = np.minimum(begin[near] + size + half, ends[text[near]])
+            for part in range(0, len(near), at_once):
+                some = slice(part, part + at_once)
+                enough = _enough(found, begin[near[some]], last[some], item[some], index)
+                which = near[some][enough]
+                yield from zip(
+                    text[which].tolist(), item[some][enough].tolist(), (step[which] * half).tolist(), strict=True
+                )
 
 
 def _cosine(words: np.ndarray, item: int, index: Index) -> float:
@@ -278,21 +328,16 @@ def search_texts(texts: list[str], index: Index) -> list[tuple]:
     found = _columns_of(hashes, index.items.vocabulary)
     ends = np.cumsum(counts)
     best: dict[tuple[int, int], tuple] = {}
-    for text, item, start in _likely(found, counts, index):
+    for text, item, start in _near(found, counts, index):
         begin = int(ends[text] - counts[text]) + start
         end = min(begin + int(index.sizes[item]) * 3 // 2, int(ends[text]))
-        words, often = np.unique(found[begin:end], return_counts=True)
-        own = index.columns[item]
-        at = np.minimum(np.searchsorted(words, own), len(words) - 1)
-        there = words[at] == own
-        if np.minimum(often[at], index.times[item])[there].sum() < index.least[item]:
-            continue
         passage, wanted = hashes[begin:end], index.items.words[item]
         shared = common_subsequence(wanted, passage) / len(wanted)
         answer_words = index.items.answers[item]
         answer = common_subsequence(answer_words, passage) / max(1, len(answer_words))
         if shared >= VERBATIM_SHARE or (shared >= PARAPHRASE_SHARE and answer >= ANSWER_SHARE):
-            coverage = float((index.weights[own[there]] ** 2).sum() / index.squares[item])
+            words, own = np.unique(found[begin:end]), index.columns[item]
+            coverage = float((index.weights[own[np.isin(own, words)]] ** 2).sum() / index.squares[item])
             row = (shared, _cosine(words[words >= 0], item, index), -start, coverage, answer)
             best[text, item] = max(row, best.get((text, item), row))
     return [
@@ -312,7 +357,7 @@ def find_leaks(
     Whole texts are searched in passages of up to 1.5 times an item's length class. Null texts
     and texts or items without words match nothing; null ids of documents are kept in the
     result, items without an id are left out; repeated rows are all reported; empty tables give
-    no rows. Other columns are not read. The benchmark is taken in blocks of ITEMS_AT_ONCE,
+    no rows. Other columns are not read. The benchmark is taken in blocks of about ITEMS_AT_ONCE,
     each a scan of the corpus for its words' frequencies and one for the search; passages are
     compared where they are read, so nothing of the corpus is shuffled.
     """
@@ -336,7 +381,7 @@ def find_leaks(
         weights = inverse_frequencies(texts, items.vocabulary)
         sparse = [(items.columns(i).tolist(), weights[items.columns(i)].tolist()) for i in range(len(items.ids))]
         passages = spark.createDataFrame(sparse, "columns array<int>, values array<double>")
-        space = latent_space(passages, len(items.vocabulary))
+        space = latent_space(passages, len(items.vocabulary), max(RANK, len(items.ids)))
         index = spark.sparkContext.broadcast(build_index(items, weights, space))
 
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -18,7 +19,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.operators import linear, metrics
+from windrow.operators import forest, linear, metrics
 from windrow.operators.categories import dictionary, fit_bins
 from windrow.operators.selection import split_hash, split_stratified
 from windrow.schemas import CARRIER, SEED, TEST_SIZE
@@ -26,9 +27,8 @@ from windrow.session import written_once
 
 DELAY_TARGET = "target_arrival_delay"
 CLASS_TARGET = "target_is_delayed"
-#: Trees of a forest that are grown together. MLlib keeps a number for each of them with every row,
-#: and the sums of their open nodes side by side.
-TREES_AT_ONCE = 20
+#: Trees of a forest that are grown together: a task holds the sums of their open nodes side by side.
+TREES_AT_ONCE = 50
 
 
 @dataclass(frozen=True)
@@ -258,23 +258,22 @@ def _forest(
     bounded, however many values a category has. It is grown TREES_AT_ONCE trees at a time, each
     on all rows."""
     bins, most = fit_bins(train, features.categorical, target)
-    assembler = VectorAssembler(inputCols=[*features.numeric, *bins.columns], outputCol="indexed")
-    encoded = assembler.transform(bins.transform(train)).select("indexed", target)
-    encoded.persist(StorageLevel.MEMORY_AND_DISK)
+    names, classes, per_feature = [*features.numeric, *bins.columns], task != "regression", max(32, most)
+    assembler = VectorAssembler(inputCols=names, outputCol="indexed")
+    # Bins are whole numbers below ``most``.
+    cuts = [*forest.cuts(train, features.numeric, per_feature), *[np.arange(most - 1) + 0.5] * len(bins.columns)]
+    chunks = forest.binned(bins.transform(train), names, target, cuts)
     sizes = [min(TREES_AT_ONCE, trees - at) for at in range(0, trees, TREES_AT_ONCE)]
-    grown, values, classes = [], 0.0, task != "regression"
-    try:
-        for i, size in enumerate(sizes):
-            made = classifiers(0, size, depth, seed + i, max(32, most)) if classes else regressors(size, depth, seed + i, max(32, most))
-            model = made["random_forest"].fit(encoded)
-            model.setPredictionCol("" if classes else f"_forest_{i}")
-            if classes:
-                model.setRawPredictionCol("").setProbabilityCol(f"_forest_{i}")
-            grown.append(model)
-            # A tree's importances sum to 1, so a forest's count as often as it has trees.
-            values = values + model.featureImportances.toArray() * size / trees
-    finally:
-        encoded.unpersist()
+    grown, values = [], 0.0
+    for i, size in enumerate(sizes):
+        made = classifiers(0, size, depth, seed + i, per_feature) if classes else regressors(size, depth, seed + i, per_feature)
+        model = forest.grow(chunks, cuts, made["random_forest"], classes, size, depth, seed + i, classes and trees > 1)
+        model.setPredictionCol("" if classes else f"_forest_{i}")
+        if classes:
+            model.setRawPredictionCol("").setProbabilityCol(f"_forest_{i}")
+        grown.append(model)
+        # A tree's importances sum to 1, so a forest's count as often as it has trees.
+        values = values + model.featureImportances.toArray() * size / trees
     joined = ForestMean()
     joined._set(weights=[float(size) for size in sizes], prefix="_forest_", classes=classes)
     total = values.sum() or 1.0

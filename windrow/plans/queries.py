@@ -377,7 +377,7 @@ def result_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lake(spark: SparkSession, sf_dir: str) -> Medallion:
     """A lake over a CSV source of all records, nothing in it yet."""
     lake = Medallion(scratch_path(spark, "lake"), scratch_path(spark, "source"))
-    ingest.write_csv(_raw(spark, sf_dir), lake.source_csv)
+    ingest.write_csv(_raw(spark, sf_dir), lake.source_csv, "gzip")
     return lake
 
 

@@ -17,6 +17,8 @@ COMPRESSION = "zstd"
 #: Partition folders a task writes to side by side. A task with rows of more sorts them first.
 OPEN_FOLDERS = 16
 _OPEN_FOLDERS = "spark.sql.maxConcurrentOutputFileWriters"
+#: Whether the files of a query's shuffles go when it has ended, or when the driver collects garbage.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cpus: str | int = "*", app: str = "windrow", **conf: str) -> SparkSession:
@@ -60,16 +62,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def _with_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 @contextmanager
 def unsorted_writes(spark: SparkSession) -> Iterator[None]:
     """Within it, rows that go to few partition folders are not sorted by these to be written, so
     a large task does not spill."""
-    before = spark.conf.get(_OPEN_FOLDERS, None)
-    spark.conf.set(_OPEN_FOLDERS, str(OPEN_FOLDERS))
-    try:
+    with _with_conf(spark, _OPEN_FOLDERS, str(OPEN_FOLDERS)):
+        yield
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it, what a write has dealt out goes from the disks as soon as it is written, so writes
+    that follow one another do not add up."""
+    with _with_conf(spark, _FREE_SHUFFLES, "true"):
         yield
-    finally:
-        spark.conf.unset(_OPEN_FOLDERS) if before is None else spark.conf.set(_OPEN_FOLDERS, before)
 
 
 def written_once(df: DataFrame, name: str) -> DataFrame:
@@ -77,5 +93,6 @@ def written_once(df: DataFrame, name: str) -> DataFrame:
     wherever it is used."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", COMPRESSION).parquet(path)
+    with freed_shuffles(spark):
+        df.write.option("compression", COMPRESSION).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

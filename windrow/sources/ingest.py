@@ -24,6 +24,8 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+#: Rows of a compressed CSV file at most.
+ROWS_PER_FILE = 500_000
 
 
 def read_csv(
@@ -81,9 +83,13 @@ def bad_values(
     return rows.agg(*wrong).select(F.inline(F.array(*pairs)))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """One folder of CSV part files, written in parallel."""
-    df.write.options(**CSV_OPTIONS).mode("overwrite").csv(path)
+def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """One folder of CSV part files, written in parallel. Compressed files are read whole by a task,
+    so they are cut at ROWS_PER_FILE rows."""
+    writer = df.write.options(**CSV_OPTIONS).mode("overwrite")
+    if compression:
+        writer = writer.options(compression=compression, maxRecordsPerFile=ROWS_PER_FILE)
+    writer.csv(path)
 
 
 def with_ingest_metadata(df: DataFrame, ingested_at: datetime | None = None) -> DataFrame:

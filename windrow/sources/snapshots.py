@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from windrow.session import COMPRESSION, unsorted_writes, written_once
+from windrow.session import COMPRESSION, freed_shuffles, unsorted_writes, written_once
 
 #: Operations that keep what earlier versions wrote.
 INCREMENTAL = ("append", "replace")
@@ -126,7 +126,7 @@ def commit(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     folder = f"{table}/_version={version}/_operation={operation}/_committed_at={stamp}"
-    with unsorted_writes(spark):
+    with unsorted_writes(spark), freed_shuffles(spark):
         writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(folder)
     # The columns and types of this commit, those of the partitions too, for readers.
     spark.createDataFrame([], rows.schema).write.parquet(f"{folder}/{EMPTY}")

@@ -127,3 +127,17 @@ def test_rows_with_nulls_are_refused(spark):
     df = spark.createDataFrame([(1.0, 2.0), (None, 3.0)], "a double, y double")
     with pytest.raises(Exception, match="no nulls"):
         models._forest("regression", df, models.FeatureSet([], ["a"]), "y", 2, 2, 1)
+
+
+def test_rows_are_scored_once_to_be_evaluated(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def scored(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame([(i % 2 * 1.0, 1.0, i / 40) for i in range(40)], "y double, prediction double, probability_1 double")
+    found = models._evaluate("classification", df.mapInArrow(scored, df.schema), "y")
+    assert seen.value == 40
+    assert found["accuracy"] == 0.5 and found["roc_auc"] == pytest.approx(0.525)
